@@ -230,3 +230,167 @@ QUERIES.update({
     "objective_total": objective_total,
     "violation_fix": violation_fix,
 })
+
+
+# ---------------------------------------------------------- other operators
+from scorekeep.sources import fixtures as _fx  # noqa: E402
+
+
+def _all_columns(view: str) -> list[str]:
+    return [name for name, _ in _fx.VIEWS[view].columns]
+
+
+def answer_key() -> str:
+    return with_views(["question"], [ANSWER_KEY_CTE],
+                      "SELECT questionId, answerKey, ruleScore FROM answer_key")
+
+
+def normalize_answer() -> str:
+    return with_views(["answer"], [], f"SELECT questionId, stuId, questionOrder, answer, "
+                                      f"{norm('answer')} AS answerKey FROM answer")
+
+
+def score_multichoice() -> str:
+    return with_views(["question", "answer"], [ANSWER_KEY_CTE], f"""
+SELECT a.questionId, a.stuId, a.questionOrder, a.answer,
+  CAST(CASE WHEN a.answer IS NULL OR a.answer = '' THEN 0
+            ELSE COALESCE(k.ruleScore, 0) END AS FLOAT) AS ruleScore
+FROM answer a JOIN question q ON (q.id = a.questionId AND q.type = 2)
+LEFT JOIN answer_key k ON (k.questionId = a.questionId AND k.answerKey = {norm('a.answer')})""")
+
+
+def left_join_on_pred() -> str:
+    return with_views(["answer", "absent"], [], """
+SELECT a.questionId, a.stuId, a.questionOrder, a.answer, a.dubiousType AS answerDubiousType,
+  t3.dubiousType, CASE WHEN t3.dubiousType IS NULL THEN 0 ELSE 1 END AS isDubious,
+  t3.sourceFrom AS sourceScore
+FROM answer a LEFT JOIN absent t3 ON (a.stuId = t3.userId AND t3.status = 1)""")
+
+
+def filter_objective() -> str:
+    return with_views(["question"], [], "SELECT id, paperId, paperExamId, type, score "
+                                        "FROM question WHERE CAST(type AS INTEGER) != 4")
+
+
+def dim_scan() -> str:
+    return with_views(["subject"], [], "SELECT * FROM subject")
+
+
+def table_scan() -> str:
+    return with_views(["student"], [], "SELECT * FROM student")
+
+
+def row_counts() -> str:
+    names = list(_fx.VIEWS)
+    body = "\nUNION ALL ".join(f"SELECT '{n}' AS tableName, COUNT(*) AS n FROM {n}"
+                               for n in names)
+    return with_views(names, [], body)
+
+
+def obj_score_export() -> str:
+    from scorekeep.operators.export import DEFAULT_WRITER
+    return with_views(["question", "answer", "absent"], [ANSWER_KEY_CTE, SCORES_CTE], f"""
+SELECT paperId, paperName, paperExamId, paperExamName, stuId, stuSeq, schoolId, questionId,
+  questionOrder, answer, ABFlag, stuScore AS questionScore, 0 AS sourceScore, 1 AS status,
+  '{DEFAULT_WRITER}' AS lastModifier, '{DEFAULT_WRITER}' AS creator
+FROM scores""")
+
+
+def question_dimension() -> str:
+    cols = ([f"q.{c} AS question_{c}" for c in _all_columns("question")]
+            + [f"ps.{c} AS paperSubject_{c}" for c in _all_columns("paper_subject")]
+            + [f"p.{c} AS paper_{c}" for c in _all_columns("paper")])
+    return with_views(["question", "paper_subject", "paper"], [], f"""
+SELECT {', '.join(cols)}
+FROM paper p JOIN paper_subject ps ON (ps.paperId = p.id)
+JOIN question q ON (q.paperExamId = ps.id)
+WHERE p.status = 1 AND ps.status = 1 AND q.status = 1""")
+
+
+def param_query() -> str:
+    return with_views(["question", "answer"], [], """
+SELECT a.stuId, a.questionId, a.questionOrder, a.answer, q.type AS questionType,
+       q.score AS questionScore
+FROM answer a JOIN question q ON q.id = a.questionId
+WHERE a.isChoose > 0 AND q.type < 4 AND a.status = 1""")
+
+
+def student_batch_load() -> str:
+    cols = ", ".join(f"s.{c}" for c in _all_columns("student"))
+    return with_views(["student", "batch", "paper_subject"], ["""
+batches AS (SELECT DISTINCT paperId, id AS batchId FROM batch)""", """
+multi AS (SELECT paperId FROM batches GROUP BY paperId HAVING COUNT(*) > 1)""", """
+exams AS (SELECT DISTINCT paperId, id AS paperExamId FROM paper_subject WHERE status = 1)"""],
+        f"""
+SELECT {cols} FROM student s
+WHERE EXISTS (SELECT 1 FROM batches b WHERE b.paperId = s.paperId AND b.batchId = s.batchId)
+  AND (s.paperId NOT IN (SELECT paperId FROM multi)
+       OR EXISTS (SELECT 1 FROM exams e
+                  WHERE e.paperId = s.paperId AND e.paperExamId = s.paperExamId))""")
+
+
+def _jhash(x: str) -> str:
+    h = (f"list_reduce(list_transform(string_split(CAST({x} AS VARCHAR), ''), "
+         f"lambda ch: unicode(ch)::BIGINT), lambda acc, u: (acc * 31 + u) % 4294967296, "
+         f"0::BIGINT)")
+    return f"(CASE WHEN {h} >= 2147483648 THEN {h} - 4294967296 ELSE {h} END)"
+
+
+def shard_sql(x: str, n: int) -> str:
+    h = _jhash(x)
+    return (f"CAST(CASE WHEN {h} = -2147483648 THEN {-(2147483648 % n)} "
+            f"ELSE abs({h}) % {n} END AS INTEGER)")
+
+
+def shard_id() -> str:
+    return with_views(["answer"], [], f"""
+SELECT questionId, stuId, questionOrder, paperId, {shard_sql('paperId', 2)} AS db_shard,
+  {shard_sql('questionId', 8)} AS tb_shard FROM answer""")
+
+
+def shard_set() -> str:
+    return with_views(["question"], [], f"""
+SELECT DISTINCT paperId, {shard_sql('paperId', 2)} AS db_shard, {shard_sql('id', 8)} AS tb_shard
+FROM question WHERE type < 4""")
+
+
+def shard_routed_read() -> str:
+    return with_views(["answer"], [], "SELECT * FROM answer WHERE paperId = 'P0'")
+
+
+def shard_gather() -> str:
+    return with_views(["answer", "question"], [], """
+SELECT * FROM answer WHERE questionId IN (SELECT id FROM question WHERE CAST(type AS INTEGER) != 4)""")
+
+
+def sharded_roundtrip() -> str:
+    return with_views(["answer"], [], "SELECT * FROM answer")
+
+
+def colocated_join() -> str:
+    return with_views(["answer", "student"], [], """
+SELECT a.questionId, a.stuId, a.questionOrder, a.answer, s.stuName, s.schoolId, s.classId
+FROM answer a JOIN student s ON (a.stuId = s.userId)""")
+
+
+QUERIES.update({
+    "answer_key": answer_key,
+    "normalize_answer": normalize_answer,
+    "score_multichoice": score_multichoice,
+    "left_join_on_pred": left_join_on_pred,
+    "filter_objective": filter_objective,
+    "dim_scan": dim_scan,
+    "table_scan": table_scan,
+    "row_counts": row_counts,
+    "obj_score_export": obj_score_export,
+    "question_dimension": question_dimension,
+    "union_positional": paper_totals,
+    "param_query": param_query,
+    "student_batch_load": student_batch_load,
+    "shard_id": shard_id,
+    "shard_set": shard_set,
+    "shard_routed_read": shard_routed_read,
+    "shard_gather": shard_gather,
+    "sharded_roundtrip": sharded_roundtrip,
+    "colocated_join": colocated_join,
+})

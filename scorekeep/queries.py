@@ -95,3 +95,163 @@ QUERIES: dict[str, Query] = {
     "objective_total": objective_total,
     "violation_fix": violation_fix,
 }
+
+
+# ------------------------------------------------------------------ functions
+from pyspark.sql import functions as F  # noqa: E402
+
+from scorekeep.functions.answers import normalize_answer as _normalize  # noqa: E402
+from scorekeep.functions.rules import answer_key as _answer_key  # noqa: E402
+from scorekeep.operators import dimension, export, sharding, students  # noqa: E402
+from scorekeep.sources import catalog, params  # noqa: E402
+from scorekeep.session import scratch_path  # noqa: E402
+
+# Fixed value: the fixture shard layout (2 databases x 8 tables).
+FIXTURE_LAYOUT = sharding.ShardLayout(db_key="paperId", tb_key="questionId", n_db=2, n_tb=8)
+BUCKETS = 8
+
+
+def answer_key(spark, sf_dir):
+    return _answer_key(_tables(spark, sf_dir).question)
+
+
+def normalize_answer(spark, sf_dir):
+    a = _tables(spark, sf_dir).answer
+    return a.select("questionId", "stuId", "questionOrder", "answer",
+                    _normalize("answer").alias("answerKey"))
+
+
+def score_multichoice(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return scoring.score_multichoice(t.question, t.answer)
+
+
+def left_join_on_pred(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return scoring.left_join_on_predicate(t.answer, t.absent)
+
+
+def filter_objective(spark, sf_dir):
+    q = _tables(spark, sf_dir).question
+    return q.where(dimension.objective_filter()).select("id", "paperId", "paperExamId",
+                                                        "type", "score")
+
+
+def dim_scan(spark, sf_dir):
+    return _tables(spark, sf_dir).subject
+
+
+def table_scan(spark, sf_dir):
+    catalog.register_views(_tables(spark, sf_dir), prefix="exam_")
+    return catalog.table_scan(spark, "exam_student")
+
+
+def row_counts(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    parts = [getattr(t, name).agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(name).alias("tableName"), "n")
+             for name in fixtures.VIEWS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def obj_score_export(spark, sf_dir):
+    return export.obj_score_frame(score_answers(spark, sf_dir))
+
+
+def question_dimension(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return dimension.question_dimension(t.paper, t.paper_subject, t.question)
+
+
+def union_positional(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return totals.subject_totals(t.question, t.paper_subject, t.subject).union(
+        totals.composite_totals(t.question, t.paper_subject))
+
+
+def param_query(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return params.param_query(spark, params.SCORED_ANSWERS_SQL, params.SCORED_ANSWERS_ARGS,
+                              answer=t.answer, question=t.question)
+
+
+def student_batch_load(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return students.load_students(t.student, t.batch,
+                                  t.paper_subject.where(F.col("status") == 1))
+
+
+def shard_id(spark, sf_dir):
+    a = _tables(spark, sf_dir).answer
+    return sharding.with_shards(a, FIXTURE_LAYOUT).select(
+        "questionId", "stuId", "questionOrder", "paperId", "db_shard", "tb_shard")
+
+
+def shard_set(spark, sf_dir):
+    q = _tables(spark, sf_dir).question.where(F.col("type") < 4)
+    return sharding.shard_targets(q.withColumnRenamed("id", "questionId"), FIXTURE_LAYOUT,
+                                  group="paperId")
+
+
+def _sharded_answers(spark, sf_dir) -> str:
+    path = scratch_path(spark, "sharded-answer")
+    sharding.write_sharded(_tables(spark, sf_dir).answer, path, FIXTURE_LAYOUT, "overwrite")
+    return path
+
+
+def shard_routed_read(spark, sf_dir):
+    path = _sharded_answers(spark, sf_dir)
+    return (sharding.routed_read(spark, path, FIXTURE_LAYOUT, paperId="P0")
+            .drop(*sharding.SHARD_COLUMNS))
+
+
+def shard_gather(spark, sf_dir):
+    path = _sharded_answers(spark, sf_dir)
+    keys = (_tables(spark, sf_dir).question.where(dimension.objective_filter())
+            .select(F.col("id").alias("questionId")))
+    return (sharding.gather(sharding.read_sharded(spark, path), keys, FIXTURE_LAYOUT)
+            .drop(*sharding.SHARD_COLUMNS))
+
+
+def sharded_roundtrip(spark, sf_dir):
+    path = _sharded_answers(spark, sf_dir)
+    return sharding.read_sharded(spark, path).drop(*sharding.SHARD_COLUMNS)
+
+
+def colocated_join(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    tag = scratch_path(spark, "bucketed").rsplit("-", 1)[-1][:12]
+    a = sharding.write_bucketed(
+        t.answer.select("questionId", "stuId", "questionOrder", "answer"),
+        f"answer_by_student_{tag}", scratch_path(spark, "answer-by-student"), "stuId", BUCKETS)
+    s = sharding.write_bucketed(
+        t.student.select("userId", "stuName", "schoolId", "classId"),
+        f"student_by_id_{tag}", scratch_path(spark, "student-by-id"), "userId", BUCKETS)
+    return sharding.colocated_join(a, s, "stuId", "userId").select(
+        "questionId", "stuId", "questionOrder", "answer", "stuName", "schoolId", "classId")
+
+
+QUERIES.update({
+    "answer_key": answer_key,
+    "normalize_answer": normalize_answer,
+    "score_multichoice": score_multichoice,
+    "left_join_on_pred": left_join_on_pred,
+    "filter_objective": filter_objective,
+    "dim_scan": dim_scan,
+    "table_scan": table_scan,
+    "row_counts": row_counts,
+    "obj_score_export": obj_score_export,
+    "question_dimension": question_dimension,
+    "union_positional": union_positional,
+    "param_query": param_query,
+    "student_batch_load": student_batch_load,
+    "shard_id": shard_id,
+    "shard_set": shard_set,
+    "shard_routed_read": shard_routed_read,
+    "shard_gather": shard_gather,
+    "sharded_roundtrip": sharded_roundtrip,
+    "colocated_join": colocated_join,
+})

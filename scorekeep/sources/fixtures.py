@@ -107,7 +107,7 @@ PAPER_SUBJECT_COLUMNS = [
     ("isAB", "CASE WHEN p_partkey % 10 IN (3, 4) THEN NULL "
              "ELSE CAST(p_partkey % 2 AS INTEGER) END"),
     ("isComprehensive", "CASE WHEN p_partkey % 10 < 4 THEN 1 ELSE 0 END"),
-    ("status", "CASE WHEN p_partkey % 10 = 9 THEN 0 ELSE 1 END"),
+    ("status", "CASE WHEN p_partkey % 10 = 8 THEN 0 ELSE 1 END"),
 ]
 
 PAPER_COLUMNS = [
