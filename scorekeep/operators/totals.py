@@ -1,12 +1,13 @@
 """E2: full marks per exam and subject, plus one row per composite exam.
 
-The question dimension is aggregated once to (paperId, paperExamId,
-subjectId) partial sums; both output branches (per subject, and per
-composite exam) re-aggregate that small result after joining the tiny
-exam-subject and subject dimensions.  Sums are distributive, and joining
-before the final aggregation keeps the join multiplicities, so the result
-equals aggregating the joined rows directly, while the question table is
-scanned and shuffled once (the shared exchange is reused by both branches).
+The question table is aggregated before it meets the dimensions, to
+(paperId, paperExamId, subjectId) sums; the tiny exam-subject and subject
+tables are joined to those sums and the result is re-aggregated on the
+output keys.  Sums are distributive, and joining before the final
+aggregation keeps the join multiplicities, so this equals aggregating the
+joined question rows directly, while only partial sums cross the shuffle.
+``paper_totals`` produces both row kinds from a single grouping-sets
+aggregation, so the question table is scanned and shuffled once.
 """
 
 from __future__ import annotations
@@ -96,6 +97,45 @@ def composite_totals(question: DataFrame, paper_subject: DataFrame,
 
 
 def paper_totals(question: DataFrame, paper_subject: DataFrame, subject: DataFrame) -> DataFrame:
-    sums = _exam_subject_sums(question)
-    return subject_totals(question, paper_subject, subject, sums).unionByName(
-        composite_totals(question, paper_subject, sums))
+    """Both kinds of total rows from one aggregation of the question table.
+
+    Grouping sets compute the (exam, subject) and (exam) sums in one pass
+    (one scan, one shuffle of partial sums).  Every sum row joins the tiny
+    exam-subject table; subject-grain rows also join the subject table.
+    Subject-grain rows with a known subject and exam-grain rows of
+    composite exams are kept, then grouped by their output keys -- after
+    the joins, so duplicate dimension rows count as they would in SQL.
+    """
+    q_type, score = F.col("type"), F.col("score")
+    sums = (question.where(F.col("questionOrder") > 0)
+            .groupingSets([["paperId", "paperExamId", "subjectId"], ["paperId", "paperExamId"]],
+                          "paperId", "paperExamId", "subjectId")
+            .agg(F.sum(F.when(q_type != SUBJECTIVE_TYPE, score).otherwise(0)).alias("obj"),
+                 F.sum(F.when(q_type == SUBJECTIVE_TYPE, score).otherwise(0)).alias("sub"),
+                 F.sum(score).alias("all"),
+                 F.grouping_id().alias("gid")))
+    exams = bounded_broadcast(_exams(paper_subject))
+    subjects = bounded_broadcast(subject.select(
+        F.col("id").alias("s_id"), F.col("subjectName").alias("s_name"),
+        F.col("shortName").alias("s_short")))
+    per_subject = F.col("gid") == 0
+    joined = (_join_exams(sums, exams)
+              .join(subjects, per_subject & (F.col("subjectId") == F.col("s_id")), "left"))
+    keep = ((per_subject & F.col("s_id").isNotNull())
+            | (~per_subject & (F.col("ps_isComprehensive") == 1)))
+    grouped = joined.where(keep).groupBy(
+        "gid", "ps_paperId", "ps_paperName", "ps_id", "ps_paperExamName", "ps_isAB",
+        "ps_isComprehensive", "s_id", "s_name", "s_short")
+    return grouped.agg(*_rounded_totals()).select(
+        F.col("ps_paperId").alias("paperId"), F.col("ps_paperName").alias("paperName"),
+        F.col("ps_id").alias("paperExamId"), F.col("ps_paperExamName").alias("paperExamName"),
+        F.when(per_subject, F.col("s_id").cast("bigint")).otherwise(F.col("ps_id"))
+        .alias("subjectId"),
+        F.when(per_subject, F.col("s_name")).otherwise(F.col("ps_paperExamName"))
+        .alias("subjectName"),
+        F.when(per_subject, F.col("s_short")).otherwise(F.lit(COMPOSITE_SHORT_NAME))
+        .alias("subjectShortName"),
+        "objTotal", "subTotal", "paperTotal",
+        F.coalesce(F.col("ps_isAB"), F.lit(0)).alias("isAB"),
+        F.when(per_subject, F.col("ps_isComprehensive")).otherwise(F.lit(0))
+        .alias("isComprehensiveSubject"))

@@ -185,8 +185,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One exam view as a lazy DataFrame over the parquet table it comes from."""
+    return view_of(read_table(spark, sf_dir, VIEWS[name].source), name)
+
+
+def view_of(df: DataFrame, name: str) -> DataFrame:
+    """Apply a view's projection to a frame of its source table (batch or stream)."""
     spec = VIEWS[name]
-    df = read_table(spark, sf_dir, spec.source)
     if spec.where:
         df = df.where(F.expr(spec.where))
     df = df.select(*[F.expr(expr).alias(col) for col, expr in spec.columns])
