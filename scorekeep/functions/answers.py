@@ -21,7 +21,7 @@ def normalize_answer(col) -> Column:
     the same key.
     """
     c = _c(col)
-    parts = F.array_sort(F.split(F.lower(c), ",", -1))
+    parts = F.sort_array(F.split(F.lower(c), ",", -1))
     return F.when(c.contains(","), F.array_join(parts, "")).otherwise(c)
 
 

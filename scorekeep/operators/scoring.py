@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from scorekeep.functions.answers import display_answer
 from scorekeep.functions.rules import MULTI_CHOICE_TYPE, rule_maps, rule_score, with_rule_map
-from scorekeep.plans.broadcast import bounded_broadcast
+from scorekeep.plans.broadcast import bounded_broadcast, bounded_broadcasts
+from scorekeep.plans.partitioning import spread_if_narrow
 
 # Question type codes and row-state codes.
 SUBJECTIVE_TYPE = 4
@@ -68,16 +69,16 @@ def score_expr() -> F.Column:
 
 def score_answers(question: DataFrame, answer: DataFrame, absent: DataFrame,
                   max_broadcast_rows: int | None = None) -> DataFrame:
-    qdim = objective_question_dim(question)
-    qdim = bounded_broadcast(qdim, max_broadcast_rows,
-                             bound_by=question.where(F.col("type") < SUBJECTIVE_TYPE))
+    qdim, absences = bounded_broadcasts(
+        (objective_question_dim(question), question.where(F.col("type") < SUBJECTIVE_TYPE)),
+        live_absences(absent), max_rows=max_broadcast_rows)
     facts = (answer.where((F.col("isChoose") > 0) & (F.col("status") == LIVE_STATUS))
              .select("paperId", "paperName", "paperExamId", "paperExamName", "stuId",
                      "stuSeq", "schoolId", "questionId", "questionOrder",
                      F.col("answer").alias("t1_answer"), "fixAnswer",
                      F.col("isDubious").alias("t1_isDubious"),
                      F.col("dubiousType").alias("t1_dubiousType"), "ABFlag", "isChoose"))
-    absences = bounded_broadcast(live_absences(absent), max_broadcast_rows)
+    facts = spread_if_narrow(facts, ["stuId", "questionId"])
     joined = (facts.join(qdim, facts["questionId"] == qdim["q_id"], "inner")
               .join(absences, F.col("stuId") == F.col("a_userId"), "left"))
     return joined.select(

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorekeep.plans.broadcast import bounded_broadcast
+from scorekeep.plans.broadcast import bounded_broadcast, bounded_broadcasts, counted_broadcasts
 
 SUBJECTIVE_TYPE = 4
 # Fixed value: short name of a composite exam's own total row.
@@ -44,6 +44,11 @@ def _exams(paper_subject: DataFrame) -> DataFrame:
         F.col("isAB").alias("ps_isAB"), F.col("isComprehensive").alias("ps_isComprehensive"))
 
 
+def _subjects(subject: DataFrame) -> DataFrame:
+    return subject.select(F.col("id").alias("s_id"), F.col("subjectName").alias("s_name"),
+                          F.col("shortName").alias("s_short"))
+
+
 def _rounded_totals():
     return [F.round(F.sum("obj"), 2).alias("objTotal"),
             F.round(F.sum("sub"), 2).alias("subTotal"),
@@ -58,10 +63,7 @@ def _join_exams(sums: DataFrame, exams: DataFrame) -> DataFrame:
 def subject_totals(question: DataFrame, paper_subject: DataFrame, subject: DataFrame,
                    sums: DataFrame | None = None) -> DataFrame:
     sums = _exam_subject_sums(question) if sums is None else sums
-    exams = bounded_broadcast(_exams(paper_subject))
-    subjects = bounded_broadcast(subject.select(
-        F.col("id").alias("s_id"), F.col("subjectName").alias("s_name"),
-        F.col("shortName").alias("s_short")))
+    exams, subjects = bounded_broadcasts(_exams(paper_subject), _subjects(subject))
     joined = (_join_exams(sums, exams)
               .join(subjects, F.col("subjectId") == F.col("s_id"), "inner"))
     grouped = joined.groupBy("ps_paperId", "ps_paperName", "ps_id", "ps_paperExamName",
@@ -97,7 +99,15 @@ def composite_totals(question: DataFrame, paper_subject: DataFrame,
 
 
 def paper_totals(question: DataFrame, paper_subject: DataFrame, subject: DataFrame) -> DataFrame:
-    """Both kinds of total rows from one aggregation of the question table.
+    return paper_totals_bounded(question, paper_subject, subject)[0]
+
+
+def paper_totals_bounded(question: DataFrame, paper_subject: DataFrame, subject: DataFrame):
+    """``(totals, bound)``: the totals and a proven bound on their row count
+    (exam rows x (subject rows + 1): a total row is one exam-subject row
+    with at most one subject row, or the exam's own row).
+
+    Both kinds of total rows from one aggregation of the question table.
 
     Grouping sets compute the (exam, subject) and (exam) sums in one pass
     (one scan, one shuffle of partial sums).  Every sum row joins the tiny
@@ -114,10 +124,8 @@ def paper_totals(question: DataFrame, paper_subject: DataFrame, subject: DataFra
                  F.sum(F.when(q_type == SUBJECTIVE_TYPE, score).otherwise(0)).alias("sub"),
                  F.sum(score).alias("all"),
                  F.grouping_id().alias("gid")))
-    exams = bounded_broadcast(_exams(paper_subject))
-    subjects = bounded_broadcast(subject.select(
-        F.col("id").alias("s_id"), F.col("subjectName").alias("s_name"),
-        F.col("shortName").alias("s_short")))
+    (exams, subjects), (n_exams, n_subjects) = counted_broadcasts(
+        _exams(paper_subject), _subjects(subject))
     per_subject = F.col("gid") == 0
     joined = (_join_exams(sums, exams)
               .join(subjects, per_subject & (F.col("subjectId") == F.col("s_id")), "left"))
@@ -138,4 +146,4 @@ def paper_totals(question: DataFrame, paper_subject: DataFrame, subject: DataFra
         "objTotal", "subTotal", "paperTotal",
         F.coalesce(F.col("ps_isAB"), F.lit(0)).alias("isAB"),
         F.when(per_subject, F.col("ps_isComprehensive")).otherwise(F.lit(0))
-        .alias("isComprehensiveSubject"))
+        .alias("isComprehensiveSubject")), n_exams * (n_subjects + 1)

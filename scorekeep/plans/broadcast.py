@@ -1,11 +1,15 @@
 """Broadcast a join side only when its size is proven small.
 
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the side (a
-``limit`` + ``count`` job that stops early) and adds the broadcast hint
-only when the count proves the bound.  Otherwise the side is returned
-unhinted, so the join falls back to a shuffle (sort-merge) join on its keys,
-where AQE can still split skewed partitions or switch to a broadcast once
-real shuffle sizes are known.
+A side is hinted for broadcast only when a row count proves it has at most
+``max_rows`` rows.  The count is an ordinary distributed aggregate (each
+task counts its split, only per-task counts are shuffled), so checking a
+side that turns out to be large costs one scan and never funnels rows into
+one task.  A side over the bound is returned unhinted: the join is then a
+shuffle (sort-merge) join on its keys, where AQE can still split skewed
+partitions or switch to a broadcast once real shuffle sizes are known.
+
+The checks of one operator run concurrently (one Spark job each, submitted
+from separate driver threads), so their latency is that of the slowest.
 
 The sides passed here are dimension projections of fixed-width or short
 columns, so a row bound is a byte bound.
@@ -13,6 +17,8 @@ columns, so a row bound is a byte bound.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +31,13 @@ def max_broadcast_rows(spark) -> int:
     return int(value) if value else DEFAULT_MAX_ROWS
 
 
+def row_count(df: DataFrame) -> int:
+    return df.count()
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows."""
+    return row_count(df) <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
@@ -37,7 +47,35 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
     ``bound_by`` may name a cheaper frame whose row count bounds ``df``'s
     (for example the dimension scan a per-key projection was made from).
     """
-    if max_rows is None:
-        max_rows = max_broadcast_rows(df.sparkSession)
-    probe = df if bound_by is None else bound_by
-    return F.broadcast(df) if fits(probe, max_rows) else df
+    return bounded_broadcasts((df, bound_by), max_rows=max_rows)[0]
+
+
+def bounded_broadcasts(*sides, max_rows: int | None = None) -> list[DataFrame]:
+    """Check several sides at once.  Each side is a DataFrame, or a pair
+    ``(df, bound)`` where ``bound`` is a frame whose row count bounds
+    ``df``'s, or an ``int`` that is already a proven bound."""
+    return counted_broadcasts(*sides, max_rows=max_rows)[0]
+
+
+def counted_broadcasts(*sides, max_rows: int | None = None):
+    """As ``bounded_broadcasts``, also returning the proven row bound of
+    each side (callers derive bounds of joins of these sides from them)."""
+    items = [s if isinstance(s, tuple) else (s, None) for s in sides]
+    if not items:
+        return [], []
+    spark = items[0][0].sparkSession
+    limit = max_broadcast_rows(spark) if max_rows is None else max_rows
+
+    def bound_of(item) -> int:
+        df, bound = item
+        if isinstance(bound, int) and bound <= limit:
+            return bound
+        return row_count(df if bound is None or isinstance(bound, int) else bound)
+
+    if len(items) == 1:
+        bounds = [bound_of(items[0])]
+    else:
+        with ThreadPoolExecutor(max_workers=len(items)) as pool:
+            bounds = list(pool.map(bound_of, items))
+    out = [F.broadcast(df) if b <= limit else df for (df, _), b in zip(items, bounds)]
+    return out, bounds

@@ -101,11 +101,13 @@ class ExamJob:
         def stage2():
             scores = self._write(scoring.score_answers(src.question, src.answer, src.absent),
                                  "obj_score")
-            paper = self._write(totals.paper_totals(src.question, src.paper_subject,
-                                                    src.subject), "paper_score")
+            paper_df, bound = totals.paper_totals_bounded(src.question, src.paper_subject,
+                                                          src.subject)
+            paper = self._write(paper_df, "paper_score")
 
             def stage3(violation_rule=DEFAULT_VIOLATION_RULE) -> int:
-                d = self._write(detail_ops.question_detail(scores, paper, src.student),
+                d = self._write(detail_ops.question_detail(scores, paper, src.student,
+                                                           totals_bound=bound),
                                 "stu_que_detail")
                 positions = wide.pivot_values(src.question)
                 sheet = export.wide_score_export(wide.wide_scores(d, positions, violation_rule))

@@ -1,11 +1,18 @@
-"""Partitioning by student.
-
-Every per-student step (absence join, student join, the wide aggregation)
-keys on the student id, so one hash partitioning of the answer fact on the
-student id serves all of them: Spark keeps a hash partitioning on ``stuId``
-through the joins, and an aggregation whose keys include ``stuId`` needs no
-second exchange.  The partition count comes from the session
-(``spark.sql.shuffle.partitions``) or the caller, never a literal.
+"""Partitioning of the answer fact.
+
+Per-student steps (absence join, student join, the wide aggregation) all
+key on the student id.  Their joins are broadcast joins when the dimension
+is proven small, otherwise sort-merge joins on the student id, where AQE
+splits a skewed (hot-student) partition; the aggregation combines rows
+map-side before its shuffle, so a hot student costs one partial row per
+task.  No step therefore hash-partitions the fact on the student id alone:
+that would put every row of a hot student into one task.
+
+``spread_if_narrow`` handles the opposite problem: a fact that arrives in
+fewer splits than the cluster has cores (a single large row group, a few
+big files) is redistributed by a hash of (student, question), which is
+even even for a hot student and deterministic on task retry.  A fact read
+from many files is left as it is, so at scale this adds no shuffle.
 """
 
 from __future__ import annotations
@@ -13,9 +20,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def student_partitions(spark, n: int | None = None) -> int:
+def shuffle_partitions(spark, n: int | None = None) -> int:
     return n or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread_if_narrow(df: DataFrame, keys: list[str], min_partitions: int | None = None,
+                     n: int | None = None) -> DataFrame:
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(max(shuffle_partitions(spark, n), target), *keys)
+
+
 def by_student(df: DataFrame, col: str = "stuId", n: int | None = None) -> DataFrame:
-    return df.repartition(student_partitions(df.sparkSession, n), col)
+    """Hash-partition on the student id only (the original job's layout);
+    kept for callers that know no student is hot."""
+    return df.repartition(shuffle_partitions(df.sparkSession, n), col)

@@ -36,8 +36,8 @@ def composite_totals(spark, sf_dir):
 def question_detail(spark, sf_dir):
     t = _tables(spark, sf_dir)
     scores = scoring.score_answers(t.question, t.answer, t.absent)
-    paper = totals.paper_totals(t.question, t.paper_subject, t.subject)
-    return detail_ops.question_detail(scores, paper, t.student)
+    paper, bound = totals.paper_totals_bounded(t.question, t.paper_subject, t.subject)
+    return detail_ops.question_detail(scores, paper, t.student, totals_bound=bound)
 
 
 def _detail_and_positions(spark, sf_dir):

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import fields
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def register_views(tables, prefix: str = "") -> list[str]:
     """Register every exam table as a temp view (``prefix + name``)."""
     names = []
-    for f in fields(tables):
-        name = prefix + f.name
-        getattr(tables, f.name).createOrReplaceTempView(name)
+    for table in tables.NAMES:
+        name = prefix + table
+        getattr(tables, table).createOrReplaceTempView(name)
         names.append(name)
     return names
 

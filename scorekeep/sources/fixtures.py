@@ -193,26 +193,41 @@ def view_of(df: DataFrame, name: str) -> DataFrame:
     spec = VIEWS[name]
     if spec.where:
         df = df.where(F.expr(spec.where))
-    df = df.select(*[F.expr(expr).alias(col) for col, expr in spec.columns])
+    df = df.selectExpr(*[f"{expr} AS {col}" for col, expr in spec.columns])
     return df.distinct() if spec.distinct else df
 
 
-@dataclass
 class ExamTables:
-    """The logical tables of one exam data set, as lazy DataFrames."""
+    """The logical tables of one exam data set (question, answer, absent,
+    paper_subject, paper, subject, student, batch) as DataFrames.
 
-    question: DataFrame
-    answer: DataFrame
-    absent: DataFrame
-    paper_subject: DataFrame
-    paper: DataFrame
-    subject: DataFrame
-    student: DataFrame
-    batch: DataFrame
+    Given frames are used as they are; the others are built on first use
+    from ``sf_dir``, so a query only lists and plans the tables it reads."""
+
+    NAMES = tuple(VIEWS)
+
+    def __init__(self, spark: SparkSession | None = None, sf_dir: str | None = None,
+                 **frames: DataFrame):
+        unknown = set(frames) - set(self.NAMES)
+        if unknown:
+            raise TypeError(f"unknown exam tables: {sorted(unknown)}")
+        self._spark, self._sf_dir, self._frames = spark, sf_dir, dict(frames)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self.NAMES:
+            raise AttributeError(name)
+        if name not in self._frames:
+            if self._spark is None:
+                raise AttributeError(f"table {name} was not given")
+            self._frames[name] = view(self._spark, self._sf_dir, name)
+        return self._frames[name]
+
+    def __repr__(self) -> str:
+        return f"ExamTables({self._sf_dir or ', '.join(self._frames)})"
 
 
 def load(spark: SparkSession, sf_dir: str) -> ExamTables:
-    return ExamTables(**{name: view(spark, sf_dir, name) for name in VIEWS})
+    return ExamTables(spark, sf_dir)
 
 
 def duckdb_with(*names: str) -> str:

@@ -9,11 +9,13 @@ from scorekeep.operators.scoring import score_answers
 from scorekeep.sources import fixtures
 
 
-def answer_stream(spark: SparkSession, source_dir: str, source_table: str = "lineitem",
+def answer_stream(spark: SparkSession, source_dir: str, schema_dir: str,
+                  source_table: str = "lineitem",
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Answer rows from parquet files of the answer's source table that
-    appear in ``source_dir``."""
-    schema = fixtures.read_table(spark, source_dir, source_table).schema
+    appear in ``source_dir``.  The file schema is fixed up front, taken from
+    the table in ``schema_dir`` (a stream does not infer schemas)."""
+    schema = fixtures.read_table(spark, schema_dir, source_table).schema
     reader = (spark.readStream.schema(schema)
               .option("pathGlobFilter", f"{source_table}*.parquet"))
     if max_files_per_trigger:

@@ -99,8 +99,8 @@ def test_sharded_jdbc_sink(spark):
         for tb in range(4):
             got = read_table(spark, urls[db], f"obj_{tb}").collect()
             for r in got:
-                assert shard_index_py(r["PAPERID"], 2) == db
-                assert shard_index_py(r["QUESTIONID"], 4) == tb
+                assert shard_index_py(r["paperId"], 2) == db
+                assert shard_index_py(r["questionId"], 4) == tb
             seen += len(got)
     assert seen == 60
     # overwrite replaces each physical table

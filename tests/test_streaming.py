@@ -17,7 +17,7 @@ def test_stream_scores_match_batch(spark, workdir):
     os.makedirs(src)
     shutil.copy(os.path.join(SF_SMALL, "lineitem.parquet"), src + "/lineitem-0001.parquet")
     t = fixtures.load(spark, SF_SMALL)
-    scores = score_stream(answer_stream(spark, src), t.question, t.absent)
+    scores = score_stream(answer_stream(spark, src, SF_SMALL), t.question, t.absent)
     q = start_incremental_scoring(scores, workdir + "/scores", workdir + "/ckpt")
     q.awaitTermination(120)
     got = spark.read.parquet(workdir + "/scores")
