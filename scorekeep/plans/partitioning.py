@@ -26,6 +26,8 @@ def shuffle_partitions(spark, n: int | None = None) -> int:
 
 def spread_if_narrow(df: DataFrame, keys: list[str], min_partitions: int | None = None,
                      n: int | None = None) -> DataFrame:
+    if df.isStreaming:
+        return df   # micro-batches are split by the source, not here
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

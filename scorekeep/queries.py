@@ -41,8 +41,14 @@ def question_detail(spark, sf_dir):
 
 
 def _detail_and_positions(spark, sf_dir):
+    """The detail plan and the pivot list; the pivot-list job runs while the
+    detail plan's size checks run."""
+    from concurrent.futures import ThreadPoolExecutor
     t = _tables(spark, sf_dir)
-    return question_detail(spark, sf_dir), wide.pivot_values(t.question)
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        positions = pool.submit(wide.pivot_values, t.question)
+        detail = question_detail(spark, sf_dir)
+        return detail, positions.result()
 
 
 def wide_scores(spark, sf_dir):

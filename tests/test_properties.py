@@ -25,3 +25,24 @@ def test_hash_matches_java_rule(spark, keys):
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     got = [r[0] for r in df.select(java_string_hash("k")).collect()]
     assert got == [java_string_hash_py(k) for k in keys]
+
+
+def test_strict_rows_are_a_subset_of_default(spark):
+    from scorekeep import queries
+    from tests.conftest import SF_SMALL
+    default = queries.wide_scores(spark, SF_SMALL)
+    strict = queries.wide_scores_strict(spark, SF_SMALL)
+    assert strict.exceptAll(default).count() == 0
+    assert strict.count() < default.count()
+    # the dropped groups are exactly those with a null key
+    assert default.where("dubiousType IS NULL").count() == default.count() - strict.count()
+
+
+def test_sharded_roundtrip_equals_input(spark):
+    from scorekeep import queries
+    from scorekeep.sources.fixtures import load
+    from tests.conftest import SF_SMALL
+    back = queries.sharded_roundtrip(spark, SF_SMALL)
+    src = load(spark, SF_SMALL).answer
+    assert back.select(*src.columns).exceptAll(src).count() == 0
+    assert src.exceptAll(back.select(*src.columns)).count() == 0
