@@ -134,3 +134,35 @@ def colocated_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
     """Join two tables bucketed alike on their keys: Spark reads bucket i of
     both sides in task i, with no exchange on either side."""
     return left.join(right, left[left_key] == right[right_key], how)
+
+
+def route_target(layout: ShardLayout, **keys) -> tuple[int, int]:
+    """The one (db_shard, tb_shard) that equality values on both shard keys
+    route to; anything that does not name exactly one target is refused."""
+    if set(keys) != {layout.db_key, layout.tb_key}:
+        raise RoutingError("a routed read needs equality on both shard keys to find one table")
+    db = shard_index_py(_literal_key(_scalar(keys[layout.db_key])), layout.n_db)
+    tb = shard_index_py(_literal_key(_scalar(keys[layout.tb_key])), layout.n_tb)
+    return db, tb
+
+
+def _scalar(value):
+    if isinstance(value, (list, tuple, set, frozenset, range, slice)):
+        raise RoutingError("a routed read to one table needs single values, not a set or range")
+    return value
+
+
+def routed_jdbc_read(spark: SparkSession, layout: ShardLayout, url_for_db, table: str,
+                     driver: str | None = None, user: str | None = None,
+                     password: str | None = None, **keys) -> DataFrame:
+    """Read the one physical table ``<table>_<tb_shard>`` of database
+    ``db_shard`` that the key values route to, filtered to those values.
+    The filters are DataFrame predicates, which the JDBC source sends to the
+    database as its WHERE clause (with properly escaped literals)."""
+    from scorekeep.sources.jdbc import jdbc_options
+    db, tb = route_target(layout, **keys)
+    opts = jdbc_options(url_for_db(db), driver, user, password, dbtable=f"{table}_{tb}")
+    df = spark.read.format("jdbc").options(**opts).load()
+    for key, value in keys.items():
+        df = df.where(F.col(key) == F.lit(str(value)))
+    return df

@@ -159,3 +159,22 @@ def test_param_query_binds_values(spark):
     assert param_query(spark, "SELECT * FROM {t} WHERE id < :n", {"n": 2}, t=df).count() == 2
     with pytest.raises(Exception):
         param_query(spark, "SELECT * FROM {t} WHERE id > ? AND id < ?", [1], t=df).count()
+
+
+def test_routed_jdbc_read(spark):
+    from scorekeep.operators.sharding import RoutingError, route_target, routed_jdbc_read
+    layout = ShardLayout(db_key="paperId", tb_key="questionId", n_db=2, n_tb=4)
+    rows = [(f"P{i % 3}", str(i % 7), i) for i in range(84)]
+    df = spark.createDataFrame(rows, "paperId string, questionId string, v int")
+    urls = {0: derby_url(), 1: derby_url()}
+    save_sharded_jdbc(df, layout, lambda db: urls[db], "obj", mode="append", driver=DERBY,
+                      create_table_column_types="paperId VARCHAR(16), questionId VARCHAR(16)")
+    got = routed_jdbc_read(spark, layout, lambda db: urls[db], "obj", driver=DERBY,
+                           paperId="P1", questionId="3")
+    expected = sorted(v for p, q, v in rows if p == "P1" and q == "3")
+    assert sorted(r["v"] for r in got.collect()) == expected
+    assert "PushedFilters" in got._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(RoutingError):
+        route_target(layout, paperId="P1")
+    with pytest.raises(RoutingError):
+        route_target(layout, paperId="P1", questionId=["1", "2"])
