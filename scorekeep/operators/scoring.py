@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from scorekeep.functions.answers import display_answer
 from scorekeep.functions.rules import MULTI_CHOICE_TYPE, rule_maps, rule_score, with_rule_map
 from scorekeep.plans.broadcast import bounded_broadcast, bounded_broadcasts
-from scorekeep.plans.partitioning import spread_if_narrow
 
 # Question type codes and row-state codes.
 SUBJECTIVE_TYPE = 4
@@ -78,7 +77,6 @@ def score_answers(question: DataFrame, answer: DataFrame, absent: DataFrame,
                      F.col("answer").alias("t1_answer"), "fixAnswer",
                      F.col("isDubious").alias("t1_isDubious"),
                      F.col("dubiousType").alias("t1_dubiousType"), "ABFlag", "isChoose"))
-    facts = spread_if_narrow(facts, ["stuId", "questionId"])
     joined = (facts.join(qdim, facts["questionId"] == qdim["q_id"], "inner")
               .join(absences, F.col("stuId") == F.col("a_userId"), "left"))
     return joined.select(

@@ -10,9 +10,11 @@ that would put every row of a hot student into one task.
 
 ``spread_if_narrow`` handles the opposite problem: a fact that arrives in
 fewer splits than the cluster has cores (a single large row group, a few
-big files) is redistributed by a hash of (student, question), which is
-even even for a hot student and deterministic on task retry.  A fact read
-from many files is left as it is, so at scale this adds no shuffle.
+big files, a one-connection JDBC read) is redistributed by a hash of
+(student, question), which is even for a hot student and deterministic on
+task retry.  A fact read from many files is left as it is, so at scale this
+adds no shuffle.  Apply it to a source scan: counting the splits of a plan
+that already contains a shuffle would make AQE run that shuffle.
 """
 
 from __future__ import annotations

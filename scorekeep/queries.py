@@ -34,10 +34,16 @@ def composite_totals(spark, sf_dir):
 
 
 def question_detail(spark, sf_dir):
+    """E1 and E2 are planned side by side (their size checks run at once)."""
+    from concurrent.futures import ThreadPoolExecutor
     t = _tables(spark, sf_dir)
-    scores = scoring.score_answers(t.question, t.answer, t.absent)
-    paper, bound = totals.paper_totals_bounded(t.question, t.paper_subject, t.subject)
-    return detail_ops.question_detail(scores, paper, t.student, totals_bound=bound)
+    question, answer, absent = t.question, t.answer, t.absent
+    paper_subject, subject, student = t.paper_subject, t.subject, t.student
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        scores = pool.submit(scoring.score_answers, question, answer, absent)
+        paper = pool.submit(totals.paper_totals_bounded, question, paper_subject, subject)
+        (totals_df, bound), scores_df = paper.result(), scores.result()
+    return detail_ops.question_detail(scores_df, totals_df, student, totals_bound=bound)
 
 
 def _detail_and_positions(spark, sf_dir):

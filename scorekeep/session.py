@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.bucketing.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    # compiled whole-stage code is kept for reuse; the default (100 classes)
+    # is exceeded by the pipelines' stages, and recompiling a wide
+    # aggregation costs about a second per stage
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
