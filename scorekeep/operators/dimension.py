@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorekeep.plans.broadcast import bounded_broadcast
+from scorekeep.plans.broadcast import bounded_broadcasts
 
 SUBJECTIVE_TYPE = 4
 LIVE_STATUS = 1
@@ -29,8 +29,8 @@ def question_dimension(paper: DataFrame, paper_subject: DataFrame,
     every column qualified by its table (``question_``, ``paperSubject_``,
     ``paper_``).  The two header tables are small and broadcast after a
     size check; the question table streams through."""
-    p = bounded_broadcast(paper.where(F.col("status") == LIVE_STATUS))
-    ps = bounded_broadcast(paper_subject.where(F.col("status") == LIVE_STATUS))
+    p, ps = bounded_broadcasts(paper.where(F.col("status") == LIVE_STATUS),
+                               paper_subject.where(F.col("status") == LIVE_STATUS))
     q = question.where(F.col("status") == LIVE_STATUS)
     joined = (q.join(ps, q["paperExamId"] == ps["id"], "inner")
               .join(p, ps["paperId"] == p["id"], "inner"))

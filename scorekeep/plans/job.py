@@ -16,6 +16,11 @@ the lineage from the sources:
 3. with the misconduct rule given late: the detail fact (written,
    partitioned by exam) and the wide score sheet computed from the written
    detail (one aggregation keyed by student, no self-joins).
+
+Optionally the objective scores and the wide sheet are also appended to
+JDBC tables, and the detail is inserted by position into a typed catalog
+table (the original's relational and warehouse copies).  The JDBC copies
+are read from the written stage tables, so they do not recompute a stage.
 """
 
 from __future__ import annotations
@@ -31,6 +36,8 @@ from scorekeep.operators import detail as detail_ops
 from scorekeep.operators import export, scoring, totals, wide
 from scorekeep.operators.students import load_students
 from scorekeep.session import scratch_path
+from scorekeep.sinks.jdbc import write_jdbc
+from scorekeep.sinks.tables import create_detail_table, insert_into
 from scorekeep.sources.fixtures import ExamTables
 
 USAGE = """usage: MODE REDO PAPER_ID PAPER_EXAM_ID
@@ -42,6 +49,20 @@ USAGE = """usage: MODE REDO PAPER_ID PAPER_EXAM_ID
 OUTPUTS = ("obj_score", "paper_score", "stu_que_detail", "stu_que_score")
 
 
+@dataclass
+class JdbcExport:
+    """Optional JDBC targets of the job: objective scores and the wide sheet
+    are appended there as well (credentials are passed, never logged)."""
+
+    url: str
+    obj_table: str = "obj_score"
+    wide_table: str = "stu_que_score"
+    driver: str | None = None
+    user: str | None = None
+    password: str | None = None
+    num_partitions: int | None = None
+
+
 @dataclass
 class ExamJob:
     spark: SparkSession
@@ -51,6 +72,8 @@ class ExamJob:
     paper_exam_id: int | None = None
     redo: bool = False
     partition_col: str = "paperExamId"
+    jdbc: JdbcExport | None = None
+    detail_table: str | None = None     # typed catalog table, filled by position
     written: dict = field(default_factory=dict)
 
     # ------------------------------------------------------------ stage 1
@@ -92,6 +115,21 @@ class ExamJob:
             df = df.where(F.col("paperId") == self.paper_id)
         return df
 
+    def _export_jdbc(self, df: DataFrame, table: str) -> None:
+        if self.jdbc is None:
+            return
+        j = self.jdbc
+        write_jdbc(df, j.url, table, mode="append", driver=j.driver, user=j.user,
+                   password=j.password, num_partitions=j.num_partitions)
+
+    def _insert_detail(self, detail: DataFrame) -> None:
+        if self.detail_table is None:
+            return
+        create_detail_table(self.spark, self.detail_table)
+        # the written table lists its partition column last; the insert is
+        # positional, so restore the target order first
+        insert_into(detail.select(*detail_ops.DETAIL_COLUMNS), self.detail_table)
+
     # ------------------------------------------------------------ stages 2, 3
     def start(self):
         """Stage 1 now; returns stage 2, which returns stage 3 (taking the
@@ -101,6 +139,8 @@ class ExamJob:
         def stage2():
             scores = self._write(scoring.score_answers(src.question, src.answer, src.absent),
                                  "obj_score")
+            if self.jdbc is not None:
+                self._export_jdbc(export.obj_score_export(scores), self.jdbc.obj_table)
             paper_df, bound = totals.paper_totals_bounded(src.question, src.paper_subject,
                                                           src.subject)
             paper = self._write(paper_df, "paper_score")
@@ -109,9 +149,12 @@ class ExamJob:
                 d = self._write(detail_ops.question_detail(scores, paper, src.student,
                                                            totals_bound=bound),
                                 "stu_que_detail")
+                self._insert_detail(d)
                 positions = wide.pivot_values(src.question)
                 sheet = export.wide_score_export(wide.wide_scores(d, positions, violation_rule))
-                self._write(sheet, "stu_que_score")
+                sheet = self._write(sheet, "stu_que_score")
+                if self.jdbc is not None:
+                    self._export_jdbc(sheet, self.jdbc.wide_table)
                 return 0
 
             return stage3

@@ -66,3 +66,22 @@ def test_export_frames(spark):
     assert e.select("id").distinct().count() == e.count()
     w = wide_score_export(queries.wide_scores(spark, SF_SMALL))
     assert {"id", "createtime", "fixTotal", "sourceScore"} <= set(w.columns)
+
+
+def test_job_with_jdbc_and_catalog_copies(spark, tables_small, workdir):
+    import uuid
+
+    from scorekeep.plans.job import JdbcExport
+    from scorekeep.sources.jdbc import jdbc_query
+    url = f"jdbc:derby:memory:job{uuid.uuid4().hex[:8]};create=true"
+    drv = "org.apache.derby.jdbc.EmbeddedDriver"
+    table = "detail_copy_" + uuid.uuid4().hex[:8]
+    job = ExamJob(spark, tables_small, workdir + "/jobj", paper_id="P0", paper_exam_id=102,
+                  jdbc=JdbcExport(url, driver=drv), detail_table=table)
+    job.start()()()
+    scores = spark.read.parquet(workdir + "/jobj/obj_score")
+    sheet = spark.read.parquet(workdir + "/jobj/stu_que_score")
+    assert jdbc_query(spark, url, "SELECT * FROM obj_score", driver=drv).count() == scores.count()
+    copied = jdbc_query(spark, url, "SELECT * FROM stu_que_score", driver=drv)
+    assert copied.count() == sheet.count()
+    assert spark.table(table).count() == spark.read.parquet(workdir + "/jobj/stu_que_detail").count()
