@@ -16,13 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorekeep.fixed_values import MULTI_CHOICE_TYPE, RULE_GROUP_TYPE
 from scorekeep.functions.answers import normalize_answer
 
 RULE_SCHEMA = "array<struct<type:string, values:array<struct<name:string, score:string>>>>"
 
-# Fixed value: question type whose score comes from the rule map.
-MULTI_CHOICE_TYPE = 2
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -38,7 +36,7 @@ def rule_pairs(rules="rules") -> Column:
     float, and text that is not a number gives null (scored as 0).
     """
     entries = F.from_json(_c(rules), RULE_SCHEMA)
-    groups = F.filter(entries, lambda e: F.lower(e["type"]) == "group")
+    groups = F.filter(entries, lambda e: F.lower(e["type"]) == RULE_GROUP_TYPE)
     return F.flatten(F.transform(groups, lambda e: F.transform(
         F.filter(e["values"], lambda v: v["name"].isNotNull()),
         lambda v: F.struct(normalize_answer(v["name"]).alias("k"),

@@ -6,11 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorekeep.fixed_values import LIVE_STATUS, SUBJECTIVE_TYPE
 from scorekeep.plans.broadcast import bounded_broadcasts
 
-SUBJECTIVE_TYPE = 4
-LIVE_STATUS = 1
-
 
 def objective_filter(type_col: str = "type") -> Column:
     """Questions other than subjective ones.  The type is read as an integer

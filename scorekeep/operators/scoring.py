@@ -13,14 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorekeep.fixed_values import (LIVE_STATUS, MULTI_CHOICE_TYPE, POSITION_PREFIX,
+                                    SUBJECTIVE_TYPE)
 from scorekeep.functions.answers import display_answer
-from scorekeep.functions.rules import MULTI_CHOICE_TYPE, rule_maps, rule_score, with_rule_map
+from scorekeep.functions.rules import rule_maps, rule_score, with_rule_map
 from scorekeep.plans.broadcast import bounded_broadcast, bounded_broadcasts
 
-# Question type codes and row-state codes.
-SUBJECTIVE_TYPE = 4
-LIVE_STATUS = 1
-
 SCORE_COLUMNS = [
     "paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq", "schoolId",
     "subjectId", "questionId", "questionOrder", "questionNo", "questionType", "questionScore",
@@ -40,7 +38,7 @@ def objective_question_dim(question: DataFrame) -> DataFrame:
                    F.col("score").alias("questionScore"),
                    "difficulty",
                    "standardAnswer",
-                   F.concat(F.lit("c"), F.col("pos")).alias("pos"),
+                   F.concat(F.lit(POSITION_PREFIX), F.col("pos")).alias("pos"),
                    "rules"))
     return with_rule_map(dim, only_when=F.col("questionType") == MULTI_CHOICE_TYPE).drop("rules")
 

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorekeep.fixed_values import SHARD_DATABASES, SHARD_TABLES
 from scorekeep.functions.shardhash import shard_index, shard_index_py
 
 SHARD_COLUMNS = ("db_shard", "tb_shard")
@@ -38,8 +39,8 @@ class ShardLayout:
 
     db_key: str = "paperId"
     tb_key: str = "questionId"
-    n_db: int = 2
-    n_tb: int = 256
+    n_db: int = SHARD_DATABASES
+    n_tb: int = SHARD_TABLES
 
 
 class RoutingError(ValueError):

@@ -15,12 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorekeep.fixed_values import COMPOSITE_FLAG, COMPOSITE_SHORT_NAME, SUBJECTIVE_TYPE
 from scorekeep.plans.broadcast import bounded_broadcast, bounded_broadcasts, counted_broadcasts
 
-SUBJECTIVE_TYPE = 4
-# Fixed value: short name of a composite exam's own total row.
-COMPOSITE_SHORT_NAME = "ZH"
-
 TOTAL_COLUMNS = [
     "paperId", "paperName", "paperExamId", "paperExamName", "subjectId", "subjectName",
     "subjectShortName", "objTotal", "subTotal", "paperTotal", "isAB", "isComprehensiveSubject",
@@ -83,7 +80,8 @@ def composite_totals(question: DataFrame, paper_subject: DataFrame,
     """One row per composite exam (isComprehensive = 1): its own full marks,
     keyed by the exam id in the subject column, short name ``ZH``."""
     sums = _exam_subject_sums(question) if sums is None else sums
-    exams = bounded_broadcast(_exams(paper_subject).where(F.col("ps_isComprehensive") == 1))
+    exams = bounded_broadcast(
+        _exams(paper_subject).where(F.col("ps_isComprehensive") == COMPOSITE_FLAG))
     grouped = _join_exams(sums, exams).groupBy(
         "ps_paperId", "ps_paperName", "ps_id", "ps_paperExamName", "ps_isAB",
         "ps_isComprehensive")
@@ -130,7 +128,7 @@ def paper_totals_bounded(question: DataFrame, paper_subject: DataFrame, subject:
     joined = (_join_exams(sums, exams)
               .join(subjects, per_subject & (F.col("subjectId") == F.col("s_id")), "left"))
     keep = ((per_subject & F.col("s_id").isNotNull())
-            | (~per_subject & (F.col("ps_isComprehensive") == 1)))
+            | (~per_subject & (F.col("ps_isComprehensive") == COMPOSITE_FLAG)))
     grouped = joined.where(keep).groupBy(
         "gid", "ps_paperId", "ps_paperName", "ps_id", "ps_paperExamName", "ps_isAB",
         "ps_isComprehensive", "s_id", "s_name", "s_short")

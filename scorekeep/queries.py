@@ -118,7 +118,7 @@ from scorekeep.operators import dimension, export, sharding, students  # noqa: E
 from scorekeep.sources import catalog, params  # noqa: E402
 from scorekeep.session import scratch_path  # noqa: E402
 
-# Fixed value: the fixture shard layout (2 databases x 8 tables).
+# The fixture shard layout: 2 databases x 8 tables (small enough for tests).
 FIXTURE_LAYOUT = sharding.ShardLayout(db_key="paperId", tb_key="questionId", n_db=2, n_tb=8)
 BUCKETS = 8
 

@@ -4,24 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The student-question detail target table, 41 columns by
-# position (names as in the target, scores as decimal(12,4)).
-DETAIL_TARGET_COLUMNS = [
-    ("paperId", "STRING"), ("paperName", "STRING"), ("paperExamId", "STRING"),
-    ("paperExamName", "STRING"), ("stuId", "STRING"), ("stuSeq", "STRING"),
-    ("ABFlag", "INT"), ("isChoose", "INT"), ("isDubious", "INT"), ("dubiousType", "INT"),
-    ("stuAnswer", "STRING"), ("standardAnswer", "STRING"), ("questionId", "STRING"),
-    ("questionNo", "STRING"), ("questionOrder", "INT"), ("questionType", "INT"),
-    ("score", "DECIMAL(12,4)"), ("stuScore", "DECIMAL(12,4)"), ("difficulty", "STRING"),
-    ("pos", "STRING"), ("subjectId", "STRING"), ("subjectName", "STRING"),
-    ("subjectShortName", "STRING"), ("userName", "STRING"), ("cityId", "STRING"),
-    ("cityName", "STRING"), ("areaId", "STRING"), ("areaName", "STRING"),
-    ("schoolId", "STRING"), ("schoolName", "STRING"), ("gradeId", "STRING"),
-    ("gradeName", "STRING"), ("classId", "STRING"), ("className", "STRING"),
-    ("studentType", "INT"), ("WLType", "INT"), ("objTotal", "DECIMAL(12,4)"),
-    ("subTotal", "DECIMAL(12,4)"), ("paperTotal", "DECIMAL(12,4)"),
-    ("questionKnowledges", "STRING"), ("isComprehensiveSubject", "INT"),
-]
+from scorekeep.fixed_values import DETAIL_TARGET_COLUMNS
 
 
 def create_table(spark: SparkSession, name: str, columns, location: str | None = None,

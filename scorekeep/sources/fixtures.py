@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from scorekeep.plans.partitioning import spread_if_narrow
 
-# The three answer-rule sets used by multi-choice questions.
+# The three answer-rule sets given to multi-choice questions in the fixture.
 # Rule text format: a JSON array of {"type": "group", "values": [{"name", "score"}]}
 # entries; "score" may be a number or numeric text; entries of another type,
 # or without a type, are ignored; a repeated name keeps the last score.
