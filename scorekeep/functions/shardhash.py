@@ -5,9 +5,13 @@ A shard of a string key is ``abs(h) % n`` where ``h`` is Java's 32-bit
 and ``abs`` is Java's ``Math.abs`` on int (so ``abs(MIN_VALUE)`` stays
 negative).  Spark's own ``hash()`` is Murmur3 and cannot be used.
 
-Computed as a JVM expression: the key is encoded as UTF-16BE, hex-printed,
-cut into 4-hex-digit code units, and folded with ``aggregate``.  The fold
-is reduced modulo 2^32 at each step, so it never overflows a bigint.
+Computed as one JVM expression: ``aggregate`` folds the key's code points
+(``ascii`` of each one-character substring gives the code point).  A code
+point above U+FFFF is two UTF-16 units in Java, a high and a low surrogate,
+so it is folded in as ``h*31*31 + high*31 + low``; an all-ASCII key (the
+usual id or UUID) takes a shorter fold without that test.  The fold is reduced
+modulo 2^32 at each step, so it never overflows a bigint, and the sign is
+restored once at the end.
 """
 
 from __future__ import annotations
@@ -26,13 +30,25 @@ def _c(col) -> Column:
 def java_string_hash(col) -> Column:
     """Java ``String.hashCode`` of a string column, as int (null for null)."""
     key = _c(col).cast("string")
-    hexed = F.hex(F.encode(key, "UTF-16BE"))
-    starts = F.sequence(F.lit(1), F.length(hexed), F.lit(4))
-    units = F.transform(starts, lambda i: F.conv(F.substring(hexed, i, 4), 16, 10).cast("bigint"))
-    folded = F.aggregate(units, F.lit(0).cast("bigint"),
-                         lambda acc, u: (acc * 31 + u) % _TWO_32)
-    unsigned = F.when(F.length(key) == 0, F.lit(0).cast("bigint")).otherwise(folded)
-    return F.when(unsigned >= _TWO_31, unsigned - _TWO_32).otherwise(unsigned).cast("int")
+
+    def step(acc, i):
+        cp = F.ascii(F.substring(key, i, 1)).cast("bigint")
+        supplementary = cp - 65536
+        high = F.shiftright(supplementary, 10) + 0xD800
+        low = supplementary.bitwiseAND(0x3FF) + 0xDC00
+        return F.when(cp > 0xFFFF, (acc * 961 + high * 31 + low) % _TWO_32).otherwise(
+            (acc * 31 + cp) % _TWO_32)
+
+    def ascii_step(acc, i):
+        return (acc * 31 + F.ascii(F.substring(key, i, 1))) % _TWO_32
+
+    positions = F.sequence(F.lit(1), F.length(key))
+    zero = F.lit(0).cast("bigint")
+    unsigned = (F.when(F.length(key) == 0, zero)
+                # ASCII keys (ids, UUIDs): one byte per character, no surrogates
+                .when(F.octet_length(key) == F.length(key), F.aggregate(positions, zero, ascii_step))
+                .otherwise(F.aggregate(positions, zero, step)))
+    return (((unsigned + _TWO_31) % _TWO_32) - _TWO_31).cast("int")
 
 
 def shard_index(col, n: int) -> Column:
