@@ -85,3 +85,12 @@ def test_job_with_jdbc_and_catalog_copies(spark, tables_small, workdir):
     copied = jdbc_query(spark, url, "SELECT * FROM stu_que_score", driver=drv)
     assert copied.count() == sheet.count()
     assert spark.table(table).count() == spark.read.parquet(workdir + "/jobj/stu_que_detail").count()
+
+
+def test_job_command_line(spark, workdir, capsys):
+    from scorekeep.plans.job import main
+    out = workdir + "/cli"
+    assert main(["0", "1", "P1", "103", SF_SMALL, out]) == 0
+    assert spark.read.parquet(out + "/stu_que_score").count() > 0
+    assert main(["0"]) == 0
+    assert "usage" in capsys.readouterr().out

@@ -112,3 +112,26 @@ def test_totals_one_aggregation_of_questions(spark):
     assert "Union" not in p
     assert "Expand" in p          # both grains from one grouping-sets aggregation
     assert df.agg(F.count("*")).collect()[0][0] == 53
+
+
+def test_spread_only_narrow_inputs(spark):
+    from scorekeep.plans.partitioning import spread_if_narrow
+    from scorekeep.sources.fixtures import read_table
+    from tests.conftest import SF_SMALL
+    narrow = read_table(spark, SF_SMALL, "lineitem")
+    assert narrow.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    spread = spread_if_narrow(narrow, ["l_orderkey", "l_partkey"])
+    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert spread.count() == narrow.count()
+    wide_input = spark.range(0, 1000, numPartitions=32)
+    assert spread_if_narrow(wide_input, ["id"]) is wide_input
+
+
+def test_pivot_list_is_bounded(spark):
+    import pytest
+    from scorekeep.sources.fixtures import load
+    from tests.conftest import SF_SMALL
+    q = load(spark, SF_SMALL).question
+    assert wide.pivot_values(q) == [f"c{i}" for i in range(1, 21)]
+    with pytest.raises(ValueError):
+        wide.pivot_values(q, max_values=5)
