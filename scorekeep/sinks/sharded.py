@@ -4,13 +4,15 @@ database ``db_shard``.
 The input is written once as the sharded parquet layout under the shared
 scratch folder (one pass over the data, rebalanced on the shard columns);
 each physical table is then written from its own partition directory, so
-every per-table job reads only its rows.  The save mode applies per
+every per-table job reads only its rows, and several tables are written at
+once.  The save mode applies per
 physical table with Spark's JDBC semantics (see ``sinks.jdbc``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,15 +24,23 @@ from scorekeep.sinks.jdbc import write_jdbc
 
 def save_sharded_jdbc(df: DataFrame, layout: ShardLayout, url_for_db: Callable[[int], str],
                       table: str, mode: str = "append", truncate: bool = False,
-                      staging: str | None = None, **jdbc) -> str:
+                      staging: str | None = None, parallel_writes: int = 8, **jdbc) -> str:
+    """Returns the staging path (the sharded parquet copy, readable with
+    ``operators.sharding.read_sharded``).  ``parallel_writes`` physical
+    tables are written at a time (each write is its own distributed job);
+    pass ``num_partitions`` to cap the connections of each write."""
     spark = df.sparkSession
     staging = staging or scratch_path(spark, f"shard-stage-{table}")
     write_sharded(df, staging, layout, "overwrite")
     staged = spark.read.parquet(staging)
-    for db in range(layout.n_db):
-        for tb in range(layout.n_tb):
-            part = (staged.where((F.col("db_shard") == db) & (F.col("tb_shard") == tb))
-                    .drop(*SHARD_COLUMNS))
-            write_jdbc(part, url_for_db(db), f"{table}_{tb}", mode=mode, truncate=truncate,
-                       **jdbc)
+
+    def write_one(target):
+        db, tb = target
+        part = (staged.where((F.col("db_shard") == db) & (F.col("tb_shard") == tb))
+                .drop(*SHARD_COLUMNS))
+        write_jdbc(part, url_for_db(db), f"{table}_{tb}", mode=mode, truncate=truncate, **jdbc)
+
+    targets = [(db, tb) for db in range(layout.n_db) for tb in range(layout.n_tb)]
+    with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+        list(pool.map(write_one, targets))
     return staging
