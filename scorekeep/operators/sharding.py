@@ -137,9 +137,14 @@ def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int,
 
 
 def colocated_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                   how: str = "inner") -> DataFrame:
+                   how: str = "inner", buckets: int | None = None) -> DataFrame:
     """Join two tables bucketed alike on their keys: Spark reads bucket i of
-    both sides in task i, with no exchange on either side."""
+    both sides in task i, with no exchange on either side.  With
+    ``buckets`` given, keys of ``left`` holding more than an average bucket
+    are joined separately by broadcast (see ``plans.skew``)."""
+    if buckets:
+        from scorekeep.plans.skew import split_hot_join
+        return split_hot_join(left, right, left_key, right_key, buckets, how)
     return left.join(right, left[left_key] == right[right_key], how)
 
 

@@ -242,7 +242,7 @@ def colocated_join(spark, sf_dir):
     s = sharding.write_bucketed(
         t.student.select("userId", "stuName", "schoolId", "classId"),
         f"student_by_id_{tag}", scratch_path(spark, "student-by-id"), "userId", BUCKETS)
-    return sharding.colocated_join(a, s, "stuId", "userId").select(
+    return sharding.colocated_join(a, s, "stuId", "userId", buckets=BUCKETS).select(
         "questionId", "stuId", "questionOrder", "answer", "stuName", "schoolId", "classId")
 
 
