@@ -126,12 +126,12 @@ def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int,
                    mode: str = "overwrite") -> DataFrame:
     """Save ``df`` as a catalog table bucketed (and sorted) on ``key``.
 
-    The rows are hash-partitioned on the key into ``buckets`` partitions
-    first -- the same hash bucketing uses -- so each task writes exactly one
-    bucket file instead of one file per bucket per task.  (All rows of one
-    key belong to one bucket by definition, so a hot key makes one large
-    bucket; pick a key without a dominant value, as the shard layout does.)"""
-    (df.repartition(buckets, key).write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    The rows are rebalanced on the key into ``buckets`` partitions first --
+    the same hash bucketing uses -- so a task writes one bucket's file
+    instead of one file per bucket per task, while AQE may still split an
+    oversized (hot-key) bucket over several writers (several files of the
+    same bucket) or merge small ones."""
+    (df.hint("rebalance", buckets, key).write.mode(mode).bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(name))
     return df.sparkSession.table(name)
 
