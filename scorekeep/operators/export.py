@@ -10,6 +10,7 @@ from scorekeep.functions.audit import with_audit_columns
 EXPORT_COLUMNS = ["paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq",
                   "schoolId", "questionId", "questionOrder", "answer", "ABFlag", "stuScore"]
 DEFAULT_WRITER = "objective-scoring"
+AUDIT_CONSTANTS = ("sourceScore", "status", "lastModifier", "creator")
 
 
 def obj_score_frame(scores: DataFrame, writer: str = DEFAULT_WRITER) -> DataFrame:
@@ -22,11 +23,18 @@ def obj_score_frame(scores: DataFrame, writer: str = DEFAULT_WRITER) -> DataFram
 
 
 def obj_score_export(scores: DataFrame, writer: str = DEFAULT_WRITER) -> DataFrame:
-    """Full export rows: adds a UUID ``id`` and ``createDate``/``lastModify``."""
-    return with_audit_columns(obj_score_frame(scores, writer), "id",
-                              ("createDate", "lastModify"))
+    """Full export rows: the 12 score columns, then ``id`` (UUID),
+    ``createDate``, ``lastModify``, ``sourceScore``, ``status``,
+    ``lastModifier``, ``creator``."""
+    frame = obj_score_frame(scores, writer)
+    audited = with_audit_columns(frame, "id", ("createDate", "lastModify"))
+    head = [c for c in frame.columns if c not in AUDIT_CONSTANTS]
+    return audited.select(*head, "id", "createDate", "lastModify", *AUDIT_CONSTANTS)
 
 
 def wide_score_export(wide_scores: DataFrame) -> DataFrame:
-    """Wide score sheet rows with a UUID ``id`` and ``createtime``."""
-    return with_audit_columns(wide_scores, "id", ("createtime",))
+    """Wide score sheet rows: keys, cells, totals, then ``id`` (UUID),
+    ``sourceScore``, ``createtime``, ``fixTotal``."""
+    audited = with_audit_columns(wide_scores, "id", ("createtime",))
+    head = [c for c in wide_scores.columns if c not in ("sourceScore", "fixTotal")]
+    return audited.select(*head, "id", "sourceScore", "createtime", "fixTotal")

@@ -94,3 +94,13 @@ def test_job_command_line(spark, workdir, capsys):
     assert spark.read.parquet(out + "/stu_que_score").count() > 0
     assert main(["0"]) == 0
     assert "usage" in capsys.readouterr().out
+
+
+def test_export_column_order(spark):
+    scores = queries.score_answers(spark, SF_SMALL)
+    e = obj_score_export(scores)
+    assert e.columns[12:] == ["id", "createDate", "lastModify", "sourceScore", "status",
+                              "lastModifier", "creator"]
+    w = wide_score_export(queries.wide_scores(spark, SF_SMALL))
+    assert w.columns[-4:] == ["id", "sourceScore", "createtime", "fixTotal"]
+    assert w.columns[-7:-4] == ["total", "subjectiveTotal", "objectiveTotal"]
