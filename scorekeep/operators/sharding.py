@@ -178,3 +178,33 @@ def routed_jdbc_read(spark: SparkSession, layout: ShardLayout, url_for_db, table
     for key, value in keys.items():
         df = df.where(F.col(key) == F.lit(str(value)))
     return df
+
+
+def gather_jdbc(spark: SparkSession, layout: ShardLayout, url_for_db, table: str,
+                keys: DataFrame, driver: str | None = None, user: str | None = None,
+                password: str | None = None) -> DataFrame:
+    """Rows of the JDBC-sharded ``table`` whose table-shard key is in ``keys``.
+
+    Only the physical tables that some key routes to are read: the distinct
+    table shards of the keys (at most ``n_tb`` values, so collecting them is
+    bounded) in every database.  The reads are one
+    union, semi-joined to the keys (a broadcast when the key set is small)."""
+    from scorekeep.plans.broadcast import bounded_broadcast
+    from scorekeep.sources.jdbc import jdbc_options
+    key = layout.tb_key
+    k = keys.select(F.col(key).cast("string").alias(key)).distinct()
+    table_shards = sorted(r["tb_shard"] for r in (
+        k.select(shard_index(F.col(key), layout.n_tb).alias("tb_shard")).distinct()
+        .limit(layout.n_tb).collect()))
+    # the keys do not name the database shard, so every database is read
+    targets = [(tb, db) for tb in table_shards for db in range(layout.n_db)]
+    if not targets:
+        raise RoutingError("no keys to gather")
+    parts = []
+    for tb, db in targets:
+        opts = jdbc_options(url_for_db(int(db)), driver, user, password, dbtable=f"{table}_{tb}")
+        parts.append(spark.read.format("jdbc").options(**opts).load())
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows.join(bounded_broadcast(k), rows[key].cast("string") == k[key], "left_semi")

@@ -178,3 +178,22 @@ def test_routed_jdbc_read(spark):
         route_target(layout, paperId="P1")
     with pytest.raises(RoutingError):
         route_target(layout, paperId="P1", questionId=["1", "2"])
+
+
+def test_gather_jdbc_reads_only_routed_tables(spark):
+    from scorekeep.operators.sharding import gather_jdbc
+    from scorekeep.functions.shardhash import shard_index_py
+    layout = ShardLayout(db_key="paperId", tb_key="questionId", n_db=2, n_tb=4)
+    rows = [(f"P{i % 3}", str(i % 11), i) for i in range(110)]
+    df = spark.createDataFrame(rows, "paperId string, questionId string, v int")
+    urls = {0: derby_url(), 1: derby_url()}
+    save_sharded_jdbc(df, layout, lambda db: urls[db], "g", mode="append", driver=DERBY,
+                      create_table_column_types="paperId VARCHAR(16), questionId VARCHAR(16)")
+    wanted = ["1", "2", "5"]
+    keys = spark.createDataFrame([(w,) for w in wanted], "questionId string")
+    got = gather_jdbc(spark, layout, lambda db: urls[db], "g", keys, driver=DERBY)
+    assert sorted(r["v"] for r in got.collect()) == sorted(v for p, q, v in rows if q in wanted)
+    import re
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    read = set(re.findall(r"JDBCRelation\((g_\d+)\)", plan))
+    assert read == {f"g_{shard_index_py(w, 4)}" for w in wanted}
