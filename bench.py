@@ -33,7 +33,8 @@ def main() -> None:
     from scorekeep.queries import QUERIES
     from scorekeep.session import build_session
     spark = build_session("scorekeep-bench", master=f"local[{cpus}]",
-                          shuffle_partitions=max(8, 2 * cpus),
+                          # sf0.1 shuffles are small: one partition per core
+                          shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           extra={"spark.driver.memory": "8g"})
 
     def once(name: str) -> float:
