@@ -46,9 +46,9 @@ def objective_question_dim(question: DataFrame) -> DataFrame:
 def live_absences(absent: DataFrame) -> DataFrame:
     """Absence rows that are live; the right side of the ON-predicate outer join."""
     return (absent.where(F.col("status") == LIVE_STATUS)
-            .select(F.col("userId").alias("a_userId"),
-                    F.col("dubiousType").alias("a_dubiousType"),
-                    F.col("sourceFrom").alias("a_sourceFrom")))
+            .select(F.col("userId").alias("ab_userId"),
+                    F.col("dubiousType").alias("ab_dubiousType"),
+                    F.col("sourceFrom").alias("ab_sourceFrom")))
 
 
 def score_expr() -> F.Column:
@@ -57,10 +57,10 @@ def score_expr() -> F.Column:
     float precision), else 0.  The raw answer is scored, not the corrected one."""
     q_type = F.col("questionType")
     matched = (q_type != SUBJECTIVE_TYPE) & (q_type != MULTI_CHOICE_TYPE) & (
-        F.col("t1_answer") == F.col("standardAnswer"))
+        F.col("raw_answer") == F.col("standardAnswer"))
     return (F.when(matched, F.col("questionScore"))
             .when(q_type == MULTI_CHOICE_TYPE,
-                  rule_score("ruleMap", "t1_answer").cast("double"))
+                  rule_score("ruleMap", "raw_answer").cast("double"))
             .otherwise(F.lit(0.0)))
 
 
@@ -72,22 +72,22 @@ def score_answers(question: DataFrame, answer: DataFrame, absent: DataFrame,
     facts = (answer.where((F.col("isChoose") > 0) & (F.col("status") == LIVE_STATUS))
              .select("paperId", "paperName", "paperExamId", "paperExamName", "stuId",
                      "stuSeq", "schoolId", "questionId", "questionOrder",
-                     F.col("answer").alias("t1_answer"), "fixAnswer",
-                     F.col("isDubious").alias("t1_isDubious"),
-                     F.col("dubiousType").alias("t1_dubiousType"), "ABFlag", "isChoose"))
+                     F.col("answer").alias("raw_answer"), "fixAnswer",
+                     F.col("isDubious").alias("raw_isDubious"),
+                     F.col("dubiousType").alias("raw_dubiousType"), "ABFlag", "isChoose"))
     joined = (facts.join(qdim, facts["questionId"] == qdim["q_id"], "inner")
-              .join(absences, F.col("stuId") == F.col("a_userId"), "left"))
+              .join(absences, F.col("stuId") == F.col("ab_userId"), "left"))
     return joined.select(
         "paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq",
         "schoolId", "subjectId", "questionId", "questionOrder", "questionNo",
         "questionType", "questionScore", "difficulty",
-        display_answer("t1_answer", "fixAnswer", "t1_isDubious", "t1_dubiousType")
+        display_answer("raw_answer", "fixAnswer", "raw_isDubious", "raw_dubiousType")
         .alias("answer"),
         "ABFlag",
-        F.when(F.col("a_dubiousType").isNull(), 0).otherwise(1).alias("isDubious"),
-        F.col("a_dubiousType").alias("dubiousType"),
+        F.when(F.col("ab_dubiousType").isNull(), 0).otherwise(1).alias("isDubious"),
+        F.col("ab_dubiousType").alias("dubiousType"),
         score_expr().alias("stuScore"),
-        F.col("a_sourceFrom").alias("sourceScore"),
+        F.col("ab_sourceFrom").alias("sourceScore"),
         "isChoose", "standardAnswer", "pos")
 
 
@@ -106,9 +106,9 @@ def left_join_on_predicate(answer: DataFrame, absent: DataFrame) -> DataFrame:
     one (an outer join whose right-side predicate sits in ON, so a non-live
     absence yields nulls rather than dropping the row)."""
     absences = bounded_broadcast(live_absences(absent))
-    return (answer.join(absences, answer["stuId"] == absences["a_userId"], "left")
+    return (answer.join(absences, answer["stuId"] == absences["ab_userId"], "left")
             .select("questionId", "stuId", "questionOrder", "answer",
                     F.col("dubiousType").alias("answerDubiousType"),
-                    F.col("a_dubiousType").alias("dubiousType"),
-                    F.when(F.col("a_dubiousType").isNull(), 0).otherwise(1).alias("isDubious"),
-                    F.col("a_sourceFrom").alias("sourceScore")))
+                    F.col("ab_dubiousType").alias("dubiousType"),
+                    F.when(F.col("ab_dubiousType").isNull(), 0).otherwise(1).alias("isDubious"),
+                    F.col("ab_sourceFrom").alias("sourceScore")))
