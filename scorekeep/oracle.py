@@ -404,3 +404,10 @@ QUERIES.update({
     "sharded_roundtrip": sharded_roundtrip,
     "colocated_join": colocated_join,
 })
+
+
+def jdbc_roundtrip() -> str:
+    return with_views(["absent"], [], "SELECT * FROM absent")
+
+
+QUERIES["jdbc_roundtrip"] = jdbc_roundtrip

@@ -267,3 +267,28 @@ QUERIES.update({
     "sharded_roundtrip": sharded_roundtrip,
     "colocated_join": colocated_join,
 })
+
+
+# ------------------------------------------------------------ JDBC round trip
+DERBY_DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
+
+
+def jdbc_roundtrip(spark, sf_dir):
+    """The absence table appended to a JDBC database and read back by a
+    partitioned JDBC query scan.  The database is Derby in memory, inside the
+    Spark JVM (no server, no port), so the check needs nothing outside."""
+    import uuid
+
+    from scorekeep.sinks.jdbc import write_jdbc
+    from scorekeep.sources.jdbc import jdbc_query
+    absent = _tables(spark, sf_dir).absent
+    url = f"jdbc:derby:memory:scorekeep_{uuid.uuid4().hex[:12]};create=true"
+    write_jdbc(absent, url, "absent_copy", mode="append", driver=DERBY_DRIVER,
+               create_table_column_types="paperId VARCHAR(32)")
+    lo, hi = absent.agg(F.min("userId"), F.max("userId")).first()
+    return jdbc_query(spark, url, "SELECT * FROM absent_copy", driver=DERBY_DRIVER,
+                      partition_column="userId", lower_bound=lo or 0, upper_bound=(hi or 0) + 1,
+                      num_partitions=4)
+
+
+QUERIES["jdbc_roundtrip"] = jdbc_roundtrip
