@@ -66,9 +66,13 @@ def score_expr() -> F.Column:
 
 def score_answers(question: DataFrame, answer: DataFrame, absent: DataFrame,
                   max_broadcast_rows: int | None = None) -> DataFrame:
+    # the dimension's size is bounded by the source columns it is built from
+    # (its rule map is smaller than the rule text it is parsed from)
+    source = question.where(F.col("type") < SUBJECTIVE_TYPE).select(
+        "id", "subjectId", "No", "type", "score", "difficulty", "standardAnswer", "pos", "rules")
     qdim, absences = bounded_broadcasts(
-        (objective_question_dim(question), question.where(F.col("type") < SUBJECTIVE_TYPE)),
-        live_absences(absent), max_rows=max_broadcast_rows)
+        (objective_question_dim(question), source), live_absences(absent),
+        max_rows=max_broadcast_rows)
     facts = (answer.where((F.col("isChoose") > 0) & (F.col("status") == LIVE_STATUS))
              .select("paperId", "paperName", "paperExamId", "paperExamName", "stuId",
                      "stuSeq", "schoolId", "questionId", "questionOrder",

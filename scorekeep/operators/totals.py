@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorekeep.fixed_values import COMPOSITE_FLAG, COMPOSITE_SHORT_NAME, SUBJECTIVE_TYPE
-from scorekeep.plans.broadcast import bounded_broadcast, bounded_broadcasts, counted_broadcasts
+from scorekeep.plans.broadcast import (bounded_broadcast, bounded_broadcasts, counted_broadcasts,
+                                       fixed_row_bytes)
 
 TOTAL_COLUMNS = [
     "paperId", "paperName", "paperExamId", "paperExamName", "subjectId", "subjectName",
@@ -101,9 +102,12 @@ def paper_totals(question: DataFrame, paper_subject: DataFrame, subject: DataFra
 
 
 def paper_totals_bounded(question: DataFrame, paper_subject: DataFrame, subject: DataFrame):
-    """``(totals, bound)``: the totals and a proven bound on their row count
-    (exam rows x (subject rows + 1): a total row is one exam-subject row
-    with at most one subject row, or the exam's own row).
+    """``(totals, (rows, bytes))``: the totals and a proven bound on their size.
+
+    A total row is one exam-subject row with at most one subject row, or the
+    exam's own row, so there are at most exams x (subjects + 1) rows; their
+    text comes from those rows (the exam's text at most twice in its own
+    row), which bounds the text bytes by the probed sizes of both tables.
 
     Both kinds of total rows from one aggregation of the question table.
 
@@ -122,8 +126,8 @@ def paper_totals_bounded(question: DataFrame, paper_subject: DataFrame, subject:
                  F.sum(F.when(q_type == SUBJECTIVE_TYPE, score).otherwise(0)).alias("sub"),
                  F.sum(score).alias("all"),
                  F.grouping_id().alias("gid")))
-    (exams, subjects), (n_exams, n_subjects) = counted_broadcasts(
-        _exams(paper_subject), _subjects(subject))
+    (exams, subjects), ((n_exams, exam_bytes), (n_subjects, subject_bytes)) = \
+        counted_broadcasts(_exams(paper_subject), _subjects(subject))
     per_subject = F.col("gid") == 0
     joined = (_join_exams(sums, exams)
               .join(subjects, per_subject & (F.col("subjectId") == F.col("s_id")), "left"))
@@ -132,7 +136,7 @@ def paper_totals_bounded(question: DataFrame, paper_subject: DataFrame, subject:
     grouped = joined.where(keep).groupBy(
         "gid", "ps_paperId", "ps_paperName", "ps_id", "ps_paperExamName", "ps_isAB",
         "ps_isComprehensive", "s_id", "s_name", "s_short")
-    return grouped.agg(*_rounded_totals()).select(
+    totals = grouped.agg(*_rounded_totals()).select(
         F.col("ps_paperId").alias("paperId"), F.col("ps_paperName").alias("paperName"),
         F.col("ps_id").alias("paperExamId"), F.col("ps_paperExamName").alias("paperExamName"),
         F.when(per_subject, F.col("s_id").cast("bigint")).otherwise(F.col("ps_id"))
@@ -144,4 +148,8 @@ def paper_totals_bounded(question: DataFrame, paper_subject: DataFrame, subject:
         "objTotal", "subTotal", "paperTotal",
         F.coalesce(F.col("ps_isAB"), F.lit(0)).alias("isAB"),
         F.when(per_subject, F.col("ps_isComprehensive")).otherwise(F.lit(0))
-        .alias("isComprehensiveSubject")), n_exams * (n_subjects + 1)
+        .alias("isComprehensiveSubject"))
+    rows = n_exams * (n_subjects + 1)
+    size = (rows * fixed_row_bytes(totals) + (n_subjects + 2) * exam_bytes
+            + n_exams * subject_bytes + 2 * n_exams)
+    return totals, (rows, size)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scorekeep.operators import detail as detail_ops
 from scorekeep.operators import scoring, totals, wide
+from scorekeep.plans.broadcast import size_probe
 from scorekeep.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,16 +35,19 @@ def composite_totals(spark, sf_dir):
 
 
 def question_detail(spark, sf_dir):
-    """E1 and E2 are planned side by side (their size checks run at once)."""
+    """E1, E2 and the student-size probe are planned side by side (their
+    size checks run at once)."""
     from concurrent.futures import ThreadPoolExecutor
     t = _tables(spark, sf_dir)
     question, answer, absent = t.question, t.answer, t.absent
     paper_subject, subject, student = t.paper_subject, t.subject, t.student
-    with ThreadPoolExecutor(max_workers=2) as pool:
+    with ThreadPoolExecutor(max_workers=3) as pool:
         scores = pool.submit(scoring.score_answers, question, answer, absent)
         paper = pool.submit(totals.paper_totals_bounded, question, paper_subject, subject)
+        student_size = pool.submit(size_probe, detail_ops.student_side(student))
         (totals_df, bound), scores_df = paper.result(), scores.result()
-    return detail_ops.question_detail(scores_df, totals_df, student, totals_bound=bound)
+    return detail_ops.question_detail(scores_df, totals_df, student, totals_bound=bound,
+                                      student_size=student_size.result())
 
 
 def _detail_and_positions(spark, sf_dir):

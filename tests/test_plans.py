@@ -153,3 +153,18 @@ def test_hot_key_split_join(spark, workdir):
     assert joined.count() == plain.count() == 900
     assert joined.exceptAll(plain.select(*joined.columns)).count() == 0
     assert "Union" in plan(joined)
+
+
+def test_size_probe_counts_text_bytes(spark):
+    from scorekeep.plans.broadcast import ROW_OVERHEAD, TEXT_SLOT, bounded_broadcast, size_probe
+    df = spark.createDataFrame([(1, "ab"), (2, "cdef"), (3, None)], "k long, s string")
+    n, b = size_probe(df)
+    assert n == 3 and b == 3 * (ROW_OVERHEAD + 8 + TEXT_SLOT) + 6
+    spark.conf.set("scorekeep.broadcast.maxBytes", str(b - 1))
+    try:
+        assert "broadcast" not in bounded_broadcast(df)._jdf.queryExecution().analyzed() \
+            .toString().lower()
+    finally:
+        spark.conf.unset("scorekeep.broadcast.maxBytes")
+    assert "broadcast" in bounded_broadcast(df)._jdf.queryExecution().analyzed() \
+        .toString().lower()
