@@ -62,6 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not is_local_master(spark):
+            # a driver-local folder is invisible to executors on other hosts
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage "
+                               "(every executor must reach it)")
         configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
