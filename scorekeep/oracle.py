@@ -365,7 +365,8 @@ FROM question WHERE type < 4""")
 
 
 def shard_routed_read() -> str:
-    return with_views(["answer"], [], "SELECT * FROM answer WHERE paperId = 'P0'")
+    return with_views(["answer", "paper"], [], """
+SELECT * FROM answer WHERE paperId IN (SELECT id FROM paper WHERE status = 1)""")
 
 
 def shard_gather() -> str:

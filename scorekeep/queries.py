@@ -218,9 +218,21 @@ def _sharded_answers(spark, sf_dir) -> str:
     return path
 
 
+MAX_ROUTED_KEYS = 100_000
+
+
 def shard_routed_read(spark, sf_dir):
+    """Answers of every live paper, read by routing on the database key: an
+    IN list of the live papers' ids becomes the de-duplicated set of
+    database shards (a partition filter) plus the key predicate.  The id
+    list comes from the exam-header table and its size is checked."""
+    t = _tables(spark, sf_dir)
+    papers = [r["id"] for r in t.paper.where(F.col("status") == 1).select("id").distinct()
+              .limit(MAX_ROUTED_KEYS + 1).collect()]
+    if len(papers) > MAX_ROUTED_KEYS:
+        raise ValueError("too many papers for one routed read; use shard_gather")
     path = _sharded_answers(spark, sf_dir)
-    return (sharding.routed_read(spark, path, FIXTURE_LAYOUT, paperId="P0")
+    return (sharding.routed_read(spark, path, FIXTURE_LAYOUT, paperId=papers)
             .drop(*sharding.SHARD_COLUMNS))
 
 

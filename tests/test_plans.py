@@ -45,9 +45,28 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 
 
 def test_routed_read_prunes_partitions(spark):
-    p = formatted(queries.shard_routed_read(spark, SF_MEDIUM))
-    assert "PartitionFilters: [isnotnull(db_shard" in p or "db_shard" in p
-    assert "(db_shard#" in p
+    df = queries.shard_routed_read(spark, SF_MEDIUM)
+    df.count()
+    text = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [db_shard" in text and " IN (0,1)]" in text
+
+
+def test_equality_route_reads_one_database(spark, workdir):
+    from scorekeep.operators import sharding
+    from scorekeep.sources.fixtures import load
+    layout = queries.FIXTURE_LAYOUT
+    answers = load(spark, SF_MEDIUM).answer
+    path = workdir + "/sharded"
+    sharding.write_sharded(answers, path, layout, "overwrite")
+    df = sharding.routed_read(spark, path, layout, paperId="P0")
+    df.count()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    from scorekeep.functions.shardhash import shard_index_py
+    assert f"(db_shard#" in text and f"= {shard_index_py('P0', 2)})" in text
+    assert df.count() == answers.where("paperId = 'P0'").count()
+    one = sharding.routed_read(spark, path, layout, paperId="P1", questionId="7")
+    assert one.count() == answers.where("paperId = 'P1' AND questionId = 7").count()
 
 
 def test_gather_uses_dynamic_pruning(spark):
