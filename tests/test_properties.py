@@ -1,5 +1,6 @@
 """Property checks (hypothesis) on the answer normaliser and shard hash."""
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -46,3 +47,49 @@ def test_sharded_roundtrip_equals_input(spark):
     src = load(spark, SF_SMALL).answer
     assert back.select(*src.columns).exceptAll(src).count() == 0
     assert src.exceptAll(back.select(*src.columns)).count() == 0
+
+
+# ---- rule semantics against a direct statement of them (brute force on small inputs)
+import json  # noqa: E402
+
+from scorekeep.functions.rules import rule_map, rule_score  # noqa: E402
+
+
+def _norm(a: str) -> str:
+    return "".join(sorted(a.lower().split(","))) if "," in a else a
+
+
+def _expected_score(rules: list, answer):
+    if answer is None or answer == "":
+        return 0.0
+    table = {}
+    for entry in rules:
+        if str(entry.get("type", "")).lower() != "group":
+            continue
+        for v in entry.get("values", []):
+            if v.get("name") is None:
+                continue
+            try:
+                s = float(v.get("score"))
+            except (TypeError, ValueError):
+                s = None
+            table[_norm(v["name"])] = s
+    got = table.get(_norm(answer))
+    return 0.0 if got is None else got
+
+
+names = st.lists(st.sampled_from(["A", "B", "C", "a"]), min_size=1, max_size=3).map(",".join)
+scores = st.one_of(st.integers(0, 5), st.sampled_from(["1", "2.5", "x"]))
+values = st.lists(st.fixed_dictionaries({"name": names, "score": scores}), max_size=4)
+entries = st.lists(st.fixed_dictionaries({"type": st.sampled_from(["group", "GROUP", "other"]),
+                                          "values": values}), max_size=3)
+
+
+@settings(max_examples=12, deadline=None)
+@given(entries, st.lists(st.one_of(st.none(), st.just(""), names), min_size=1, max_size=6))
+def test_rule_score_matches_statement(spark, rules, answers):
+    text = json.dumps(rules)
+    df = spark.createDataFrame([(text, a) for a in answers], "rules string, answer string")
+    got = [r[0] for r in df.select(rule_score(rule_map("rules"), "answer")).collect()]
+    want = [_expected_score(rules, a) for a in answers]
+    assert got == pytest.approx(want)
