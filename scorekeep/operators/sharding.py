@@ -54,11 +54,12 @@ def with_shards(df: DataFrame, layout: ShardLayout) -> DataFrame:
     })
 
 
-def write_sharded(df: DataFrame, path: str, layout: ShardLayout, mode: str = "append") -> None:
-    """Write ``df`` as the sharded layout.  ``mode`` is Spark's save mode:
-    append, overwrite, error(ifexists) or ignore."""
+def write_sharded(df: DataFrame, path: str, layout: ShardLayout, mode: str = "append") -> DataFrame:
+    """Write ``df`` as the sharded layout and return it re-read (lazily).
+    ``mode`` is Spark's save mode: append, overwrite, error(ifexists) or ignore."""
     (with_shards(df, layout).hint("rebalance", *SHARD_COLUMNS)
      .write.mode(mode).partitionBy(*SHARD_COLUMNS).parquet(path))
+    return read_sharded(df.sparkSession, path)
 
 
 def _literal_key(value) -> str:

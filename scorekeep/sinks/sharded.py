@@ -24,15 +24,15 @@ from scorekeep.sinks.jdbc import write_jdbc
 
 def save_sharded_jdbc(df: DataFrame, layout: ShardLayout, url_for_db: Callable[[int], str],
                       table: str, mode: str = "append", truncate: bool = False,
-                      staging: str | None = None, parallel_writes: int = 8, **jdbc) -> str:
-    """Returns the staging path (the sharded parquet copy, readable with
-    ``operators.sharding.read_sharded``).  ``parallel_writes`` physical
+                      staging: str | None = None, parallel_writes: int = 8,
+                      **jdbc) -> DataFrame:
+    """Returns the staged sharded copy (a readable relation of what was
+    written).  ``parallel_writes`` physical
     tables are written at a time (each write is its own distributed job);
     pass ``num_partitions`` to cap the connections of each write."""
     spark = df.sparkSession
     staging = staging or scratch_path(spark, f"shard-stage-{table}")
-    write_sharded(df, staging, layout, "overwrite")
-    staged = spark.read.parquet(staging)
+    staged = write_sharded(df, staging, layout, "overwrite")
 
     def write_one(target):
         db, tb = target
@@ -43,4 +43,4 @@ def save_sharded_jdbc(df: DataFrame, layout: ShardLayout, url_for_db: Callable[[
     targets = [(db, tb) for db in range(layout.n_db) for tb in range(layout.n_tb)]
     with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
         list(pool.map(write_one, targets))
-    return staging
+    return staged
