@@ -283,7 +283,7 @@ def filter_objective() -> str:
 
 
 def dim_scan() -> str:
-    return with_views(["subject"], [], "SELECT * FROM subject")
+    return with_views(["question"], [], "SELECT * FROM question")
 
 
 def table_scan() -> str:

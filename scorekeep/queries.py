@@ -154,7 +154,9 @@ def filter_objective(spark, sf_dir):
 
 
 def dim_scan(spark, sf_dir):
-    return _tables(spark, sf_dir).subject
+    """Full, unfiltered scan of a dimension (the question table: it grows
+    with the data, unlike the fixed-size subject list)."""
+    return _tables(spark, sf_dir).question
 
 
 def table_scan(spark, sf_dir):
