@@ -104,3 +104,51 @@ def test_export_column_order(spark):
     w = wide_score_export(queries.wide_scores(spark, SF_SMALL))
     assert w.columns[-4:] == ["id", "sourceScore", "createtime", "fixTotal"]
     assert w.columns[-7:-4] == ["total", "subjectiveTotal", "objectiveTotal"]
+
+
+def test_job_one_exam_matches_duckdb(spark, tables_small, workdir):
+    """The staged job for one exam (P0 / 102) against SQL written from the
+    same views: exam filters on every source, batch-aware students, the
+    pivot list taken from that exam's questions."""
+    from scorekeep import compare, oracle
+    from scorekeep.sources.fixtures import VIEWS
+    out = workdir + "/exam102"
+    ExamJob(spark, tables_small, out, paper_id="P0", paper_exam_id=102).start()()()
+    sheet = spark.read.parquet(out + "/stu_que_score").drop("id", "createtime")
+
+    base = ",\n".join(f"{n}_all AS (\n{VIEWS[n].sql()}\n)" for n in
+                      ["question", "answer", "absent", "paper_subject", "subject", "student",
+                       "batch"])
+    exam = "paperId = 'P0' AND paperExamId = 102"
+    filtered = f"""
+question AS (SELECT * FROM question_all WHERE {exam}),
+answer AS (SELECT * FROM answer_all WHERE {exam}),
+absent AS (SELECT * FROM absent_all WHERE {exam}),
+paper_subject AS (SELECT * FROM paper_subject_all WHERE paperId = 'P0' AND id = 102),
+subject AS (SELECT * FROM subject_all),
+batches AS (SELECT DISTINCT paperId, id AS batchId FROM batch_all),
+multi AS (SELECT paperId FROM batches GROUP BY paperId HAVING COUNT(*) > 1),
+student AS (
+  SELECT s.* FROM student_all s
+  WHERE s.paperId = 'P0'
+    AND EXISTS (SELECT 1 FROM batches b WHERE b.paperId = s.paperId AND b.batchId = s.batchId)
+    AND (s.paperId NOT IN (SELECT paperId FROM multi)
+         OR EXISTS (SELECT 1 FROM paper_subject e
+                    WHERE e.paperId = s.paperId AND e.id = s.paperExamId)))"""
+    ctes = "WITH " + base + "," + filtered + "".join(
+        ",\n" + c.strip() for c in oracle.DETAIL_CTES)
+    positions = [f"c{r[0]}" for r in compare.duckdb_frame(
+        ctes + "\nSELECT DISTINCT pos FROM question ORDER BY pos", SF_SMALL).itertuples(
+        index=False)]
+    assert positions == [c for c in sheet.columns if c.startswith("c") and c[1:].isdigit()]
+    saved = oracle.POSITIONS
+    try:
+        oracle.POSITIONS = positions
+        sql = ctes + "\n" + oracle._wide()
+    finally:
+        oracle.POSITIONS = saved
+    right = compare.duckdb_frame(sql, SF_SMALL)
+    left = sheet.toPandas()
+    assert sorted(left.columns) == sorted(right.columns)
+    assert len(left) == len(right) > 0
+    assert compare.canonical_rows(left) == compare.canonical_rows(right)
