@@ -187,3 +187,26 @@ def test_size_probe_counts_text_bytes(spark):
         spark.conf.unset("scorekeep.broadcast.maxBytes")
     assert "broadcast" in bounded_broadcast(df)._jdf.queryExecution().analyzed() \
         .toString().lower()
+
+
+def test_at_scale_aggregation_reuses_student_partitioning(spark):
+    """Growing dimensions over the bound: the wide aggregation sits directly
+    on the student sort-merge join -- no exchange in between, so the fact is
+    shuffled by student once and both aggregation phases reuse it."""
+    old_auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("scorekeep.broadcast.maxRows", "100")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = queries.wide_scores(spark, SF_MEDIUM)
+        lines = plan(df).splitlines()
+        first_join = next(i for i, ln in enumerate(lines) if "SortMergeJoin" in ln)
+        assert not any("Exchange" in ln for ln in lines[:first_join])
+        assert sum("HashAggregate" in ln for ln in lines[:first_join]) == 2
+        assert "stuId" in lines[first_join]
+        assert df.count() == 35298
+    finally:
+        spark.conf.unset("scorekeep.broadcast.maxRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_auto)
+        spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
