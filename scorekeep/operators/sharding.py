@@ -200,7 +200,10 @@ def gather_jdbc(spark: SparkSession, layout: ShardLayout, url_for_db, table: str
     # the keys do not name the database shard, so every database is read
     targets = [(tb, db) for tb in table_shards for db in range(layout.n_db)]
     if not targets:
-        raise RoutingError("no keys to gather")
+        # no keys: an empty result with the table's columns (the filter is
+        # sent to the database, so no rows are read)
+        opts = jdbc_options(url_for_db(0), driver, user, password, dbtable=f"{table}_0")
+        return spark.read.format("jdbc").options(**opts).load().where(F.lit(False))
     parts = []
     for tb, db in targets:
         opts = jdbc_options(url_for_db(int(db)), driver, user, password, dbtable=f"{table}_{tb}")

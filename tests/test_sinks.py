@@ -193,6 +193,9 @@ def test_gather_jdbc_reads_only_routed_tables(spark):
     keys = spark.createDataFrame([(w,) for w in wanted], "questionId string")
     got = gather_jdbc(spark, layout, lambda db: urls[db], "g", keys, driver=DERBY)
     assert sorted(r["v"] for r in got.collect()) == sorted(v for p, q, v in rows if q in wanted)
+    empty = gather_jdbc(spark, layout, lambda db: urls[db], "g",
+                        keys.where("questionId = 'none'"), driver=DERBY)
+    assert empty.count() == 0 and set(empty.columns) == {"paperId", "questionId", "v"}
     import re
     plan = got._jdf.queryExecution().executedPlan().toString()
     read = set(re.findall(r"JDBCRelation\((g_\d+)\)", plan))
