@@ -31,8 +31,12 @@ def spread_if_narrow(df: DataFrame, keys: list[str], min_partitions: int | None
     if df.isStreaming:
         return df   # micro-batches are split by the source, not here
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:   # a session without RDD access (Spark Connect): leave it to Spark
+        return df
+    if splits >= target:
         return df
     return df.repartition(max(shuffle_partitions(spark, n), target), *keys)
 

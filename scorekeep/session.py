@@ -55,7 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     executor can reach); that setting is used as it is.  Only when it is
     unset (local tests) is a fresh folder made here.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:   # Spark Connect: no context here; the setting must be given
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -83,7 +89,7 @@ def local_path(path: str) -> str:
 
 
 def is_local_master(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return spark.conf.get("spark.master", "").startswith("local")
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path",
