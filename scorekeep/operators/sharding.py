@@ -111,9 +111,10 @@ def gather(sharded: DataFrame, keys: DataFrame, layout: ShardLayout,
     key = key or layout.tb_key
     shard_col, n = (("tb_shard", layout.n_tb) if key == layout.tb_key
                     else ("db_shard", layout.n_db))
+    from scorekeep.plans.broadcast import bounded_broadcast
     k = (keys.select(F.col(key)).distinct()
          .withColumn(shard_col, shard_index(F.col(key).cast("string"), n)))
-    return sharded.join(k, [key, shard_col], "left_semi")
+    return sharded.join(bounded_broadcast(k), [key, shard_col], "left_semi")
 
 
 def shard_targets(df: DataFrame, layout: ShardLayout, group: str | None = None) -> DataFrame:

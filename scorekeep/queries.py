@@ -192,8 +192,10 @@ def union_positional(spark, sf_dir):
 
 def param_query(spark, sf_dir):
     t = _tables(spark, sf_dir)
+    from scorekeep.plans.broadcast import bounded_broadcast
+    question = bounded_broadcast(t.question.select("id", "type", "score"))
     return params.param_query(spark, params.SCORED_ANSWERS_SQL, params.SCORED_ANSWERS_ARGS,
-                              answer=t.answer, question=t.question)
+                              answer=t.answer, question=question)
 
 
 def student_batch_load(spark, sf_dir):
