@@ -81,15 +81,6 @@ def size_probe(df: DataFrame) -> tuple[int, int]:
     return n, n * fixed + text
 
 
-def row_count(df: DataFrame) -> int:
-    return df.count()
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return row_count(df) <= max_rows
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
                       bound_by: DataFrame | None = None) -> DataFrame:
     """``df`` with a broadcast hint if its size is proven under the bounds.

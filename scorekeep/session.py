@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -88,14 +87,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local file checks in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def is_local_master(spark: SparkSession) -> bool:
     return spark.conf.get("spark.master", "").startswith("local")
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path",
-           "is_local_master", "os"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "is_local_master"]

@@ -106,3 +106,16 @@ def test_detail_and_wide(toy):
     assert strict == {10}                           # null dubiousType groups dropped
     rule2 = {r.stuId: r.fixTotal for r in wide_scores(detail, ["c1"], (2, 0.0)).collect()}
     assert rule2[10] == 0.0
+
+
+def test_output_column_order(toy):
+    from scorekeep.operators.detail import DETAIL_COLUMNS
+    from scorekeep.operators.scoring import SCORE_COLUMNS
+    from scorekeep.operators.totals import TOTAL_COLUMNS
+    q, a, absent, ps, subject, student = toy
+    scores = score_answers(q, a, absent)
+    totals = paper_totals(q, ps, subject)
+    assert scores.columns == SCORE_COLUMNS
+    assert totals.columns == TOTAL_COLUMNS
+    assert question_detail(scores, totals, student).columns == DETAIL_COLUMNS
+    assert len(DETAIL_COLUMNS) == 41
