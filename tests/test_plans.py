@@ -210,3 +210,28 @@ def test_at_scale_aggregation_reuses_student_partitioning(spark):
         spark.conf.unset("scorekeep.broadcast.maxRows")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_auto)
         spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
+
+
+def test_bucketed_inputs_make_the_question_join_shuffle_free(spark, workdir):
+    """Answer fact and question table bucketed alike on the question id: with
+    the question table over the broadcast bound, the scoring join reads the
+    buckets side by side and the fact is shuffled only by student."""
+    from scorekeep.operators import scoring, sharding
+    from scorekeep.sources.fixtures import load
+    t = load(spark, SF_MEDIUM)
+    a = sharding.write_bucketed(t.answer, "ans_by_question", workdir + "/a", "questionId", 8)
+    q = sharding.write_bucketed(t.question, "question_by_id", workdir + "/q", "id", 8)
+    old_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("scorekeep.broadcast.maxRows", "100")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = scoring.score_answers(q, a, t.absent)
+        lines = plan(df).splitlines()
+        join = next(i for i, ln in enumerate(lines) if "SortMergeJoin [questionId" in ln)
+        below = lines[join + 1:]
+        assert not any("Exchange" in ln for ln in below if "stuId" not in ln and "userId" not in ln)
+        assert sum("Exchange hashpartitioning(stuId" in ln for ln in lines) == 1
+        assert df.count() == 40927
+    finally:
+        spark.conf.unset("scorekeep.broadcast.maxRows")
+        spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
