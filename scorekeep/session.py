@@ -25,9 +25,10 @@ DEFAULT_CONF = {
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     # broadcasts only on a proven size: the planner's estimate-based broadcast
     # is off; sides are hinted after a size probe (plans.broadcast), and AQE
-    # may still broadcast a side once it has measured its real shuffle output
+    # may still broadcast a side once it has measured its real shuffle output.
+    # That measure is compressed bytes, so its bound is kept small.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     # compiled whole-stage code is kept for reuse; the default (100 classes)
     # is exceeded by the pipelines' stages, and recompiling a wide
     # aggregation costs about a second per stage
