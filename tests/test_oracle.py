@@ -66,3 +66,29 @@ def test_shuffle_join_fallback_matches_oracle(spark, name):
     finally:
         spark.conf.unset("scorekeep.broadcast.maxRows")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
+                   "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
+
+
+def test_column_types_match_oracle(spark):
+    """Every query's column types equal its DuckDB twin's (analysis only)."""
+    import os
+
+    import duckdb
+    con = duckdb.connect()
+    for t in compare.RAW_TABLES:
+        path = os.path.join(SF_SMALL, f"{t}.parquet")
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    bad = {}
+    for name, sql in SQL.items():
+        spark_types = dict(queries.QUERIES[name](spark, SF_SMALL).dtypes)
+        rel = con.sql(sql)
+        duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        diff = {c: (t, duck_types.get(c)) for c, t in spark_types.items()
+                if SPARK_TO_DUCKDB.get(t, t) != duck_types.get(c)}
+        if diff:
+            bad[name] = diff
+    assert not bad, bad
