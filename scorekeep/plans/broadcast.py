@@ -112,7 +112,9 @@ def counted_broadcasts(*sides, max_rows: int | None = None):
         df, bound = item
         if isinstance(bound, tuple):
             return bound
-        return size_probe(df if bound is None else bound)
+        if bound is None or isinstance(bound, int):   # a row count alone proves no bytes
+            return size_probe(df)
+        return size_probe(bound)
 
     if len(items) == 1:
         sizes = [probe(items[0])]
