@@ -7,7 +7,8 @@ the hot keys and joins them separately:
 
 * a key is hot when it has more rows than an average bucket
   (``rows / buckets``), so there are fewer hot keys than buckets -- a
-  proven bound, which makes the hot-key set safe to broadcast;
+  proven bound, which makes the hot-key list safe to collect and use as a
+  filter (filters keep the bucketed layout);
 * rows with a hot key join the matching right rows by broadcast (the right
   side is expected to be a dimension, a few rows per key; the hot subset
   is size-checked);
@@ -35,16 +36,14 @@ def split_hot_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
                    buckets: int, how: str = "inner") -> DataFrame:
     if how not in ("inner", "left"):
         raise ValueError("hot-key splitting keeps inner and left join semantics only")
-    hot = hot_keys(left, left_key, buckets)
-    hot_list = hot.limit(buckets).collect()      # < buckets rows by construction
-    plain = left.join(right, left[left_key] == right[right_key], how)
-    if not hot_list:
-        return plain
-    hot_set = F.broadcast(hot.withColumnRenamed(left_key, "__hot"))
-    left_hot = left.join(hot_set, left[left_key] == F.col("__hot"), "left_semi")
-    left_cold = left.join(hot_set, left[left_key] == F.col("__hot"), "left_anti")
-    right_hot = bounded_broadcast(
-        right.join(hot_set, right[right_key] == F.col("__hot"), "left_semi"))
+    hot = [r[0] for r in hot_keys(left, left_key, buckets).limit(buckets).collect()]
+    if not hot:                                   # < buckets keys by construction
+        return left.join(right, left[left_key] == right[right_key], how)
+    # plain filters keep the bucketed layout of both scans; a null key is not hot
+    is_hot = F.col(left_key).isin(hot)
+    left_hot = left.where(is_hot)
+    left_cold = left.where(F.coalesce(~is_hot, F.lit(True)))
+    right_hot = bounded_broadcast(right.where(F.col(right_key).isin(hot)))
     return (left_cold.join(right, left_cold[left_key] == right[right_key], how)
             .unionByName(left_hot.join(right_hot, left_hot[left_key] == right_hot[right_key],
                                        how)))

@@ -235,3 +235,18 @@ def test_bucketed_inputs_make_the_question_join_shuffle_free(spark, workdir):
     finally:
         spark.conf.unset("scorekeep.broadcast.maxRows")
         spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
+
+
+def test_hot_key_split_left_join_keeps_null_keys(spark, workdir):
+    from scorekeep.operators.sharding import colocated_join, write_bucketed
+    rows = [(7, i) for i in range(300)] + [(k, k) for k in range(600)] + [(None, -1)]
+    facts = spark.createDataFrame(rows, "stuId long, q long")
+    dim = spark.createDataFrame([(k, f"s{k}") for k in range(0, 600, 2)],
+                                "userId long, name string")
+    a = write_bucketed(facts, "hot_left_facts", workdir + "/lf", "stuId", 8)
+    d = write_bucketed(dim, "hot_left_dim", workdir + "/ld", "userId", 8)
+    joined = colocated_join(a, d, "stuId", "userId", how="left", buckets=8)
+    plain = facts.join(dim, facts.stuId == dim.userId, "left")
+    assert joined.count() == plain.count() == 901
+    assert joined.where("stuId IS NULL").count() == 1
+    assert joined.exceptAll(plain.select(*joined.columns)).count() == 0
