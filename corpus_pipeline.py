@@ -1,4 +1,8 @@
-"""A corpus from documents: five stages, each written as Parquet and reread as the next one's documents."""
+"""A corpus from documents: five stages, each written as Parquet and reread as the next one's documents.
+
+Every stage but the last returns the columns of documents, with n_chars counted anew where it changes texts.
+A document is known by its doc_id; rows with a null doc_id are dropped by the first stage.
+"""
 
 from __future__ import annotations
 
@@ -6,33 +10,65 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorekeep.llm.common import written
+from scorekeep.llm.language_id import UNKNOWN, identify_languages
 from scorekeep.llm.ngram_jaccard import ngram_jaccard_join
+from scorekeep.llm.packing import pack_documents
+from scorekeep.llm.personal_data import masked, personal_data
 from scorekeep.llm.substring_dedup import substring_dedup
 
+#: A document goes if its language is unknown, or the likeliest is no likelier than this.
+LEAST_SCORE = 0.3
 
-def _with_text(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """docs with the texts of the same doc_id, n_chars counted anew."""
-    changed = docs.drop("text", "n_chars").join(texts.select("doc_id", "text"), "doc_id")
-    return changed.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+def keep_known_languages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told; those without letters, or that fit no language, go."""
+    found = identify_languages(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > LEAST_SCORE))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
 
 
 def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of 0.8-similar sets of 5-word shingles: the smallest doc_id."""
     groups = ngram_jaccard_join(docs)
-    return docs.join(groups.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)
 
 
 def drop_repeated_spans(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without sentences of repeated spans; documents left without text go."""
-    return _with_text(docs, substring_dedup(docs).where("n_removed = 0 or length(text) > 0"))
+    """Texts without sentences of repeated spans; documents left without words go."""
+    texts = substring_dedup(docs).where(r"n_removed = 0 OR text RLIKE '\\S'").select("doc_id", "text")
+    changed = docs.drop("text", "n_chars").join(texts, "doc_id")
+    return changed.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mask_personal_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with every span of personal data replaced by its kind in brackets."""
+    found = personal_data(docs).where("size(spans) > 0").select("doc_id", "spans")
+    text = F.when(F.col("spans").isNotNull(), masked(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    changed = docs.join(found, "doc_id", "left").withColumn("text", text)
+    return changed.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 4096 tokens."""
+    import public_tokenizers
+
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("ngram_jaccard", drop_near_copies), ("substring_dedup", drop_repeated_spans)]
+STAGES = [
+    ("language_id", keep_known_languages),
+    ("ngram_jaccard", drop_near_copies),
+    ("substring_dedup", drop_repeated_spans),
+    ("personal_data", mask_personal_data),
+    ("best_fit_packing", pack),
+]
 
+#: SQL can't train the classifier or run the tokenizer; the tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir: str) -> DataFrame:
+    """The pieces that the last stage packs from the documents of sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
