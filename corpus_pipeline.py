@@ -42,8 +42,11 @@ def drop_repeated_spans(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_personal_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every span of personal data replaced by its kind in brackets."""
-    found = personal_data(docs).where("size(spans) > 0").select("doc_id", "spans")
-    text = F.when(F.col("spans").isNotNull(), masked(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    spans = "spans"
+    while spans in map(str.lower, docs.columns):
+        spans += "_"
+    found = personal_data(docs).where("size(spans) > 0").select("doc_id", F.col("spans").alias(spans))
+    text = F.when(F.col(spans).isNotNull(), masked(F.col("text"), F.col(spans))).otherwise(F.col("text"))
     changed = docs.join(found, "doc_id", "left").withColumn("text", text)
     return changed.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
