@@ -9,9 +9,9 @@ Partitions with nearly empty pairs of cells would meet by chance; a set with no
 leaves them out, which loses nothing, as one good partition with full cells is left.
 
 Work on shared signatures runs in two steps, neither of which lists the pairs of a group: every set is
-verified against the smallest set of each signature, and the links give components; only sets that share a
-signature and are still in different components are then verified with each other.  Further links inside a
-component can't change it.  Equal sets are one node from the start, so copies cost nothing.
+verified against the smallest set of each signature, and the links give components; only sets that may share
+a signature and are still in different components are then verified with each other, block by block.  Further
+links inside a component can't change it.  Equal sets are one node from the start, so copies cost nothing.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from scorekeep.llm.words import U, mix, scan, shingles
 
 #: Ratio of neighbouring bands' upper ends, and the size up to which sets must be equal.
 BAND_RATIO = 1.5
+#: Sets on either side of a block of verified pairs.
+BLOCK = 256
 #: Pairs of cells with fewer elements count as nearly empty.
 THIN = 2
 
@@ -137,6 +139,65 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(F.col("shared") * 100 >= union * percent).select("a", "b"))
 
 
+def _block_links(percent: int):
+    def link(table: pa.Table) -> pa.Table:
+        """Links of a block of probes with a block of targets, one per probe and component."""
+        table = table.combine_chunks()
+        node, component, probe = (table.column(c).to_numpy() for c in ("node", "component", "probe"))
+        items = table.column("items").combine_chunks()
+        size = np.diff(items.offsets.to_numpy())
+        _, at = np.unique(items.flatten().to_numpy(), return_inverse=True)
+        owner = np.repeat(np.arange(len(node)), size)
+        left, right = np.flatnonzero(probe), np.flatnonzero(~probe)
+        if not len(left) or not len(right):
+            return pa.table({"a": node[:0], "b": node[:0]})
+        rank = np.empty(len(node), np.int64)
+        rank[left], rank[right] = np.arange(len(left)), np.arange(len(right))
+        shared = np.zeros((len(left), len(right)), np.float32)
+        for low in range(0, int(at.max()) + 1, 4096):  # 0/1 matrices of 4096 shingles at a time
+            here = (at >= low) & (at < low + 4096)
+            own, col = owner[here], at[here] - low
+            p, t = (np.zeros((len(x), 4096), np.float32) for x in (left, right))
+            of_probe = probe[own]
+            p[rank[own[of_probe]], col[of_probe]] = 1
+            t[rank[own[~of_probe]], col[~of_probe]] = 1
+            shared += p @ t.T
+        shared = shared.astype(np.int64)  # exact: counts stay under 2**24
+        near = (100 * shared >= percent * (size[left][:, None] + size[right][None, :] - shared)) & (
+            component[left][:, None] != component[right][None, :])
+        i, j = np.nonzero(near)
+        one = np.unique(np.stack((i, component[right][j])), axis=1, return_index=True)[1] if len(i) else i
+        return pa.table({"a": node[left[i[one]]], "b": node[right[j[one]]]})
+
+    return link
+
+
+def _late_links(pairs: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between sets that could share a signature but are still in different components.
+
+    Pairs of sets that met make clusters, each a superset of components.  Sets outside a cluster's largest
+    component are verified against all of the cluster, in blocks of BLOCK by BLOCK that go to different
+    tasks; no pair of sets becomes a row unless it is a link.
+    """
+    clusters = components(pairs, "a", "b").select("node", F.col("component").alias("cluster"))
+    placed = written(clusters.join(found, "node", "left").select(
+        "cluster", "node", F.coalesce("component", "node").alias("component")), "placed")
+    sized = written(placed.groupBy("cluster", "component").count().groupBy("cluster").agg(
+        F.sum("count").alias("n"), F.max("count").alias("most"), F.max_by("component", F.struct("count", "component"))
+        .alias("main")).where("n > most and n > 2")
+        .select("cluster", "main", F.ceil(F.col("n") / BLOCK).alias("blocks"),
+                F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("probe_blocks")), "sized")
+    rows = placed.join(sized, "cluster").join(sets, "node")
+    own = lambda blocks: F.pmod(F.xxhash64("node"), blocks)
+    every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
+    columns = ["cluster", "x", "y", "node", "component", "items", "probe"]
+    targets = rows.select("*", own("blocks").alias("y"), F.lit(False).alias("probe"), every("probe_blocks").alias("x"))
+    probes = rows.where("component <> main").select(
+        "*", own("probe_blocks").alias("x"), F.lit(True).alias("probe"), every("blocks").alias("y"))
+    return (targets.select(columns).unionAll(probes.select(columns)).groupBy("cluster", "x", "y")
+            .applyInArrow(_block_links(percent), "a long, b long"))
+
+
 def ngram_jaccard_join(documents: DataFrame, n: int = 5, percent: int = 80,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Components of documents whose sets of n-word shingles have Jaccard similarity >= percent / 100.
@@ -168,21 +229,7 @@ def ngram_jaccard_join(documents: DataFrame, n: int = 5, percent: int = 80,
     links = written(_linked(pairs, sets, percent), "links")
     found = written(components(links, "a", "b"), "found")
 
-    # sets that share a signature but are still apart
-    placed = members.join(found, "node", "left").select(
-        "signature", "node", F.coalesce("component", "node").alias("component"))
-    apart = written(placed.groupBy("signature").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
-                    .where("c1 < c2").select("signature"), "apart")
-    rest = written(placed.join(apart, "signature"), "rest")
-    sized = sets.select("node", F.size("items").alias("size"))
-    rest = rest.join(sized, "node")
-    one, two = (rest.select("signature", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "size")))
-                for x in "ab")
-    near = (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
-    crossed = (one.join(two, "signature").where("component_a < component_b").where(near)
-               .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
-    tried = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    late = written(_linked(crossed.join(tried, ["a", "b"], "left_anti"), sets, percent), "late")
+    late = written(_late_links(pairs, found, sets, percent), "late")
     if not late.isEmpty():
         found = written(components(links.unionAll(late), "a", "b"), "found")
 
