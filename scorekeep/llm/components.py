@@ -1,7 +1,7 @@
 """Connected components of a graph that may be larger than any machine.
 
 Large-star and small-star rounds (Kiveris et al., 2014): every round joins each node to the smallest node
-near it.  Between rounds each partition replaces its own edges by a star per local component, which adds no
+near it.  Before each round every partition replaces its own edges by a star per local component, which adds no
 rows and cuts the number of rounds.  The edges never grow in number, and each round is written to the shared
 folder, so a lost executor costs one round.
 """
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from scorekeep.llm.common import written
 
 _EDGE = "a long, b long"
+#: Edges whose components a task finds at a time.
+BLOCK = 500_000
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -27,7 +29,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         block.append(batch)
         rows += batch.num_rows
-        if rows >= 500_000:
+        if rows >= BLOCK:
             yield _block_stars(block)
             block, rows = [], 0
     if block:
@@ -60,25 +62,32 @@ def _near(edges: DataFrame) -> DataFrame:
     return both.join(least, "a")
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every node is either the centre of its edges or has one edge, to its centre."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty()
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Nodes that have an edge, with the smallest node that they reach: columns node and component (longs).
 
     Nulls and edges of a node to itself are left out.
     """
-    now = (edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
-           .where("a is not null and b is not null and a <> b").mapInArrow(_stars, _EDGE).distinct())
-    now, seen = written(now, "edges"), None
+    now = written(edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
+                  .where("a is not null and b is not null and a <> b"), "edges")
     while True:
-        mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if mark == seen or not mark["n"]:
+        # partitions of about BLOCK edges: one partition's stars are already whole components
+        parts = max(1, -(-now.count() // BLOCK))
+        now = written(now.coalesce(parts).mapInArrow(_stars, _EDGE), "edges")
+        if parts == 1 or _is_star_forest(now):
             break
-        seen = mark
         large = written(_near(now).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                         .where("a <> b").distinct(), "edges")
         near = _near(large).where("b < a")
         small = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(
             near.select("a", F.col("m").alias("b"))).where("a <> b")
-        now = written(small.distinct().mapInArrow(_stars, _EDGE).distinct(), "edges")
+        now = written(small.distinct(), "edges")
     children = now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return children.unionAll(roots)
