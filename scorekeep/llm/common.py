@@ -51,3 +51,16 @@ def over_slices(f: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], column:
                 yield from f(part)
 
     return run
+
+
+class Remembered(dict):
+    """Values that make() gave for keys, forgotten all at once when there are `most`."""
+
+    def __init__(self, make: Callable, most: int):
+        self.make, self.most = make, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = out = self.make(key)
+        return out

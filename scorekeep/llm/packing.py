@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorekeep.llm.common import over_slices, written
+from scorekeep.llm.common import Remembered, over_slices, written
 
 CAPACITY = 4096
 GROUP = 20_000
@@ -29,17 +29,6 @@ LOOSE = 15 / 16
 REMEMBERED = 500_000
 
 
-class _Remembered(dict):
-    def __init__(self, make):
-        self.make = make
-
-    def __missing__(self, key):
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[key] = out = self.make(key)
-        return out
-
-
 class WordEncoder:
     """Token ids of a text as little-endian uint32 bytes, as the tokenizers library gives them.
 
@@ -64,7 +53,7 @@ class WordEncoder:
         self.chars = {b: b for b in printed} | {b: 256 + i for i, b in enumerate(others)}
         self.plain = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ!-&(-/:;=-@\[-`{-~]*")
         self.run = re.compile(r"[a-zß-öø-ÿ]+|[^a-zß-öø-ÿ]+")
-        self.words, self.runs = _Remembered(self._word), _Remembered(self._run)
+        self.words, self.runs = Remembered(self._word, REMEMBERED), Remembered(self._run, REMEMBERED)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorekeep.llm.common import over_slices
+from scorekeep.llm.common import Remembered, over_slices
 
 SPACE = "▁"
 #: Below the lowest score, for a character without a piece (the library's value).
@@ -58,7 +58,8 @@ class Codec:
         crosses = any(SPACE in p.piece.lstrip(SPACE) for p in normal)
         line = "" if any("\n" in p.piece for p in normal) else "\n"  # without a piece, it stands alone in any case
         self.words = None if crosses else re.compile(f"{line}+|{SPACE}*[^{SPACE}{line}]+|{SPACE}+"[0 if line else 2:])
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = Remembered(lambda w: np.array(self.viterbi(w), np.int32).tobytes(), REMEMBERED)
+        self.after_space = Remembered(lambda w: self._units(SPACE + w), REMEMBERED)
 
     def viterbi(self, text: str) -> tuple[int, ...]:
         n = len(text)
@@ -73,9 +74,8 @@ class Codec:
                 if (total := best[begin] + score) > best[at + 1]:
                     best[at + 1], last[at + 1] = total, (begin, i)
                 end, piece = next(matches, (n, None))
-            if last[at + 1][1] < 0 or not self._single(text[at]):
-                if (total := best[at] + self.lowest) > best[at + 1]:
-                    best[at + 1], last[at + 1] = total, (at, -1)
+            if (total := best[at] + self.lowest) > best[at + 1] and text[at] not in self.automaton:
+                best[at + 1], last[at + 1] = total, (at, -1)
         found: list[int] = []
         at = n
         while at:
@@ -89,23 +89,21 @@ class Codec:
             at = begin
         return tuple(reversed(found))
 
-    def _single(self, char: str) -> bool:
-        return char in self.automaton
+    def _units(self, marked: str) -> bytes:
+        if self.words is None:
+            return np.array(self.viterbi(marked), np.int32).tobytes()
+        return b"".join(map(self.known.__getitem__, self.words.findall(marked)))
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text (int32)."""
+        words = text.split(" ")
         if not text:
-            return []
-        marked = self.prefix + text.replace(" ", SPACE)
-        if self.words is None:
-            return list(self.viterbi(marked))
-        known, ids = self.known, []
-        for word in self.words.findall(marked):
-            if (found := known.get(word)) is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                found = known[word] = self.viterbi(word)
-            ids.extend(found)
-        return ids
+            found = b""
+        elif self.words is not None and self.prefix and "" not in words:  # one space mark before every word
+            found = b"".join(map(self.after_space.__getitem__, words))
+        else:
+            found = self._units(self.prefix + text.replace(" ", SPACE))
+        return np.frombuffer(found, np.int32)
 
     def decode(self, ids) -> str:
         out = b"".join(map(self.out.__getitem__, ids))
@@ -131,7 +129,7 @@ def _put(part: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
 def _encoding(path: str):
     def encode(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         codec = _codec(path)
-        found = [None if t is None else np.array(codec.encode(t), np.int32) for t in part.column("text").to_pylist()]
+        found = [None if t is None else codec.encode(t) for t in part.column("text").to_pylist()]
         edge = np.concatenate(([0], np.cumsum([0 if f is None else len(f) for f in found]))).astype(np.int32)
         flat = np.concatenate([f for f in found if f is not None] or [np.zeros(0, np.int32)])
         gone = pa.array([f is None for f in found], pa.bool_())
