@@ -52,11 +52,15 @@ def java_string_hash(col) -> Column:
 
 
 def shard_index(col, n: int) -> Column:
-    """``Math.abs(key.hashCode()) % n`` with Java int semantics."""
+    """``Math.abs(key.hashCode()) % n`` with Java int semantics.  A null or
+    empty key names no shard: the job that meets one fails."""
     if n <= 0:
         raise ValueError("shard count must be positive")
-    h = java_string_hash(col).cast("bigint")
-    return (F.when(h == -_TWO_31, F.lit(-(_TWO_31 % n)))
+    key = _c(col).cast("string")
+    h = java_string_hash(key).cast("bigint")
+    return (F.when(F.coalesce(F.length(key), F.lit(0)) == 0,
+                   F.raise_error(F.lit("a shard key is null or empty")).cast("bigint"))
+            .when(h == -_TWO_31, F.lit(-(_TWO_31 % n)))
             .otherwise(F.abs(h) % n)).cast("int")
 
 
@@ -70,6 +74,8 @@ def java_string_hash_py(key: str) -> int:
 
 
 def shard_index_py(key: str, n: int) -> int:
+    if not key:
+        raise ValueError("a shard key is null or empty")
     h = java_string_hash_py(key)
     if h == -_TWO_31:
         return -(_TWO_31 % n)

@@ -3,8 +3,8 @@
 Plan shape: the answer fact is scanned once with its filters pushed into the
 scan; the objective-question dimension (with its rule map as a column) is
 joined by broadcast when its size is proven small; the absence table is
-left-joined on the student id, by broadcast when small, else by a
-shuffle on the student id that later per-student steps reuse.  Scoring is a
+left-joined on student, paper and exam, by broadcast when small, else by a
+shuffle on that key.  Scoring is a
 CASE plus one map lookup, all inside generated code.
 """
 
@@ -47,10 +47,19 @@ def live_absences(absent: DataFrame) -> DataFrame:
     """Absence rows that are live; the right side of the ON-predicate outer join."""
     return (absent.where(F.col("status") == LIVE_STATUS)
             .select(F.col("userId").alias("ab_userId"),
+                    F.col("paperId").alias("ab_paperId"),
+                    F.col("paperExamId").alias("ab_paperExamId"),
                     F.col("dubiousType").alias("ab_dubiousType"),
                     F.col("sourceFrom").alias("ab_sourceFrom")))
 
 
+def same_sitting() -> F.Column:
+    """An absence belongs to an answer of the same student, paper and exam: all
+    exams are scored in one plan, and a student may miss some and sit others."""
+    return ((F.col("stuId") == F.col("ab_userId")) & (F.col("paperId") == F.col("ab_paperId"))
+            & (F.col("paperExamId") == F.col("ab_paperExamId")))
+
+
 def score_expr() -> F.Column:
     """Score of one answer: full marks for a matching single answer
     (types 1 and 3), the rule score for a multi-choice answer (type 2,
@@ -80,7 +89,7 @@ def score_answers(question: DataFrame, answer: DataFrame, absent: DataFrame,
                      F.col("isDubious").alias("raw_isDubious"),
                      F.col("dubiousType").alias("raw_dubiousType"), "ABFlag", "isChoose"))
     joined = (facts.join(qdim, facts["questionId"] == qdim["q_id"], "inner")
-              .join(absences, F.col("stuId") == F.col("ab_userId"), "left"))
+              .join(absences, same_sitting(), "left"))
     return joined.select(
         "paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq",
         "schoolId", "subjectId", "questionId", "questionOrder", "questionNo",
@@ -110,7 +119,7 @@ def left_join_on_predicate(answer: DataFrame, absent: DataFrame) -> DataFrame:
     one (an outer join whose right-side predicate sits in ON, so a non-live
     absence yields nulls rather than dropping the row)."""
     absences = bounded_broadcast(live_absences(absent))
-    return (answer.join(absences, answer["stuId"] == absences["ab_userId"], "left")
+    return (answer.join(absences, same_sitting(), "left")
             .select("questionId", "stuId", "questionOrder", "answer",
                     F.col("dubiousType").alias("answerDubiousType"),
                     F.col("ab_dubiousType").alias("dubiousType"),

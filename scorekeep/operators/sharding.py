@@ -81,14 +81,14 @@ def route_predicate(layout: ShardLayout, **keys) -> Column:
         if isinstance(value, (range, slice)):
             raise RoutingError("BETWEEN is not supported on a shard key")
         if isinstance(value, (list, tuple, set, frozenset)):
-            # IN: de-duplicated targets; an empty string is allowed here
-            values = [str(v) for v in value if v is not None]
-            shards = sorted({shard_index_py(v, n) for v in values})
-            cond = F.col(shard_col).isin(shards) & F.col(key).cast("string").isin(values)
+            # IN: de-duplicated targets; no row has a null or empty key
+            # the literals go to the column's type, so that the scan can push them
+            values = [v for v in value if v is not None and str(v) != ""]
+            shards = sorted({shard_index_py(str(v), n) for v in values})
+            cond = F.col(shard_col).isin(shards) & F.col(key).isin(values)
         else:
             v = _literal_key(value)
-            cond = ((F.col(shard_col) == shard_index_py(v, n))
-                    & (F.col(key).cast("string") == v))
+            cond = (F.col(shard_col) == shard_index_py(v, n)) & (F.col(key) == F.lit(value))
         pred = cond if pred is None else pred & cond
     if pred is None:
         raise RoutingError("a routed read needs at least one shard key")
@@ -112,7 +112,7 @@ def gather(sharded: DataFrame, keys: DataFrame, layout: ShardLayout,
     shard_col, n = (("tb_shard", layout.n_tb) if key == layout.tb_key
                     else ("db_shard", layout.n_db))
     from scorekeep.plans.broadcast import bounded_broadcast
-    k = (keys.select(F.col(key)).distinct()
+    k = (keys.select(F.col(key)).where(F.col(key).cast("string") != "").distinct()
          .withColumn(shard_col, shard_index(F.col(key).cast("string"), n)))
     return sharded.join(bounded_broadcast(k), [key, shard_col], "left_semi")
 
@@ -194,10 +194,9 @@ def gather_jdbc(spark: SparkSession, layout: ShardLayout, url_for_db, table: str
     from scorekeep.plans.broadcast import bounded_broadcast
     from scorekeep.sources.jdbc import jdbc_options
     key = layout.tb_key
-    k = keys.select(F.col(key).cast("string").alias(key)).distinct()
+    k = (keys.select(F.col(key).cast("string").alias(key)).where(F.col(key) != "").distinct())
     table_shards = sorted(r["tb_shard"] for r in (
-        k.select(shard_index(F.col(key), layout.n_tb).alias("tb_shard")).distinct()
-        .limit(layout.n_tb).collect()))
+        k.select(shard_index(F.col(key), layout.n_tb).alias("tb_shard")).distinct().collect()))
     # the keys do not name the database shard, so every database is read
     targets = [(tb, db) for tb in table_shards for db in range(layout.n_db)]
     if not targets:

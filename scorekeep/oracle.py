@@ -39,32 +39,38 @@ answer_key AS (
   SELECT questionId, answerKey, ruleScore FROM rule_pairs WHERE rn = 1
 )"""
 
+# Scores, in stages: which answers count, what each earns by the kind of its
+# question, what the absence list says of the sitting, and then one row each.
 SCORES_CTE = f"""
+counted AS MATERIALIZED (
+  SELECT row_number() OVER () AS line, answer.*, question.subjectId, question.No, question.type, question.score, question.difficulty,
+         question.standardAnswer, question.pos
+  FROM answer, question
+  WHERE question.id = answer.questionId AND question.type < 4
+    AND answer.status = 1 AND answer.isChoose > 0
+),
+earned AS (
+  SELECT line, score AS points
+  FROM counted WHERE type IN (1, 3) AND answer = standardAnswer
+  UNION ALL
+  SELECT line, CAST(ruleScore AS DOUBLE)
+  FROM counted, answer_key
+  WHERE type = 2 AND answer <> '' AND answer_key.questionId = counted.questionId AND answerKey = {norm('answer')}
+),
+missed AS (
+  SELECT userId AS stuId, paperId, paperExamId, dubiousType AS missType, sourceFrom AS missSource
+  FROM absent WHERE status = 1
+),
 scores AS (
-  SELECT ans.paperId, ans.paperName, ans.paperExamId, ans.paperExamName, ans.stuId,
-         ans.stuSeq, ans.schoolId, qu.subjectId, ans.questionId, ans.questionOrder,
-         qu.No AS questionNo, qu.type AS questionType, qu.score AS questionScore,
-         qu.difficulty,
-         IF(ans.isDubious = 1 AND ans.dubiousType > 0, ans.fixAnswer, ans.answer) AS answer,
-         ans.ABFlag,
-         IF(live.dubiousType IS NULL, 0, 1) AS isDubious,
-         live.dubiousType,
-         CASE
-           WHEN qu.type = 2 THEN
-             CAST(IF(ans.answer IS NULL OR ans.answer = '', 0, COALESCE(ak.ruleScore, 0))
-                  AS DOUBLE)
-           WHEN qu.type <> 4 AND ans.answer = qu.standardAnswer THEN qu.score
-           ELSE 0
-         END AS stuScore,
-         live.sourceFrom AS sourceScore, ans.isChoose, qu.standardAnswer,
-         'c' || CAST(qu.pos AS VARCHAR) AS pos
-  FROM answer ans
-  JOIN question qu ON qu.id = ans.questionId AND qu.type < 4
-  LEFT JOIN (SELECT userId, dubiousType, sourceFrom FROM absent WHERE status = 1) live
-         ON live.userId = ans.stuId
-  LEFT JOIN answer_key ak
-         ON ak.questionId = ans.questionId AND ak.answerKey = {norm('ans.answer')}
-  WHERE ans.isChoose > 0 AND ans.status = 1
+  SELECT paperId, paperName, paperExamId, paperExamName, stuId, stuSeq, schoolId, subjectId, questionId,
+         questionOrder, No AS questionNo, type AS questionType, score AS questionScore, difficulty,
+         CASE WHEN dubiousType > 0 AND counted.isDubious = 1 THEN fixAnswer ELSE answer END AS answer, ABFlag,
+         CAST(missType IS NOT NULL AS INTEGER) AS isDubious, missType AS dubiousType,
+         COALESCE(points, 0) AS stuScore, missSource AS sourceScore, isChoose, standardAnswer,
+         concat('c', pos) AS pos
+  FROM counted
+  LEFT JOIN earned USING (line)
+  LEFT JOIN missed USING (stuId, paperId, paperExamId)
 )"""
 
 
@@ -89,57 +95,59 @@ def oracle_sql() -> dict[str, str]:
 
 
 # ---------------------------------------------------------------- E2 totals
-def _sums(score_filter: str) -> str:
-    return f"ROUND(SUM(IF({score_filter}, qu.score, 0)), 2)" if score_filter else \
-        "ROUND(SUM(qu.score), 2)"
-
-
-# per (exam, subject): questions with a positive order, exam-subject and subject rows joined
-SUBJECT_TOTALS_SELECT = f"""
-  SELECT ex.paperId, ex.paperName, ex.id AS paperExamId, ex.paperExamName,
-         CAST(sj.id AS BIGINT) AS subjectId, sj.subjectName, sj.shortName AS subjectShortName,
-         {_sums('qu.type <> 4')} AS objTotal, {_sums('qu.type = 4')} AS subTotal,
-         {_sums('')} AS paperTotal,
-         COALESCE(ex.isAB, 0) AS isAB, ex.isComprehensive AS isComprehensiveSubject
-  FROM question qu
-  JOIN paper_subject ex ON ex.paperId = qu.paperId AND ex.id = qu.paperExamId
-  JOIN subject sj ON sj.id = qu.subjectId
-  WHERE qu.questionOrder > 0
-  GROUP BY ex.paperId, ex.paperName, ex.id, ex.paperExamName, ex.isAB, ex.isComprehensive,
-           sj.id, sj.subjectName, sj.shortName"""
-
-# per composite exam: the exam's own row, keyed by the exam id in the subject column
-COMPOSITE_TOTALS_SELECT = f"""
-  SELECT ex.paperId, ex.paperName, ex.id AS paperExamId, ex.paperExamName,
-         ex.id AS subjectId, ex.paperExamName AS subjectName, 'ZH' AS subjectShortName,
-         {_sums('qu.type <> 4')} AS objTotal, {_sums('qu.type = 4')} AS subTotal,
-         {_sums('')} AS paperTotal,
-         COALESCE(ex.isAB, 0) AS isAB, 0 AS isComprehensiveSubject
-  FROM question qu
-  JOIN paper_subject ex ON ex.paperId = qu.paperId AND ex.id = qu.paperExamId
-  WHERE ex.isComprehensive = 1 AND qu.questionOrder > 0
-  GROUP BY ex.paperId, ex.paperName, ex.id, ex.paperExamName, ex.isAB, ex.isComprehensive"""
-
-TOTALS_CTE = f"totals AS ({SUBJECT_TOTALS_SELECT}\n  UNION ALL{COMPOSITE_TOTALS_SELECT}\n)"
+# Full marks per exam and subject and per exam, as filtered sums over the numbered
+# questions; names and flags are looked up afterwards.
+TOTALS_CTES = """
+marks AS (
+  SELECT paperId, paperExamId, subjectId, GROUPING(subjectId) = 1 AS whole,
+         round(coalesce(sum(score) FILTER (type < 4 OR type > 4), 0), 2) AS objTotal,
+         round(coalesce(sum(score) FILTER (type = 4), 0), 2) AS subTotal,
+         round(sum(score), 2) AS paperTotal
+  FROM question WHERE questionOrder >= 1
+  GROUP BY GROUPING SETS ((paperId, paperExamId, subjectId), (paperId, paperExamId))
+),
+exam AS (
+  SELECT id AS paperExamId, paperId, paperName, paperExamName, isComprehensive, coalesce(isAB, 0) AS isAB FROM paper_subject
+),
+by_subject AS (
+  SELECT m.paperId, paperName, m.paperExamId, paperExamName, CAST(m.subjectId AS BIGINT) AS subjectId, subjectName,
+         shortName AS subjectShortName, objTotal, subTotal, paperTotal, isAB, isComprehensive AS isComprehensiveSubject
+  FROM marks m, exam, subject
+  WHERE NOT whole AND exam.paperId = m.paperId AND exam.paperExamId = m.paperExamId AND subject.id = m.subjectId
+),
+by_composite AS (
+  SELECT m.paperId, paperName, m.paperExamId, paperExamName, m.paperExamId AS subjectId, paperExamName AS subjectName,
+         'ZH' AS subjectShortName, objTotal, subTotal, paperTotal, isAB, 0 AS isComprehensiveSubject
+  FROM marks m, exam
+  WHERE whole AND exam.paperId = m.paperId AND exam.paperExamId = m.paperExamId AND isComprehensive = 1
+),
+totals AS (SELECT * FROM by_subject UNION ALL SELECT * FROM by_composite)"""
+
+# Students of a paper's import batches; where a paper has several, only those of a listed exam.
+ENROLLED_CTE = """
+batches AS (SELECT paperId, id AS batchId, count(*) OVER (PARTITION BY paperId) AS n FROM (SELECT DISTINCT paperId, id FROM batch)),
+enrolled AS (
+  SELECT student.* FROM student SEMI JOIN batches
+    ON batches.paperId = student.paperId AND batches.batchId = student.batchId
+    AND (n = 1 OR (student.paperId, student.paperExamId) IN (SELECT (paperId, id) FROM paper_subject))
+)"""
 
 DETAIL_CTE = """
 detail AS (
-  SELECT pt.paperId, pt.paperName, pt.paperExamId, pt.paperExamName, sc.stuId, sc.stuSeq,
-         pt.isAB AS abFlag, sc.isChoose, sc.isDubious, sc.dubiousType, sc.answer,
-         sc.standardAnswer, sc.questionId, sc.questionNo, sc.questionOrder, sc.questionType,
-         sc.questionScore, sc.stuScore, sc.difficulty, sc.pos, pt.subjectId, pt.subjectName,
-         pt.subjectShortName, st.stuName, st.cityId, st.cityName, st.areaId, st.areaName,
-         st.schoolId, st.schoolName, st.gradeId, st.gradeName, st.classId, st.className,
-         COALESCE(st.isRestudy, 1) AS isRestudy, COALESCE(st.classType, 0) AS classType,
-         pt.objTotal AS paperObTotal, pt.subTotal AS paperSubTotal, pt.paperTotal,
-         CAST(NULL AS VARCHAR) AS questionKnowledges, pt.isComprehensiveSubject
-  FROM scores sc
-  JOIN totals pt USING (paperExamId, subjectId)
-  JOIN student st ON st.userId = sc.stuId
+  SELECT t.paperId, t.paperName, s.paperExamId, t.paperExamName, stuId, stuSeq, t.isAB AS abFlag, isChoose, isDubious,
+         dubiousType, answer, standardAnswer, questionId, questionNo, questionOrder, questionType, questionScore,
+         stuScore, difficulty, pos, s.subjectId, t.subjectName, t.subjectShortName,
+         e.* EXCLUDE (userId, paperId, paperExamId, batchId, isRestudy, classType),
+         coalesce(e.isRestudy, 1) AS isRestudy, coalesce(e.classType, 0) AS classType,
+         t.objTotal AS paperObTotal, t.subTotal AS paperSubTotal, t.paperTotal,
+         CAST(NULL AS VARCHAR) AS questionKnowledges, t.isComprehensiveSubject
+  FROM totals t, enrolled e, scores s
+  WHERE t.paperExamId = s.paperExamId AND t.subjectId = s.subjectId
+    AND e.userId = s.stuId AND e.paperId = s.paperId
 )"""
 
-DETAIL_VIEWS = ["question", "answer", "absent", "paper_subject", "subject", "student"]
-DETAIL_CTES = [ANSWER_KEY_CTE, SCORES_CTE, TOTALS_CTE, DETAIL_CTE]
+DETAIL_VIEWS = ["question", "answer", "absent", "paper_subject", "subject", "student", "batch"]
+DETAIL_CTES = [ANSWER_KEY_CTE, SCORES_CTE, TOTALS_CTES, ENROLLED_CTE, DETAIL_CTE]
 
 # The fixture gives question positions 1..20 (pos = 1 + p_partkey % 20).
 POSITIONS = [f"c{i}" for i in range(1, 21)]
@@ -152,9 +160,9 @@ def _f(x: str) -> str:
 
 
 def _fix(total: str) -> str:
-    left = f"(CAST({total} AS FLOAT) - CAST(1.0 AS FLOAT))"
-    return (f"CASE WHEN dubiousType = 4 THEN (CASE WHEN {left} > 0 THEN {left} "
-            f"ELSE CAST(0 AS FLOAT) END) ELSE CAST(NULL AS FLOAT) END")
+    """Rule 3 with a deduction of 1: only for dubious type 4, not below 0, null stays null."""
+    return (f"CASE WHEN dubiousType = 4 AND {total} IS NOT NULL THEN "
+            f"greatest(CAST({total} AS FLOAT) - CAST(1.0 AS FLOAT), CAST(0 AS FLOAT)) END")
 
 
 def _wide(where: str = "") -> str:
@@ -172,12 +180,13 @@ def _wide(where: str = "") -> str:
 
 
 def paper_totals() -> str:
-    return with_views(["question", "paper_subject", "subject"], [TOTALS_CTE],
+    return with_views(["question", "paper_subject", "subject"], [TOTALS_CTES],
                       "SELECT * FROM totals")
 
 
 def composite_totals() -> str:
-    return with_views(["question", "paper_subject"], [], COMPOSITE_TOTALS_SELECT)
+    return with_views(["question", "paper_subject", "subject"], [TOTALS_CTES],
+                      "SELECT * FROM by_composite")
 
 
 def question_detail() -> str:
@@ -270,11 +279,12 @@ LEFT JOIN answer_key k ON (k.questionId = a.questionId AND k.answerKey = {norm('
 
 
 def left_join_on_pred() -> str:
-    return with_views(["answer", "absent"], [], """
-SELECT a.questionId, a.stuId, a.questionOrder, a.answer, a.dubiousType AS answerDubiousType,
-  t3.dubiousType, CASE WHEN t3.dubiousType IS NULL THEN 0 ELSE 1 END AS isDubious,
-  t3.sourceFrom AS sourceScore
-FROM answer a LEFT JOIN absent t3 ON (a.stuId = t3.userId AND t3.status = 1)""")
+    return with_views(["answer", "absent"], ["""
+missed AS (SELECT userId AS stuId, paperId, paperExamId, dubiousType AS missType, sourceFrom
+           FROM absent WHERE status = 1)"""], """
+SELECT questionId, stuId, questionOrder, answer, dubiousType AS answerDubiousType,
+  missType AS dubiousType, CAST(missType IS NOT NULL AS INTEGER) AS isDubious, sourceFrom AS sourceScore
+FROM answer LEFT JOIN missed USING (stuId, paperId, paperExamId)""")
 
 
 def filter_objective() -> str:
@@ -365,8 +375,9 @@ FROM question WHERE type < 4""")
 
 
 def shard_routed_read() -> str:
-    return with_views(["answer", "paper"], [], """
-SELECT * FROM answer WHERE paperId IN (SELECT id FROM paper WHERE status = 1)""")
+    return with_views(["answer"], [], """
+SELECT * FROM answer
+WHERE (questionId, paperId) = (SELECT min((questionId, paperId)) FROM answer)""")
 
 
 def shard_gather() -> str:
@@ -412,3 +423,29 @@ def jdbc_roundtrip() -> str:
 
 
 QUERIES["jdbc_roundtrip"] = jdbc_roundtrip
+
+
+def one_exam_with(paper: str, exam: int) -> str:
+    """``WITH`` clause of the views limited to one exam (all their columns)."""
+    of_exam = {"question": "paperExamId", "answer": "paperExamId", "absent": "paperExamId", "paper_subject": "id"}
+    parts = [f"{name}_all AS (\n{_fx.VIEWS[name].sql()}\n)" for name in DETAIL_VIEWS]
+    for name in DETAIL_VIEWS:
+        where = f" WHERE paperId = '{paper}'" if name in (*of_exam, "student") else ""
+        where += f" AND {of_exam[name]} = {exam}" if name in of_exam else ""
+        parts.append(f"{name} AS (SELECT * FROM {name}_all{where})")
+    return "WITH " + ",\n".join([*parts, *(c.strip() for c in DETAIL_CTES)])
+
+
+def exam_job_runs() -> str:
+    return one_exam_with("P0", 102) + f""",
+sheet AS (SELECT {WIDE_KEYS}, sum(stuScore) AS total FROM detail GROUP BY {WIDE_KEYS}),
+once AS (
+  SELECT 'obj_score' AS tableName, count(*) AS n, sum(stuScore) AS points FROM scores
+  UNION ALL SELECT 'stu_que_detail', count(*), sum(stuScore) FROM detail
+  UNION ALL SELECT 'stu_que_score', count(*), sum(total) FROM sheet
+)
+SELECT run, tableName, n * times AS n, points * times AS points
+FROM once, (VALUES ('first', 1), ('append', 2), ('redo', 1)) runs(run, times)"""
+
+
+QUERIES["exam_job_runs"] = exam_job_runs

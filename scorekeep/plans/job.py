@@ -3,8 +3,9 @@
 Arguments follow the original command line: ``mode redo paperId paperExamId``
 with mode ``0`` = objective scoring (built), ``1`` = subjective scoring
 (the original has no implementation; accepted and does nothing), anything
-else prints the usage.  ``redo`` = 1 replaces the exam's earlier output
-(dynamic partition overwrite of that exam's partitions), 0 appends.
+else prints the usage.  ``redo`` = 1 replaces the exam's earlier rows in the
+output, the JDBC tables and the catalog table; 0 appends.  Each run's stages
+read that run's rows only, so an append run does not count earlier rows again.
 
 Stages, each ending in a table written to the shared output folder, so a
 lost executor is recovered from written files rather than by recomputing
@@ -26,6 +27,7 @@ are read from the written stage tables, so they do not recompute a stage.
 from __future__ import annotations
 
 import sys
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,7 @@ from scorekeep.session import scratch_path
 from scorekeep.sinks.jdbc import write_jdbc
 from scorekeep.sinks.tables import create_detail_table, insert_into
 from scorekeep.sources.fixtures import ExamTables
+from scorekeep.sources.jdbc import jdbc_options
 
 USAGE = """usage: MODE REDO PAPER_ID PAPER_EXAM_ID
   MODE           0 = objective scoring, 1 = subjective scoring
@@ -75,6 +78,7 @@ class ExamJob:
     jdbc: JdbcExport | None = None
     detail_table: str | None = None     # typed catalog table, filled by position
     written: dict = field(default_factory=dict)
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     # ------------------------------------------------------------ stage 1
     def load(self) -> ExamTables:
@@ -100,14 +104,38 @@ class ExamJob:
     def _path(self, name: str) -> str:
         return f"{self.output.rstrip('/')}/{name}"
 
+    def _run_path(self, name: str = "") -> str:
+        return f"{self.output.rstrip('/')}/_runs/{self.run_id}/{name}"
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+    def _exams(self) -> list:
+        """Ids of the selected exams (one output partition each)."""
+        rows = self.load().paper_subject.select("id").distinct().orderBy("id").collect()
+        return [r["id"] for r in rows] or [self.paper_exam_id]
+
     def _write(self, df: DataFrame, name: str) -> DataFrame:
-        writer = df.write.partitionBy(self.partition_col).option(
-            "partitionOverwriteMode", "dynamic")
-        writer.mode("overwrite" if self.redo else "append").parquet(self._path(name))
+        """Write this run's rows apart, then add them to the output.  Later stages
+        get the run's own rows only, with the types they were computed with."""
+        df.write.mode("overwrite").parquet(self._run_path(name))
+        own = self.spark.read.schema(df.schema).parquet(self._run_path(name))
+        if self.redo:
+            # the exam's earlier rows go even where this run has none
+            if self.paper_id is None and self.paper_exam_id is None:
+                self._delete(self._path(name))
+            else:
+                for exam in self._exams():
+                    self._delete(f"{self._path(name)}/{self.partition_col}={exam}")
+        (own.hint("rebalance", self.partition_col).write.partitionBy(self.partition_col)
+         .mode("append").parquet(self._path(name)))
         self.written[name] = self._path(name)
-        return self.read(name)
+        return own
 
     def read(self, name: str) -> DataFrame:
+        """All rows of the selected exams in the output, of whichever run."""
         df = self.spark.read.parquet(self._path(name))
         if self.paper_exam_id is not None:
             df = df.where(F.col(self.partition_col) == self.paper_exam_id)
@@ -115,19 +143,36 @@ class ExamJob:
             df = df.where(F.col("paperId") == self.paper_id)
         return df
 
+    def _others(self, df: DataFrame, name: str) -> DataFrame:
+        """Rows of exams that are not selected, copied out of a table that is about to be rewritten."""
+        if self.paper_id is None and self.paper_exam_id is None:
+            df = df.where(F.lit(False))
+        kept = df.where(~F.col(self.partition_col).isin(self._exams()))
+        kept.write.mode("overwrite").parquet(self._run_path(name))
+        return self.spark.read.schema(kept.schema).parquet(self._run_path(name))
+
     def _export_jdbc(self, df: DataFrame, table: str) -> None:
         if self.jdbc is None:
             return
         j = self.jdbc
-        write_jdbc(df, j.url, table, mode="append", driver=j.driver, user=j.user,
-                   password=j.password, num_partitions=j.num_partitions)
+        access = {"driver": j.driver, "user": j.user, "password": j.password}
+        if self.redo:
+            try:
+                there = self.spark.read.format("jdbc").options(**jdbc_options(j.url, **access, dbtable=table)).load()
+            except Exception:   # no such table yet; a database out of reach fails in the write below
+                there = None
+            if there is not None:
+                write_jdbc(self._others(there, f"jdbc-{table}"), j.url, table, mode="overwrite", truncate=True,
+                           num_partitions=j.num_partitions, **access)
+        write_jdbc(df, j.url, table, mode="append", num_partitions=j.num_partitions, **access)
 
     def _insert_detail(self, detail: DataFrame) -> None:
         if self.detail_table is None:
             return
         create_detail_table(self.spark, self.detail_table)
-        # the written table lists its partition column last; the insert is
-        # positional, so restore the target order first
+        if self.redo:
+            insert_into(self._others(self.spark.table(self.detail_table), "catalog"), self.detail_table, overwrite=True)
+        # the insert is positional
         insert_into(detail.select(*detail_ops.DETAIL_COLUMNS), self.detail_table)
 
     # ------------------------------------------------------------ stages 2, 3
@@ -155,6 +200,7 @@ class ExamJob:
                 sheet = self._write(sheet, "stu_que_score")
                 if self.jdbc is not None:
                     self._export_jdbc(sheet, self.jdbc.wide_table)
+                self._delete(self._run_path())
                 return 0
 
             return stage3

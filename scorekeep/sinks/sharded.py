@@ -31,6 +31,10 @@ def save_sharded_jdbc(df: DataFrame, layout: ShardLayout, url_for_db: Callable[[
     tables are written at a time (each write is its own distributed job);
     pass ``num_partitions`` to cap the connections of each write."""
     spark = df.sparkSession
+    keys = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in (layout.db_key, layout.tb_key)]
+    homeless = df.where((keys[0] == "") | (keys[1] == "")).count()
+    if homeless:
+        raise ValueError(f"{homeless} rows have a null or empty shard key; nothing was written")
     staging = staging or scratch_path(spark, f"shard-stage-{table}")
     staged = write_sharded(df, staging, layout, "overwrite")
 
@@ -40,7 +44,10 @@ def save_sharded_jdbc(df: DataFrame, layout: ShardLayout, url_for_db: Callable[[
                 .drop(*SHARD_COLUMNS))
         write_jdbc(part, url_for_db(db), f"{table}_{tb}", mode=mode, truncate=truncate, **jdbc)
 
-    targets = [(db, tb) for db in range(layout.n_db) for tb in range(layout.n_tb)]
+    # every shard that has rows (a hash of the int minimum gives a negative one)
+    # besides the regular ones, so that no row is left out
+    targets = {(r[0], r[1]) for r in staged.select(*SHARD_COLUMNS).distinct().collect()}
+    targets |= {(db, tb) for db in range(layout.n_db) for tb in range(layout.n_tb)}
     with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
-        list(pool.map(write_one, targets))
+        list(pool.map(write_one, sorted(targets)))
     return staged

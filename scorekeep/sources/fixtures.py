@@ -15,13 +15,11 @@ views add no shuffle of their own (``paper_subject``, ``paper`` and
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorekeep.plans.partitioning import spread_if_narrow
 
 # The three answer-rule sets given to multi-choice questions in the fixture.
 # Rule text format: a JSON array of {"type": "group", "values": [{"name", "score"}]}
@@ -91,15 +89,17 @@ ANSWER_COLUMNS = [
     ("status", "CASE WHEN l_quantity >= 49 THEN 0 ELSE 1 END"),
 ]
 
+# One absence per student and exam; every 16th student misses some exams, often
+# several of them, that the student also has answers for.
 ABSENT_COLUMNS = [
-    ("userId", "o_orderkey"),
-    ("paperId", f"concat('P', {_txt('o_orderkey % 2', 4)})"),
-    ("paperExamId", "100 + o_orderkey % 10"),
-    ("dubiousType", "CAST(1 + o_orderkey % 5 AS INTEGER)"),
-    ("status", "CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE 1 END"),
+    ("userId", "l_orderkey"),
+    ("paperId", f"concat('P', {_txt('l_partkey % 2', 4)})"),
+    ("paperExamId", "100 + l_partkey % 10"),
+    ("dubiousType", "CAST(1 + (l_orderkey + l_partkey % 10) % 5 AS INTEGER)"),
+    ("status", "CASE WHEN (l_orderkey + l_partkey % 10) % 7 = 0 THEN 0 ELSE 1 END"),
     ("sourceFrom", "1"),
 ]
-ABSENT_FILTER = "o_orderstatus = 'P'"
+ABSENT_FILTER = "l_orderkey % 16 < 3"
 
 PAPER_SUBJECT_COLUMNS = [
     ("id", "100 + p_partkey % 10"),
@@ -158,8 +158,6 @@ class ViewSpec:
     columns: list
     where: str | None = None
     distinct: bool = False
-    # source columns to spread a narrow read on (see plans.partitioning)
-    spread_keys: tuple = ()
 
     def sql(self) -> str:
         cols = ",\n  ".join(f"{expr} AS {name}" for name, expr in self.columns)
@@ -171,8 +169,8 @@ class ViewSpec:
 
 VIEWS: dict[str, ViewSpec] = {
     "question": ViewSpec("part", QUESTION_COLUMNS),
-    "answer": ViewSpec("lineitem", ANSWER_COLUMNS, spread_keys=("l_orderkey", "l_partkey")),
-    "absent": ViewSpec("orders", ABSENT_COLUMNS, where=ABSENT_FILTER),
+    "answer": ViewSpec("lineitem", ANSWER_COLUMNS),
+    "absent": ViewSpec("lineitem", ABSENT_COLUMNS, where=ABSENT_FILTER, distinct=True),
     "paper_subject": ViewSpec("part", PAPER_SUBJECT_COLUMNS, distinct=True),
     "paper": ViewSpec("part", PAPER_COLUMNS, distinct=True),
     "subject": ViewSpec("nation", SUBJECT_COLUMNS),
@@ -183,34 +181,14 @@ VIEWS: dict[str, ViewSpec] = {
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one source table.  The schema is read from the file
-    footer once per path and then given to later reads (as a catalog would),
-    so repeated queries skip schema inference."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """Parquet scan of one source table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One exam view as a lazy DataFrame over the parquet table it comes from.
-
-    The answer fact is spread over the cluster when its files give fewer
-    splits than there are cores -- on the raw columns, before the view's
-    projection, so the projection runs in parallel and the shuffle carries
-    the narrow source rows.  A fact read from many files is left as it is."""
-    spec = VIEWS[name]
-    df = read_table(spark, sf_dir, spec.source)
-    if spec.spread_keys:
-        df = spread_if_narrow(df, list(spec.spread_keys))
-    return view_of(df, name)
+    """One exam view as a lazy DataFrame over the parquet table it comes from."""
+    return view_of(read_table(spark, sf_dir, VIEWS[name].source), name)
 
 
 def view_of(df: DataFrame, name: str) -> DataFrame:

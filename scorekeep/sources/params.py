@@ -2,16 +2,26 @@
 
 Values are bound as typed parameters (``?`` markers with a list, or
 ``:name`` markers with a dict), never pasted into the text, so there is
-no quoting problem and the marker count is checked by Spark.  DataFrames
+no quoting problem; too few or too many values are refused.  DataFrames
 are referenced in the text as ``{name}``.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def param_query(spark: SparkSession, sql_text: str, args=None, **frames: DataFrame) -> DataFrame:
+    # markers outside string literals, quoted names and comments
+    bare = re.sub(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", " ", sql_text, flags=re.S)
+    if isinstance(args, dict):
+        named = set(re.findall(r"(?<!:):([A-Za-z_]\w*)", bare))
+        if named != set(args):
+            raise ValueError(f"the text has the markers {sorted(named)}, values are given for {sorted(args)}")
+    elif bare.count("?") != len(args or ()):
+        raise ValueError(f"the text has {bare.count('?')} markers, {len(args or ())} values are given")
     return spark.sql(sql_text, args=args, **frames)
 
 

@@ -24,7 +24,8 @@ def test_entry_runs_with_rows_and_stable_schema(spark):
 def test_queries_and_oracle_keys_agree():
     m = _entry_module()
     qs, sqls = m.queries(), m.oracle_sql()
-    assert len(qs) == 32 and set(qs) == set(sqls)
+    own = {n for n in qs if n != "pipeline" and not n.startswith("op")}
+    assert len(own) >= 32 and own <= set(sqls) <= set(qs)
     assert all(callable(f) for f in qs.values())
     assert all(isinstance(s, str) and s.strip() for s in sqls.values())
 

@@ -36,10 +36,10 @@ def test_known_counts_medium(spark):
     assert scores.count() == 40927
     assert queries.paper_totals(spark, SF_MEDIUM).count() == 53
     detail = queries.question_detail(spark, SF_MEDIUM)
-    assert detail.count() == 40244
+    assert detail.count() == 13246
     w = queries.wide_scores(spark, SF_MEDIUM)
-    assert w.count() == 35298
-    assert queries.wide_scores_strict(spark, SF_MEDIUM).count() == 9773
+    assert w.count() == 11621
+    assert queries.wide_scores_strict(spark, SF_MEDIUM).count() == 2137
     # pivot cells sum to the total when every position is in the list
     total = w.agg(F.sum("total")).collect()[0][0]
     cells = w.select(*[F.coalesce(F.col(f"c{i}"), F.lit(0.0)).alias(f"x{i}") for i in range(1, 21)])

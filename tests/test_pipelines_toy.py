@@ -43,16 +43,19 @@ def toy(spark):
         ans(1, 13, "A", status=0),            # not live: filtered out
         ans(2, 12, "B"),                      # unknown combination -> 0
     ], A_SCHEMA)
-    absent = spark.createDataFrame([(10, 4, 1, 1), (11, 2, 0, 1)],
-                                   "userId long, dubiousType int, status int, sourceFrom int")
+    # students 10 and 11 are also absent from another exam, student 10 is also listed for another paper
+    absent = spark.createDataFrame(
+        [(10, "P", 100, 4, 1, 1), (10, "P", 999, 2, 1, 1), (11, "P", 100, 2, 0, 1), (11, "Q", 100, 3, 1, 1)],
+        "userId long, paperId string, paperExamId long, dubiousType int, status int, sourceFrom int")
     ps = spark.createDataFrame([(100, "P", "Paper", "Exam", None, 1)],
                                "id long, paperId string, paperName string, paperExamName string, "
                                "isAB int, isComprehensive int")
     subject = spark.createDataFrame([(1, "Maths", "Ma"), (2, "Physics", "Ph")],
                                     "id long, subjectName string, shortName string")
     student = spark.createDataFrame(
-        [(u, f"n{u}", 1, "c", 2, "a", 9, "s", 3, "g", "k", "kn", None, None) for u in (10, 11, 12)],
-        "userId long, stuName string, cityId long, cityName string, areaId long, "
+        [(u, p, f"n{u}", 1, "c", 2, "a", 9, "s", 3, "g", "k", "kn", None, None)
+         for u, p in ((10, "P"), (10, "Q"), (11, "P"), (12, "P"))],
+        "userId long, paperId string, stuName string, cityId long, cityName string, areaId long, "
         "areaName string, schoolId long, schoolName string, gradeId long, gradeName string, "
         "classId string, className string, isRestudy int, classType int")
     return q, a, absent, ps, subject, student
