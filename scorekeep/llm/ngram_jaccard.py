@@ -29,6 +29,9 @@ from scorekeep.llm.words import U, mix, scan, shingles
 
 #: Ratio of neighbouring bands' upper ends, and the size up to which sets must be equal.
 BAND_RATIO = 1.5
+#: Rows of a signature that is met by partial minima, and hash classes of nodes, one of which tells them.
+HOT = 50_000
+CLASSES = 64
 #: Sets on either side of a block of verified pairs.
 BLOCK = 256
 #: Pairs of cells with fewer elements count as nearly empty.
@@ -130,6 +133,46 @@ def _fetcher(n: int):
     return over_slices(fetch)
 
 
+def _centers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows signature, node sorted by both: those of signatures that several nodes have, with the smallest one."""
+    held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def shared(signature: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+        new = np.concatenate(([True], (signature[1:] != signature[:-1]) | (node[1:] != node[:-1])))[: len(node)]
+        signature, node = signature[new], node[new]
+        start = np.flatnonzero(np.concatenate(([True], signature[1:] != signature[:-1]))[: len(node)])
+        size = np.diff(np.append(start, len(node)))
+        many = np.repeat(size > 1, size)
+        return pa.RecordBatch.from_arrays([pa.array(signature[many]), pa.array(node[many]), pa.array(np.repeat(node[start], size)[many])],
+                                          names=["signature", "node", "center"])
+
+    for batch in batches:
+        signature, node = (np.concatenate((h, batch.column(c).to_numpy())) for h, c in zip(held, ("signature", "node"), strict=True))
+        if not len(node):
+            continue
+        last = int(np.searchsorted(signature, signature[-1]))  # the last signature may go on in the next batch
+        yield shared(signature[:last], node[:last])
+        held = (signature[last:], node[last:])
+    yield shared(*held)
+
+
+def _members(signed: DataFrame) -> DataFrame:
+    """signature, node and center (the signature's smallest node) of signatures that several nodes share.
+
+    Signatures meet by one shuffle and a sort.  Those of more than about HOT rows, told by the nodes of a hash
+    class, would make a hot task; their centers come from partial minima that are joined to their rows.
+    """
+    often = signed.where(F.pmod(F.xxhash64("node"), F.lit(CLASSES)) == 0).groupBy("signature").count()
+    hot = written(often.where(F.col("count") > HOT // CLASSES).select("signature"), "hot")
+    few = small_or_shuffled(hot, hot.count())
+    cold = (signed.join(few, "signature", "left_anti").select("signature", "node").repartition("signature")
+            .sortWithinPartitions("signature", "node").mapInArrow(_centers, "signature long, node long, center long"))
+    crowd = signed.join(few, "signature", "left_semi")
+    center = crowd.groupBy("signature").agg(F.min("node").alias("center"), F.max("node").alias("most")).where("center < most")
+    center = written(center.select("signature", "center"), "centers")
+    return cold.unionAll(crowd.join(center, "signature").distinct().select("signature", "node", "center"))
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that are similar enough."""
     left, right = (sets.select(F.col("node").alias(x), F.col("items").alias(f"{x}_items")) for x in "ab")
@@ -213,10 +256,7 @@ def ngram_jaccard_join(documents: DataFrame, n: int = 5, percent: int = 80,
         _signer(n, percent), "doc_id long, n_shingles long, node long, signatures array<long>"), "classes")
     signed = (classes.where("doc_id is not null and node <> 0")
               .select("node", F.explode("signatures").alias("signature")))
-    # the smallest set of each signature that several sets share; partial sums meet hot signatures first
-    shared = written(signed.groupBy("signature").agg(F.min("node").alias("center"), F.max("node").alias("most"))
-                     .where("center < most").select("signature", "center"), "shared")
-    members = written(signed.join(shared, "signature").distinct(), "members")
+    members = written(_members(signed), "members")
 
     pairs = members.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
     nodes = members.select("node").distinct()
