@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorekeep.llm.common import written
+from scorekeep.llm.common import small_or_shuffled, written
 from scorekeep.llm.language_id import UNKNOWN, identify_languages
 from scorekeep.llm.ngram_jaccard import ngram_jaccard_join
 from scorekeep.llm.packing import pack_documents
@@ -20,17 +20,26 @@ from scorekeep.llm.substring_dedup import substring_dedup
 LEAST_SCORE = 0.3
 
 
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs but for the given doc_ids; a list within the bound goes to the texts, so that they aren't shuffled."""
+    ids = written(ids.distinct(), "gone")
+    return docs.join(small_or_shuffled(ids, ids.count()), "doc_id", "left_anti").select(docs.columns)
+
+
 def keep_known_languages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those without letters, or that fit no language, go."""
-    found = identify_languages(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > LEAST_SCORE))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
+    found = identify_languages(docs).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") <= LEAST_SCORE))
+    return _without(docs, found.select("doc_id")).where("doc_id is not null")
 
 
 def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of 0.8-similar sets of 5-word shingles: the smallest doc_id."""
-    groups = ngram_jaccard_join(docs)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One document of each group of 0.8-similar sets of 5-word shingles: the smallest doc_id (one row of it)."""
+    groups = written(ngram_jaccard_join(docs).select("doc_id", "component_id"), "groups")
+    kept = _without(docs, groups.where("doc_id <> component_id").select("doc_id"))
+    repeated = written(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    once = _without(kept, repeated)
+    again = kept.join(small_or_shuffled(repeated, repeated.count()), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.unionAll(again.select(docs.columns))
 
 
 def drop_repeated_spans(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
