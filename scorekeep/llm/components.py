@@ -30,13 +30,13 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block.append(batch)
         rows += batch.num_rows
         if rows >= BLOCK:
-            yield _block_stars(block)
+            yield block_stars(block)
             block, rows = [], 0
     if block:
-        yield _block_stars(block)
+        yield block_stars(block)
 
 
-def _block_stars(block: list[pa.RecordBatch]) -> pa.RecordBatch:
+def block_stars(block: list[pa.RecordBatch]) -> pa.RecordBatch:
     a, b = (np.concatenate([x.column(i).to_numpy() for x in block]) for i in (0, 1))
     nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
     a, b, root = at[: len(a)], at[len(a):], np.arange(len(nodes))
