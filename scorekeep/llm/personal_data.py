@@ -110,21 +110,22 @@ def _discovered(rows: DataFrame) -> DataFrame:
     graph = written(seen.select(F.explode("patterns").alias("pattern"), "value", "seed_kind").groupBy("pattern", "value")
                     .agg(F.max("seed_kind").alias("seed_kind")), "graph")
     known = written(graph.where("seed_kind is not null").select(
-        "value", F.col("seed_kind").alias("kind"), F.lit(1.0).alias("score")).distinct(), "known")
+        "value", F.col("seed_kind").alias("kind"), F.lit(1.0).alias("score"), F.lit(True).alias("seed")).distinct(), "known")
     held = graph.groupBy("pattern").agg(F.count("*").alias("values"))
     sure = None
     for _ in range(ROUNDS):
-        sums = graph.join(known, "value").groupBy("pattern", "kind").agg(
+        scores = known.groupBy("value", "kind").agg(F.max("score").alias("score"))  # a found value may be a seed elsewhere
+        sums = graph.join(scores, "value").groupBy("pattern", "kind").agg(
             F.sum("score").alias("total"), F.count("*").alias("support"))
         sure = written(sums.join(held, "pattern").withColumn("confidence", F.col("total") / (F.col("values") + PRIOR))
                        .where((F.col("support") >= SUPPORT) & (F.col("confidence") >= SURE))
                        .select("pattern", "kind", "confidence"), "patterns")
         found = (graph.where("seed_kind is null").join(sure, "pattern")
                  .groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence") + 1e-9)))).alias("score"))
-                 .where(F.col("score") >= SURE))
-        known = written(known.where("score = 1.0").unionAll(found.where("score < 1.0")), "known")
+                 .where(F.col("score") >= SURE).withColumn("seed", F.lit(False)))
+        known = written(known.where("seed").unionAll(found), "known")
     return written(seen.where("seed_kind is null").select("doc_id", "text_hash", "start", "end", "value", F.explode("patterns").alias("pattern"))
-                   .join(sure, "pattern").join(known.where("score < 1.0"), ["value", "kind"])
+                   .join(sure, "pattern").join(known.where("not seed"), ["value", "kind"])
                    .select("doc_id", "text_hash", F.struct("start", "kind", "end", "value").alias("span")).distinct(), "added")
 
 
