@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorekeep.llm.common import written
-from scorekeep.llm.components import components
+from scorekeep.llm.components import block_stars, components
 from scorekeep.llm.words import U, mix
 
 BITS = 512
@@ -31,6 +31,8 @@ CLASSES = 64
 #: Bits of a band, sampled from the fingerprint's.
 BAND_BITS = 24
 BANDS = 32
+#: Nodes of a band's value that are compared in one block.
+BLOCK = 2048
 
 
 def _step_lengths() -> np.ndarray:
@@ -192,52 +194,99 @@ def edit_fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: st
             .select("tail", "doc_id", "text").mapInArrow(_along, _SCHEMA))
 
 
-def _banding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sampled bits of each band of each fingerprint, as a number."""
+def _sampled() -> np.ndarray:
+    """The places of each band's bits in the fingerprint."""
     draw = np.random.Generator(np.random.PCG64(11))
-    sampled = np.stack([np.sort(draw.choice(BITS, BAND_BITS, replace=False)) for _ in range(BANDS)])
+    return np.stack([np.sort(draw.choice(BITS, BAND_BITS, replace=False)) for _ in range(BANDS)])
+
+
+def _banding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each band of each fingerprint, the band and its sampled bits as one number."""
+    sampled = _sampled()
     weights = 1 << np.arange(BAND_BITS)
     for batch in batches:
         n = batch.num_rows
         packed = np.frombuffer(bytes.fromhex("".join(batch.column("fingerprint").to_pylist())), np.uint8)
         bits = np.unpackbits(packed.reshape(n, BITS // 8), axis=1)
-        values = np.stack([bits[:, band] @ weights for band in sampled], axis=1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(batch.column("node").to_numpy(), BANDS)),
-             pa.array(np.tile(np.arange(BANDS, dtype=np.int32), n)), pa.array(values.ravel())],
-            names=["node", "band", "value"])
+        keys = np.stack([(bits[:, places] @ weights) + (band << BAND_BITS) for band, places in enumerate(sampled)], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("node").to_numpy(), BANDS)), pa.array(keys.ravel())],
+                                         names=["node", "key"])
+
+
+def _meetings(most: int):
+    """Links between nodes of a key (or pair of its blocks) that differ in at most `most` bits, as stars.
+
+    Rows come sorted by key, x and y.  Each row is compared with those 1, 2, ... rows on, while any is of its group."""
+    def stars(rows: pa.RecordBatch, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+        node, side = rows.column("node").to_numpy(), rows.column("side").to_numpy()
+        bits = np.frombuffer(bytes.fromhex("".join(rows.column("fingerprint").to_pylist())), U).reshape(len(node), BITS // 64)
+        at, found, links = np.arange(len(node)), [], 0
+
+        def linked() -> pa.RecordBatch:
+            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            return block_stars([pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])])
+
+        for d in range(1, len(node)):
+            at = at[: np.searchsorted(at, len(node) - d)]
+            at = at[group[at] == group[at + d]]
+            if not len(at):
+                break
+            i = at[(side[at] == 0) | (side[at] != side[at + d])]
+            i = i[np.bitwise_count(bits[i] ^ bits[i + d]).sum(axis=1, dtype=np.int64) <= most]
+            found.append((node[i], node[i + d]))
+            links += len(i)
+            if links >= 1_000_000:
+                yield linked()
+                found, links = [], 0
+        if links:
+            yield linked()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
+            keys = np.stack([rows.column(c).to_numpy() for c in ("key", "x", "y")])
+            group = np.concatenate(([0], np.cumsum((keys[:, 1:] != keys[:, :-1]).any(axis=0))))
+            last = int(np.searchsorted(group, group[-1]))
+            yield from stars(rows.slice(0, last), group[:last])
+            held = [rows.slice(last)]
+        if held:
+            yield from stars(held[0], np.zeros(held[0].num_rows, np.int64))
+
+    return run
 
 
 def near_duplicates(fingerprints: DataFrame, least: float = 0.8) -> DataFrame:
     """Components of documents whose fingerprints' likeness is at least `least`, found by bit-sampled bands.
 
     fingerprints has doc_id and fingerprint.  Equal fingerprints are one node.  Each of BANDS bands samples
-    BAND_BITS of the bits; nodes are verified against the smallest node of each band they share, and links
-    make components.  Returns doc_id and component_id (smallest doc_id reachable).  The search is
-    probabilistic: at likeness 0.8 a pair shares a band with probability 0.93, at 0.9 with 0.9999.  Null ids or
-    fingerprints and empty texts (all zeros) link with nothing.
+    BAND_BITS of the bits; all nodes that share a band's value are verified against each other, those of a value
+    with more than BLOCK nodes in blocks that go to different tasks, and links make components.  Returns the
+    columns of fingerprints and component_id (smallest doc_id reachable).  The search is probabilistic: at
+    likeness 0.8 a pair shares a band with probability 0.93, at 0.9 with 0.9999, whatever else is in the table.
+    Null ids or fingerprints and empty texts (all zeros) link with nothing.
     """
-    rows = fingerprints.select("doc_id", "fingerprint")
     real = F.col("doc_id").isNotNull() & F.col("fingerprint").rlike("[1-9a-f]")
-    nodes = written(rows.where(real).groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "nodes")
-    banded = nodes.mapInArrow(_banding, "node long, band int, value long")
-    center = written(banded.groupBy("band", "value").agg(F.min("node").alias("center"), F.max("node").alias("most"))
-                     .where("center < most").drop("most"), "centers")
-    pairs = banded.join(center, ["band", "value"]).where("node <> center").select("node", "center").distinct()
-    at = nodes.select(F.col("node").alias("center"), F.col("fingerprint").alias("other"))
-    blocks = [(16 * i + 1, 16) for i in range(BITS // 64)]
-    differ = sum(F.bit_count(F.conv(F.substring("fingerprint", a, n), 16, -10).cast("decimal(20,0)").cast("long")
-                             .bitwiseXOR(F.conv(F.substring("other", a, n), 16, -10).cast("decimal(20,0)").cast("long")))
-                 for a, n in blocks)
-    links = (pairs.join(nodes, "node").join(at, "center").where(differ <= int(BITS * (1 - least) / 2))
-             .select("node", "center"))
-    found = components(links, "node", "center")
+    nodes = written(fingerprints.where(real).groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "nodes")
+    banded = nodes.mapInArrow(_banding, "node long, key long")
+    shared = written(banded.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.count("*").alias("n"))
+                     .where("n > 1").drop("n"), "shared")
+    # block i is compared with every block j: the row goes to (min(i, j), max(i, j))
+    placed = (banded.join(shared, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .select("key", "node", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                      F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side")))
+    links = (placed.join(nodes, "node").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+             .mapInArrow(_meetings(int(BITS * (1 - least) / 2)), "a long, b long"))
+    found = components(links, "a", "b")
     of = written(nodes.join(found, "node", "left").select(
         "fingerprint", F.coalesce("component", "node").alias("component_id")), "components")
-    return (rows.join(of, "fingerprint", "left")
-            .select("doc_id", F.when(real, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+    return (fingerprints.join(of, "fingerprint", "left")
+            .select(*fingerprints.columns, F.when(real, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
 def op9_document_fingerprints(spark, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and of their edited texts."""
-    return edit_fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """Fingerprints of all documents and of their edited texts, and the component of near copies."""
+    return near_duplicates(written(edit_fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet")), "fingerprints"))
