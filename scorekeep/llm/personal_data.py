@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction, with DataFrame functions only.
 
 Seeds are the matches of four expressions.  The words around a seed make lexical patterns: the two words before
-it, and the word on either side of it.  Candidates are runs of words with digits that are no seed.  Patterns
+it, and the word on either side of it.  Candidates are what is left beside the seeds of words with the sign of an
+address, and of runs of other words with digits.  Patterns
 and the values that they hold form a graph, scored in turns: a pattern's confidence in a kind is the mean of
 its values' scores, with PRIOR values of score 0 added; a candidate value's score is the probability that one of its patterns
 is right (noisy or).  A candidate in a pattern of SURE confidence that is itself scored SURE becomes a span of the
@@ -26,7 +27,10 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-CANDIDATE = r"(?<!\S)[^\s0-9]*+[0-9]\S*+(?:\x20[^\s0-9]*+[0-9]\S*+)*+"
+#: What a word of an address has: an at sign, one written out, or a dot before a letter.
+SIGN = r"@|[(\[]at[)\]]|[\p{L}0-9]\.\p{L}"
+CANDIDATE = (rf"(?<!\S)(?:(?=\S*?(?:{SIGN}))\S++"
+             rf"|[^\s0-9]*+[0-9]\S*+(?:\x20(?!\S*?(?:{SIGN}))[^\s0-9]*+[0-9]\S*+)*+)")
 
 ROUNDS = 3
 SURE = 0.9
@@ -84,6 +88,18 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
 
 
+def _without(text: Column, spans: Column) -> Column:
+    """The text with line feeds in place of the spans' characters."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(a: Column, s: Column) -> Column:
+        gap = F.greatest(s["start"], a["at"])
+        piece = F.concat(a["out"], F.substring(text, a["at"] + 1, gap - a["at"]), F.repeat(F.lit("\n"), F.greatest(s["end"] - gap, F.lit(0))))
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), piece.alias("out"))
+
+    return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+
+
 def _words_around(text: Column, start: Column, end: Column) -> tuple[Column, Column]:
     before = F.split(F.trim(F.regexp_replace(F.substring(text, F.greatest(start - 79, F.lit(1)), F.least(start, F.lit(80))), r"\s+", " ")), " ")
     after = F.split(F.trim(F.regexp_replace(F.substring(text, end + 1, F.lit(80)), r"\s+", " ")), " ")
@@ -98,9 +114,7 @@ def _discovered(rows: DataFrame) -> DataFrame:
     text = F.col("text")
     seeds = rows.where("size(base) > 0").select("doc_id", "text_hash", "text", F.explode("base").alias("s")).select(
         "doc_id", "text_hash", "text", "s.start", "s.end", "s.value", F.col("s.kind").alias("seed_kind"))
-    wild = rows.where(text.rlike("[0-9]")).select(
-        "doc_id", "text_hash", "text", "base", F.explode(_found(text, CANDIDATE, -1)).alias("s")).where(
-        ~F.exists("base", lambda b: (b["start"] < F.col("s.end")) & (b["end"] > F.col("s.start")))).select(
+    wild = rows.select("doc_id", "text_hash", "text", F.explode(_found(_without(text, F.col("base")), CANDIDATE, -1)).alias("s")).select(
         "doc_id", "text_hash", "text", "s.start", "s.end", "s.value", F.lit(None).cast("int").alias("seed_kind"))
     two, both = _words_around(text, F.col("start"), F.col("end"))
     seen = written(seeds.unionAll(wild).select(
@@ -139,7 +153,7 @@ def personal_data(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").withColumn("base", base_spans(F.col("text")))
-    marked = written(rows.select("doc_id", "text_hash", "base", F.when(F.col("text").rlike("[0-9@]"), F.col("text")).alias("text")), "marked")
+    marked = written(rows.select("doc_id", "text_hash", "base", F.when(F.col("text").rlike(f"[0-9]|{SIGN}"), F.col("text")).alias("text")), "marked")
     added = (_discovered(marked.where("text is not null").dropDuplicates(["doc_id", "text_hash"]))
              .groupBy("doc_id", "text_hash").agg(F.collect_set("span").alias("more"))
              .select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), "more"))

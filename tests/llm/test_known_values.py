@@ -19,3 +19,12 @@ def test_a_value_in_many_sure_patterns_is_found(docs_of):
     for doc_id, text in rows[-len(PLACES):]:
         at = text.index(hot)
         assert found[doc_id] == f"email:{at}:{at + len(hot)}"
+
+
+def test_addresses_without_digits_and_numbers_beside_seeds_are_found(docs_of):
+    rows = [(i, f"please write to user{i}@mail.example.com today") for i in range(40)]
+    rows += [(100, "please write to anna(at)mail.example.org today"), (101, "please write to jane@localhost today")]
+    rows += [(200 + i, f"host 10.0.0.{i} +1 555 123 4{i:03d} now") for i in range(40)]
+    rows += [(300, "host 161.17.88.162 555-0142 now")]
+    found = _spans(docs_of(rows))
+    assert (found[100], found[101], found[300]) == ("email:16:40", "email:16:30", "ip:5:18,phone:19:27")
