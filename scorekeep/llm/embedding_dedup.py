@@ -26,14 +26,11 @@ from scorekeep.llm.components import components
 from scorekeep.llm.words import U, mix
 
 TABLES = 5
+#: Hashes of a bucket, whatever the size of the table, so that it doesn't decide which pairs are found.
+HASHES = 2
 BLOCK = 512
 
 
-def hashes_for(vectors: int) -> int:
-    """Hashes of a bucket: two, and one more for every 100-fold beyond 100 million vectors."""
-    return 2 if vectors <= 10**8 else 2 + int(np.ceil(np.log(vectors / 1e8) / np.log(100)))
-
-
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Fast Walsh-Hadamard transform of the rows."""
     n, d = x.shape
@@ -185,11 +182,9 @@ def near_embeddings(embeddings: DataFrame, least: float = 0.98, id_col: str = "v
     good = rows.where("sound")
     nodes = written(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"))
                     .withColumn("dim", F.size("embedding")), "nodes")
-    n = nodes.count()
-    hashes = hashes_for(n)
     # vectors of one dimension at a time, since a task's matrix has one width
     dims = [r[0] for r in nodes.select("dim").distinct().orderBy("dim").collect()]
-    found = [_links(nodes.where(F.col("dim") == d), hashes, least) for d in dims]
+    found = [_links(nodes.where(F.col("dim") == d), HASHES, least) for d in dims]
     if not found:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.col("vec_id").isNotNull().alias("kept"))
