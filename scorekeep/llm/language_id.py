@@ -139,10 +139,12 @@ def fit(labelled: DataFrame) -> Model:
     """Learn from rows doc_id, text, lang; rows with a null id, text or lang or a text without letters are left out.
 
     The sample takes of each language the share of rows, picked by a hash of the id, that gives about SAMPLE;
-    languages beyond the LANGUAGES commonest are not learned.
+    every language is learned.  More than LANGUAGES of them are an error, since each takes DIM weights of the driver.
     """
     rows = labelled.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    shares = (rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
+    shares = rows.groupBy("lang").count().limit(LANGUAGES + 1).collect()
+    if len(shares) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} different values of lang to learn from")
     languages = sorted(r["lang"] for r in shares)
     if not languages:
         return Model([], np.zeros(DIM), np.zeros((DIM, 0), np.float32), np.zeros(0))
