@@ -27,9 +27,13 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def keep_known_languages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without letters, or that fit no language, go."""
-    found = identify_languages(docs).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") <= LEAST_SCORE))
-    return _without(docs, found.select("doc_id")).where("doc_id is not null")
+    """Documents whose language is told; those without letters, or that fit no language, go.
+
+    Where there was no language to learn, all texts with letters stay."""
+    told = F.when(F.col("lang_pred") == UNKNOWN, F.col("score") == 0).otherwise(F.col("score") > LEAST_SCORE)  # und may be a label
+    unlike = identify_languages(docs).where(~told).select("doc_id")
+    bare = docs.where(~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).select("doc_id")
+    return _without(docs, unlike.unionAll(bare)).where("doc_id is not null")
 
 
 def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
