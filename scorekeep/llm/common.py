@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from sys import getsizeof
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,13 +55,21 @@ def over_slices(f: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], column:
 
 
 class Remembered(dict):
-    """Values that make() gave for keys, forgotten all at once when there are `most`."""
+    """Values that make() gave for keys, in about `most` bytes: when half of that is used, what was not asked for
+    since the last time is forgotten."""
 
     def __init__(self, make: Callable, most: int):
-        self.make, self.most = make, most
+        self.make, self.room, self.used, self.older = make, most // 2, 0, {}
 
     def __missing__(self, key):
-        if len(self) >= self.most:
+        out = self.older.pop(key, None)
+        return self.put(key, self.make(key) if out is None else out)
+
+    def put(self, key, out):
+        if self.used >= self.room:
+            self.older = dict(self)
             self.clear()
-        self[key] = out = self.make(key)
+            self.used = 0
+        self.used += getsizeof(key) + getsizeof(out) + 100  # the entry itself
+        self[key] = out
         return out

@@ -25,8 +25,8 @@ CAPACITY = 4096
 GROUP = 20_000
 #: A sequence with less than this share of its capacity is packed again with other groups' sequences.
 LOOSE = 15 / 16
-#: Words that an encoder remembers (about 100 MB).
-REMEMBERED = 500_000
+#: Bytes of memory for each of the two kinds of words that an encoder remembers.
+REMEMBERED = 40_000_000
 
 
 class WordEncoder:

@@ -24,8 +24,8 @@ from scorekeep.llm.common import Remembered, over_slices
 SPACE = "▁"
 #: Below the lowest score, for a character without a piece (the library's value).
 UNKNOWN_PENALTY = 10.0
-#: Words that a codec remembers (about 150 MB).
-REMEMBERED = 500_000
+#: Bytes of memory for each of the two kinds of words that a codec remembers.
+REMEMBERED = 40_000_000
 
 
 class Codec:
