@@ -35,17 +35,19 @@ LEVELS = 48
 #: How far past its end the pattern looks to end a match: "'r" may become "'re".
 LOOKAHEAD = 2
 CLASSES = (r"\p{L}", r"\p{N}", r"\s")
-_SURROGATES = range(0xD800, 0xE000)
 _ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 
 
+def all_characters() -> str:
+    return "".join(map(chr, range(0xD800))) + "".join(map(chr, range(0xE000, 0x110000)))
+
+
 def library_matches(pattern: str) -> set[str]:
     """Characters that match a class in the library's regular expressions."""
     import tiktoken
 
     single = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
-    text = "".join(chr(c) for c in range(0x110000) if c not in _SURROGATES)
-    return set(bytes(single.encode_ordinary(text)).decode())
+    return set(bytes(single.encode_ordinary(all_characters())).decode())
 
 
 def explicit_classes(pattern: str, classes: dict[str, set[str]]) -> str:

@@ -18,10 +18,11 @@ from scorekeep.llm.personal_data import op6_personal_data
 from scorekeep.llm.run_detection import op12_periodic_runs
 from scorekeep.llm.sentencepiece_codec import op8_sentencepiece
 from scorekeep.llm.substring_dedup import op1_substring_dedup
+from scorekeep.llm.token_alignment import op11_cross_tokenizer
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (
     op1_substring_dedup, url_filter.op2_url_filter, op3_html_text, op4_language_id, op5_embedding_dedup, op6_personal_data,
     op7_ngram_jaccard, op8_sentencepiece, op9_document_fingerprints, op10_best_fit_packing,
-    op12_periodic_runs, op13_byte_bpe)}
+    op11_cross_tokenizer, op12_periodic_runs, op13_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter.ORACLE_SQL}
