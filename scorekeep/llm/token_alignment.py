@@ -5,9 +5,9 @@ other's transpose, row by row as Gustavson computes it, has an entry for every t
 their number: the overlap links.  Bytes where tokens of both end cut the tokens into groups; the product of the two
 group matrices has an entry for every two tokens of one group: the shared-group links.
 
-How many documents hold a pair of ids linked is counted in three steps.  Each task counts the pairs of blocks of
-documents, the blocks' counts are added up by pair, and every block gets back the totals of its own pairs, as they
-were asked for, so that no task holds all of them.
+How many documents hold a pair of ids linked is counted in three steps.  Each task makes the matrix of texts and
+linked pairs of a block of documents, the blocks' column counts are added up by pair, and every block gets back the
+totals of its own pairs, so that no task holds all of them.
 """
 
 from __future__ import annotations
@@ -27,10 +27,10 @@ from scorekeep.llm.byte_bpe import PrefixCodec, all_characters
 from scorekeep.llm.common import Remembered, over_slices, slices, written
 
 SPACE = "▁"
-#: Texts whose pairs are counted, and asked for, together (bytes).
+#: Texts whose pairs are counted together (bytes).
 BLOCK_BYTES = 8_000_000
 #: Bytes whose products are formed at a time, unless one group has more.
-PART_BYTES = 1_000_000
+PART_BYTES = 250_000
 #: Bytes of memory for remembered pieces of text of the second tokenizer, in each Python worker.
 UNIT_BYTES = 100_000_000
 #: A pair of ids as one number: the first one's times this, and the second one's.
@@ -132,6 +132,8 @@ class PieceCodec:
         self.find = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.words = Remembered(lambda unit: self.encode_units([unit])[0], UNIT_BYTES)
         self.sizes = np.array([len(s) for s in self.spelt], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(self.spelt), np.uint8)
 
     def encode_units(self, units: list[str]) -> list[bytes]:
         """Ids (int32) of texts that begin with the prefix's mark."""
@@ -153,8 +155,10 @@ class PieceCodec:
             self.words.put(u, pick[u])
         return [np.frombuffer(b"".join(map(pick.__getitem__, u)), np.int32) for u in units]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.spelt.__getitem__, ids.tolist()))
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of all ids, one after the other (uint8)."""
+        sizes = self.sizes[ids]
+        return self.bytes[np.repeat(self.starts[ids] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
 
 
 class Aligned:
@@ -252,7 +256,7 @@ class Pair:
         none = np.zeros(0, np.int32)
         for i, t in enumerate(texts):
             data = (" " + t).encode("utf-8", "replace")
-            if t and not (self.first.decode(a_ids[i]).tobytes() == data == self.second.decode(b_ids[i])):
+            if t and not (self.first.decode(a_ids[i]).tobytes() == data == self.second.decode(b_ids[i]).tobytes()):
                 a_ids[i] = b_ids[i] = none
         return Aligned(a_ids, b_ids, self.first.sizes, self.second.sizes)
 
@@ -293,68 +297,97 @@ def aligned_tokens(documents: DataFrame, byte_path: str, piece_path: str, patter
         "shared array<struct<a:int,b:int>>")
 
 
-def _linked(own: Aligned) -> tuple[np.ndarray, np.ndarray]:
-    """The pair of ids of every overlap link, and where each text's links begin."""
+def _linked(own: Aligned) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The text, the pair of ids and the number of links of every pair that a text holds linked, in order, and
+    where each text's links begin among all."""
     a, b, _ = own.overlaps()
-    return own.a[a] * PAIR + own.b[b], np.searchsorted(a, own.a_edge)
+    edge = np.searchsorted(a, own.a_edge)
+    key = np.repeat(np.arange(len(edge) - 1), np.diff(edge)) * (PAIR * PAIR) + own.a[a] * PAIR + own.b[b]
+    key.sort()
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[first] // (PAIR * PAIR), key[first] % (PAIR * PAIR), np.diff(np.append(first, len(key))), edge
 
 
-def _sums(values: np.ndarray, edge: np.ndarray) -> np.ndarray:
-    total = np.concatenate(([0], np.cumsum(values)))
-    return total[edge[1:]] - total[edge[:-1]]
+def packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers from 0 on as bytes of seven bits, the lowest first, all but a number's last one marked; and the sizes."""
+    most = max(1, -(-int(values.max(initial=0)).bit_length() // 7))
+    parts = (values[:, None] >> (7 * np.arange(most))) & 127
+    size = 1 + (values[:, None] >> (7 * np.arange(1, most)) > 0).sum(axis=1)
+    place = np.arange(most)
+    parts |= np.where(place < size[:, None] - 1, 128, 0)
+    return parts.astype(np.uint8)[place < size[:, None]], size
 
 
-_BLOCK = "block long, doc_id long, text string, pairs array<long>, n array<long>"
+def unpacked(data: np.ndarray) -> np.ndarray:
+    if not len(data):
+        return np.zeros(0, np.int64)
+    first = np.concatenate(([0], np.flatnonzero(data[:-1] < 128) + 1))
+    place = np.arange(len(data)) - np.repeat(first, np.diff(np.append(first, len(data))))
+    return np.add.reduceat((data & 127).astype(np.int64) << (7 * place), first)
+
+
+_BLOCK = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, entries binary, "
+          "pairs array<long>, n array<long>")
 _ROW = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
-def _blocks(paths: tuple[str, str, str]):
-    """Rows with their block; a block's first row has its pairs, and how many of its documents link each."""
+def _counted(pair: Pair, part: pa.RecordBatch, block: int) -> pa.RecordBatch:
+    """A block: per row its counts and, packed, its row of the matrix of texts and pairs (column steps and values);
+    in the block's first row the pairs, and how many texts hold each."""
+    columns: dict[str, list] = {"n_a": [], "n_b": [], "n_groups": [], "n_links": [], "groups_sha256": []}
+    texts, pairs, links, before = [], [], [], 0
+    for piece in slices(part, "text"):
+        own = pair.align(piece.column("text").to_pylist())
+        text, which, n, edge = _linked(own)
+        texts.append(text + before)
+        pairs.append(which)
+        links.append(n)
+        before += piece.num_rows
+        for name, found in (("n_a", own.a_edge), ("n_b", own.b_edge), ("n_groups", own.group_edge), ("n_links", edge)):
+            columns[name].append(np.diff(found))
+        columns["groups_sha256"] += [hashlib.sha256(s).hexdigest() if s else "" for s in own.spelt_groups()]
+    text, links = np.concatenate(texts), np.concatenate(links)
+    pairs, slot = np.unique(np.concatenate(pairs), return_inverse=True)
+    matrix = Csr(np.searchsorted(text, np.arange(part.num_rows + 1)), slot, len(pairs), links)
+    step = np.diff(matrix.indices, prepend=0)
+    begins = matrix.indptr[:-1][np.diff(matrix.indptr) > 0]
+    step[begins] = matrix.indices[begins]
+    data, size = packed(np.stack((step, matrix.data), axis=1).ravel())
+    to = np.concatenate(([0], np.cumsum(size)))[2 * matrix.indptr].astype(np.int32)
+    rows = part.num_rows
+    edge = pa.array([0] + [len(pairs)] * rows, pa.int32())  # the first row's, none for the others
+    held = np.bincount(slot, minlength=len(pairs)).astype(np.int64)
+    return pa.RecordBatch.from_pydict({
+        "block": pa.array(np.full(rows, block)), "doc_id": part.column("doc_id"),
+        **{k: pa.array(v if k == "groups_sha256" else np.concatenate(v)) for k, v in columns.items()},
+        "entries": pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(to), pa.py_buffer(data)]),
+        "pairs": pa.ListArray.from_arrays(edge, pa.array(pairs)), "n": pa.ListArray.from_arrays(edge, pa.array(held))})
 
+
+def _blocks(paths: tuple[str, str, str]):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(*paths)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
-                pairs, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                for piece in slices(part, "text"):
-                    linked, edge = _linked(pair.align(piece.column("text").to_pylist()))
-                    text = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
-                    order = np.lexsort((linked, text))
-                    new = np.concatenate(([True], (np.diff(linked[order]) != 0) | (np.diff(text[order]) != 0))) if len(order) else []
-                    own, count = np.unique(linked[order][new] if len(order) else linked, return_counts=True)
-                    pairs, where = np.unique(np.concatenate((pairs, own)), return_inverse=True)
-                    n = np.bincount(where, np.concatenate((n, count)), len(pairs)).astype(np.int64)
-                rows = part.num_rows
-                edge = pa.array([0] + [len(pairs)] * rows, pa.int32())  # the first row's, none for the others
-                yield pa.RecordBatch.from_pydict({
-                    "block": pa.array(np.full(rows, block)), "doc_id": part.column("doc_id"), "text": part.column("text"),
-                    "pairs": pa.ListArray.from_arrays(edge, pa.array(pairs)), "n": pa.ListArray.from_arrays(edge, pa.array(n))})
+                yield _counted(pair, part, block)
                 block += 1
 
     return cut
 
 
-def _scoring(paths: tuple[str, str, str]):
-    def score(docs: pa.Table, totals: pa.Table) -> pa.Table:
-        pair = _pair(*paths)
-        order = np.argsort(totals.column("pair").to_numpy())
-        pairs, count, best = (totals.column(c).to_numpy()[order] for c in ("pair", "count", "best"))
-        found = []
-        for batch in docs.combine_chunks().to_batches():
-            for part in slices(batch, "text"):
-                own = pair.align(part.column("text").to_pylist())
-                linked, edge = _linked(own)
-                at = np.searchsorted(pairs, linked)
-                spelt = own.spelt_groups()
-                found.append(pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id"), "n_a": np.diff(own.a_edge), "n_b": np.diff(own.b_edge),
-                    "n_groups": np.diff(own.group_edge), "n_links": np.diff(edge),
-                    "n_best": _sums(best[at].astype(np.int64), edge), "count_sum": _sums(count[at], edge),
-                    "groups_sha256": [hashlib.sha256(s).hexdigest() if s else "" for s in spelt]}))
-        return pa.Table.from_batches(found)
-
-    return score
+def _scored(rows: pa.Table, totals: pa.Table) -> pa.Table:
+    """The rows of a block: products of its matrix with the totals of its pairs."""
+    order = np.argsort(totals.column("pair").to_numpy())  # slots are numbered by pair
+    count, best = (totals.column(c).to_numpy()[order].astype(np.int64) for c in ("count", "best"))
+    entries = rows.column("entries").to_pylist()
+    sums = np.zeros((2, len(entries)), np.int64)
+    for i, data in enumerate(entries):
+        step, links = unpacked(np.frombuffer(data, np.uint8)).reshape(-1, 2).T
+        slot = np.cumsum(step)
+        sums[:, i] = (links * best[slot]).sum(), (links * count[slot]).sum()
+    return pa.table({n: rows.column(n) for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
+                    | {"n_best": pa.array(sums[0]), "count_sum": pa.array(sums[1]), "groups_sha256": rows.column("groups_sha256")})
 
 
 def alignment_counts(documents: DataFrame, byte_path: str, piece_path: str, pattern: str, id_col: str = "doc_id",
@@ -372,8 +405,7 @@ def alignment_counts(documents: DataFrame, byte_path: str, piece_path: str, patt
     most = F.max("count").over(Window.partitionBy(F.expr(f"pair div {PAIR}")))  # of one id at most the other's vocabulary
     total = total.withColumn("best", F.col("count") == most)
     answers = asked.select("block", "pair").join(total, "pair").select(F.col("block").alias("asker"), "pair", "count", "best")
-    return (blocks.select("block", "doc_id", "text").groupBy("block").cogroup(answers.groupBy("asker"))
-            .applyInArrow(_scoring(paths), _ROW))
+    return blocks.drop("pairs", "n").groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(_scored, _ROW)
 
 
 def op11_cross_tokenizer(spark, sf_dir: str) -> DataFrame:

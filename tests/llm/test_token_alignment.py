@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from scorekeep.llm import token_alignment
-from scorekeep.llm.token_alignment import Aligned, Csr, Pair, aligned_tokens, alignment_counts, op11_cross_tokenizer
+from scorekeep.llm.token_alignment import Aligned, Csr, Pair, aligned_tokens, alignment_counts, op11_cross_tokenizer, packed, unpacked
 from tests.conftest import SF_SMALL
 
 PATHS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN
@@ -122,6 +122,13 @@ def test_long_texts_go_in_parts(libraries, pair, monkeypatch):
     assert isinstance(whole, Aligned) and len(before[0]) >= len(whole.a)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 1 << 40)))
+def test_packed_numbers(values):
+    data, size = packed(np.array(values, np.int64))
+    assert unpacked(data).tolist() == values and size.sum() == len(data)
+
+
 ROWS = [(1, "the cat and the dog"), (2, None), (3, ""), (None, "the cat"), (1, "the cat and the dog"), (4, "▁ not kept"),
         (5, "中文 <|endoftext|> <s> the"), (6, "the old " * 20_000)]
 
