@@ -436,16 +436,28 @@ def one_exam_with(paper: str, exam: int) -> str:
     return "WITH " + ",\n".join([*parts, *(c.strip() for c in DETAIL_CTES)])
 
 
+def _job_counts(prefix: str) -> str:
+    return f"""
+  SELECT 'obj_score' AS tableName, count(*) AS n, sum(stuScore) AS points FROM {prefix}scores
+  UNION ALL SELECT 'stu_que_detail', count(*), sum(stuScore) FROM {prefix}detail
+  UNION ALL SELECT 'stu_que_score', count(*), sum(total)
+    FROM (SELECT {WIDE_KEYS}, sum(stuScore) AS total FROM {prefix}detail GROUP BY {WIDE_KEYS})"""
+
+
 def exam_job_runs() -> str:
-    return one_exam_with("P0", 102) + f""",
-sheet AS (SELECT {WIDE_KEYS}, sum(stuScore) AS total FROM detail GROUP BY {WIDE_KEYS}),
-once AS (
-  SELECT 'obj_score' AS tableName, count(*) AS n, sum(stuScore) AS points FROM scores
-  UNION ALL SELECT 'stu_que_detail', count(*), sum(stuScore) FROM detail
-  UNION ALL SELECT 'stu_que_score', count(*), sum(total) FROM sheet
-)
+    one = one_exam_with("P0", 102) + f",\nonce AS ({_job_counts('')})\nSELECT * FROM once"
+    # the other exams, the answers of one without their exam's id
+    rest = [f"answer_all AS (\n{_fx.VIEWS['answer'].sql()}\n)",
+            *(f"{n} AS (\n{_fx.VIEWS[n].sql()}\n)" for n in DETAIL_VIEWS if n != "answer"),
+            "answer AS (SELECT * REPLACE (nullif(paperExamId, 103) AS paperExamId) FROM answer_all WHERE paperExamId <> 102)",
+            *(c.strip() for c in DETAIL_CTES)]
+    others = "WITH " + ",\n".join(rest) + f",\nonce AS ({_job_counts('')})\nSELECT * FROM once"
+    return f"""
 SELECT run, tableName, n * times AS n, points * times AS points
-FROM once, (VALUES ('first', 1), ('append', 2), ('redo', 1)) runs(run, times)"""
+FROM ({one}) AS own,
+  (VALUES ('first', 1), ('append', 2), ('redo', 1), ('died', 1), ('finished', 1)) runs(run, times)
+UNION ALL
+SELECT 'others', tableName, n, points FROM ({others}) AS rest"""
 
 
 QUERIES["exam_job_runs"] = exam_job_runs

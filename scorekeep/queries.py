@@ -312,22 +312,56 @@ QUERIES["jdbc_roundtrip"] = jdbc_roundtrip
 
 
 def exam_job_runs(spark, sf_dir):
-    """The staged job for one exam: rows and points of each output after a first
-    run, after a second one that appends, and after one that replaces."""
+    """The staged job for one exam: rows and points of each output after a first run, after a second one that
+    appends, after one that replaces, after one that dies before its commit, and after one that dies while it
+    publishes a replacement and is finished by the next job.  Before all that, a run over all exams leaves rows of
+    the others, those of one exam without its id; their number after everything is the last row of each table."""
     from scorekeep.plans.job import ExamJob
+
+    class DiesBeforeCommit(ExamJob):
+        def _commit(self, detail):
+            raise ConnectionError("lost")
+
+    class DiesWhilePublishing(ExamJob):
+        def _publish(self, folder, entries):
+            if entries["run"] != self.run_id:
+                return super()._publish(folder, entries)
+            from scorekeep.plans import publish
+            publish.publish_files(self.spark, entries["files"][0])
+            raise ConnectionError("lost")
+
     out = scratch_path(spark, "exam-job-runs")
+    outputs = (("obj_score", "stuScore"), ("stu_que_detail", "stuScore"), ("stu_que_score", "total"))
     found = []
-    for label, redo in (("first", False), ("append", False), ("redo", True)):
-        job = ExamJob(spark, _tables(spark, sf_dir), out, paper_id="P0", paper_exam_id=102, redo=redo)
-        job.start()()((3, 1.0))
-        parts = [job.read(name).agg(F.lit(label).alias("run"), F.lit(name).alias("tableName"),
-                                    F.count(F.lit(1)).alias("n"), F.sum(points).alias("points"))
-                 for name, points in (("obj_score", "stuScore"), ("stu_que_detail", "stuScore"),
-                                      ("stu_que_score", "total"))]
+
+    def look(label, read):
+        parts = [read(name).agg(F.lit(label).alias("run"), F.lit(name).alias("tableName"), F.count(F.lit(1)).alias("n"),
+                                F.sum(points).alias("points")) for name, points in outputs]
         path = scratch_path(spark, f"runs-{label}")
         parts[0].unionByName(parts[1]).unionByName(parts[2]).write.parquet(path)
         found.append(spark.read.parquet(path))
-    return found[0].unionByName(found[1]).unionByName(found[2])
+
+    # all exams but 102, the answers of exam 103 without their exam's id
+    t = _tables(spark, sf_dir)
+    others = t.answer.where("paperExamId <> 102").withColumn(
+        "paperExamId", F.when(F.col("paperExamId") != 103, F.col("paperExamId")))
+    rest = fixtures.ExamTables(question=t.question, answer=others, absent=t.absent, student=t.student,
+                               paper_subject=t.paper_subject, paper=t.paper, subject=t.subject, batch=t.batch)
+    ExamJob(spark, rest, out).start()()((3, 1.0))
+    for label, redo, kind in (("first", False, ExamJob), ("append", False, ExamJob), ("redo", True, ExamJob),
+                              ("died", False, DiesBeforeCommit), ("finished", True, DiesWhilePublishing)):
+        job = kind(spark, t, out, paper_id="P0", paper_exam_id=102, redo=redo)
+        try:
+            job.start()()((3, 1.0))
+        except ConnectionError:
+            job.recover() if kind is DiesBeforeCommit else ExamJob(spark, t, out).recover()
+        look(label, job.read)
+    look("others", lambda name: spark.read.option("mergeSchema", "true").parquet(f"{out}/{name}")
+         .where("NOT coalesce(paperExamId = 102, false)"))
+    whole = found[0]
+    for df in found[1:]:
+        whole = whole.unionByName(df)
+    return whole
 
 
 QUERIES["exam_job_runs"] = exam_job_runs

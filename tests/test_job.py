@@ -174,3 +174,98 @@ def test_job_redo_without_rows_leaves_none(spark, tables_small, workdir):
     ExamJob(spark, empty, out, paper_id="P0", paper_exam_id=102, redo=True).start()()()
     schema = spark.read.parquet(out + "/paper_score").schema
     assert schema and not [p for p in os.listdir(out + "/obj_score") if p.endswith("=102")]
+
+
+def _counts(spark, out, where="true"):
+    return [spark.read.option("mergeSchema", "true").parquet(f"{out}/{n}").where(where).count()
+            for n in ("obj_score", "stu_que_detail", "stu_que_score")]
+
+
+def test_job_that_dies_leaves_no_half_output(spark, tables_small, workdir):
+    """Killed before the manifest: nothing changed, in no copy.  Killed after it: the next job ends it, once."""
+    import uuid
+
+    import pytest
+
+    from scorekeep.plans import publish
+    from scorekeep.plans.job import JdbcExport
+    from scorekeep.sources.jdbc import jdbc_query
+    out, drv = workdir + "/dies", "org.apache.derby.jdbc.EmbeddedDriver"
+    url = f"jdbc:derby:memory:dies{uuid.uuid4().hex[:8]};create=true"
+    table = "detail_dies_" + uuid.uuid4().hex[:8]
+
+    def job(kind=ExamJob, redo=False):
+        return kind(spark, tables_small, out, paper_id="P0", paper_exam_id=102, redo=redo,
+                    jdbc=JdbcExport(url, driver=drv), detail_table=table)
+
+    def copies():
+        return [jdbc_query(spark, url, "SELECT * FROM obj_score", driver=drv).count(),
+                jdbc_query(spark, url, "SELECT * FROM stu_que_score", driver=drv).count(), spark.table(table).count()]
+
+    class Early(ExamJob):
+        def _commit(self, detail):
+            raise ConnectionError
+
+    class Late(ExamJob):
+        def _publish(self, folder, entries):
+            if entries["run"] != self.run_id:
+                return super()._publish(folder, entries)
+            publish.publish_files(self.spark, entries["files"][0])
+            files = entries["files"][1] | {"add": [a | {"files": a["files"][:1]} for a in entries["files"][1]["add"]]}
+            publish.publish_files(self.spark, files)
+            raise ConnectionError
+
+    job().start()()()
+    first, held = _counts(spark, out), copies()
+    for redo in (False, True):
+        with pytest.raises(ConnectionError):
+            job(Early, redo).start()()()
+        assert job().recover() == [] and _counts(spark, out) == first and copies() == held
+    for redo, times in ((False, 2), (True, 1)):
+        with pytest.raises(ConnectionError):
+            job(Late, redo).start()()()
+        assert len(job().recover()) == 1
+        assert _counts(spark, out) == [times * n for n in first] and copies() == [times * n for n in held]
+        assert job().recover() == []
+    # a run with rows for a database is not ended without it
+    with pytest.raises(ConnectionError):
+        job(Late, True).start()()()
+    with pytest.raises(RuntimeError, match="access"):
+        ExamJob(spark, tables_small, out).recover()
+    job().recover()
+    assert _counts(spark, out) == first and copies() == held
+    assert publish.drop_uncommitted(spark, out + "/_runs") and not publish.drop_uncommitted(spark, out + "/_runs")
+
+
+def test_redo_replaces_by_the_selection_alone(spark, tables_small, workdir):
+    """Rows of other exams stay, those without an exam's id too; with only a paper given, all its rows go,
+    whether its exams are listed or not."""
+    from scorekeep.sources.fixtures import ExamTables
+    t = tables_small
+    answer = t.answer.withColumn("paperExamId", F.when(F.col("paperExamId") != 103, F.col("paperExamId")))
+    lost = ExamTables(question=t.question, answer=answer, absent=t.absent, student=t.student,
+                      paper_subject=t.paper_subject.where("id <> 102"), paper=t.paper, subject=t.subject, batch=t.batch)
+    out = workdir + "/selection"
+    ExamJob(spark, lost, out).start()()()
+    nulls = spark.read.parquet(out + "/obj_score").where("paperExamId IS NULL").count()
+    listed = spark.read.parquet(out + "/obj_score").where("paperId = 'P0' AND paperExamId = 102").count()
+    assert nulls > 0 and listed > 0
+    before = _counts(spark, out)
+    ExamJob(spark, lost, out, paper_id="P0", redo=True).start()()()
+    assert _counts(spark, out)[0] == before[0]
+    ExamJob(spark, t, out, paper_id="P0", paper_exam_id=102, redo=True).start()()()
+    assert spark.read.parquet(out + "/obj_score").where("paperExamId IS NULL").count() == nulls
+    assert _counts(spark, out)[0] == before[0]
+
+
+def test_existence_is_asked_not_guessed(spark):
+    import pytest
+
+    from scorekeep.sinks.jdbc import Connection, create_like
+    url, drv = "jdbc:derby:memory:exists_probe;create=true", "org.apache.derby.jdbc.EmbeddedDriver"
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    create_like(df, url, "things", driver=drv)
+    with Connection(spark, url, drv) as c:
+        assert c.has_table("things") and not c.has_table("other") and set(c.column_types("things")) == {"id", "name"}
+    with pytest.raises(Exception):
+        create_like(df, "jdbc:derby:memory:not_there", "things", driver=drv)
