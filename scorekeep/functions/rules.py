@@ -20,6 +20,7 @@ from scorekeep.fixed_values import MULTI_CHOICE_TYPE, RULE_GROUP_TYPE
 from scorekeep.functions.answers import normalize_answer
 
 RULE_SCHEMA = "array<struct<type:string, values:array<struct<name:string, score:string>>>>"
+PAIRS_TYPE = "array<struct<k:string,s:float>>"
 
 
 def _c(col) -> Column:
@@ -43,6 +44,27 @@ def rule_pairs(rules="rules") -> Column:
                            v["score"].try_cast("float").alias("s")))))
 
 
+def _has_text(rules) -> Column:
+    text = F.trim(_c(rules))
+    return (text != "") & (F.lower(text) != "null")
+
+
+def is_broken(rules="rules") -> Column:
+    """Whether a text is there that is no list of rules: not JSON, no array of entries, or a group without a list of
+    values.  Blank text and JSON null mean no rules."""
+    return F.coalesce(_has_text(rules) & rule_pairs(rules).isNull(), F.lit(False))
+
+
+def rejected_rules(question: DataFrame, id_col: str = "id", type_col: str = "type", rules_col: str = "rules") -> DataFrame:
+    """(questionId, rules, reason) of multi-choice questions whose rules cannot be used as they stand: broken text,
+    or a score that is no number (its answer key scores 0)."""
+    unscored = F.exists(rule_pairs(rules_col), lambda p: p["s"].isNull())
+    reason = F.when(is_broken(rules_col), F.lit("unreadable")).when(unscored, F.lit("score is no number"))
+    return (question.where(F.col(type_col) == MULTI_CHOICE_TYPE)
+            .select(F.col(id_col).alias("questionId"), F.col(rules_col).alias("rules"), reason.alias("reason"))
+            .where(F.col("reason").isNotNull()))
+
+
 def last_wins_map(pairs) -> Column:
     """Map from (key, score) pairs where a repeated key keeps its last score:
     a pair is kept only when no later pair has the same key."""
@@ -58,11 +80,19 @@ def rule_map(rules="rules") -> Column:
 
 
 def with_rule_map(df: DataFrame, rules_col: str = "rules", out: str = "ruleMap",
-                  only_when: Column | None = None) -> DataFrame:
+                  only_when: Column | None = None, on_broken: str = "fail") -> DataFrame:
     """Add the rule map as a column, parsing the JSON once per row: the pairs
     are a separate projection that Catalyst keeps (it does not inline a
-    non-trivial expression that is used more than once)."""
+    non-trivial expression that is used more than once).  ``on_broken``: a rule
+    text that cannot be read fails the job, or is left for ``rejected_rules``
+    to list (its answers then score 0)."""
     pairs = rule_pairs(rules_col)
+    if on_broken == "fail":
+        # broken text must not score 0 unseen: the row that needs it fails the job
+        pairs = F.coalesce(pairs, F.when(_has_text(rules_col), F.raise_error(F.concat(
+            F.lit("answer rules cannot be read: "), F.substring(_c(rules_col), 1, 200))).cast(PAIRS_TYPE)))
+    elif on_broken != "reject":
+        raise ValueError("on_broken is fail or reject")
     if only_when is not None:
         pairs = F.when(only_when, pairs)
     return (df.withColumn("__rule_pairs", pairs)

@@ -182,33 +182,152 @@ def routed_jdbc_read(spark: SparkSession, layout: ShardLayout, url_for_db, table
     return df
 
 
+#: Up to this many keys go to the databases as conditions (at most about 20 MB of them pass the driver).
+MAX_PUSHED_KEYS = 200_000
+
+
+def _key_conditions(c, column: str, clob: bool, keys: list[str], chunk: int) -> list[str]:
+    name = c.quoted(column)
+    name = f"CAST({name} AS VARCHAR(256))" if clob else name
+    return [f"{name} IN ({', '.join(chr(39) + k.replace(chr(39), chr(39) * 2) + chr(39) for k in keys[i:i + chunk])})"
+            for i in range(0, len(keys), chunk)]
+
+
 def gather_jdbc(spark: SparkSession, layout: ShardLayout, url_for_db, table: str,
                 keys: DataFrame, driver: str | None = None, user: str | None = None,
-                password: str | None = None) -> DataFrame:
+                password: str | None = None, chunk: int = 500, max_pushed: int = MAX_PUSHED_KEYS,
+                parallel: int = 8) -> DataFrame:
     """Rows of the JDBC-sharded ``table`` whose table-shard key is in ``keys``.
 
-    Only the physical tables that some key routes to are read: the distinct
-    table shards of the keys (at most ``n_tb`` values, so collecting them is
-    bounded) in every database.  The reads are one
-    union, semi-joined to the keys (a broadcast when the key set is small)."""
+    Only physical tables that some key routes to are read; where ``keys`` has the
+    database key as well, only databases that one routes to.  Up to
+    ``max_pushed`` keys go to the database: each read of a table has one
+    partition per ``chunk`` keys, with these as its condition, so rows of other
+    keys never leave the database.  More keys than that: the tables are read
+    whole and semi-joined (a broadcast when the keys are proven small).  The
+    text form of a key is compared, as the shard hash uses it."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from scorekeep.plans.broadcast import bounded_broadcast
+    from scorekeep.sinks.jdbc import _CLOB, Connection
     from scorekeep.sources.jdbc import jdbc_options
-    key = layout.tb_key
-    k = (keys.select(F.col(key).cast("string").alias(key)).where(F.col(key) != "").distinct())
-    table_shards = sorted(r["tb_shard"] for r in (
-        k.select(shard_index(F.col(key), layout.n_tb).alias("tb_shard")).distinct().collect()))
-    # the keys do not name the database shard, so every database is read
-    targets = [(tb, db) for tb in table_shards for db in range(layout.n_db)]
-    if not targets:
+    key, access = layout.tb_key, {"driver": driver, "user": user, "password": password}
+    routed = layout.db_key in keys.columns
+    chosen = [key, layout.db_key] if routed else [key]
+    k = keys.select(*[F.col(c).cast("string").alias(c) for c in chosen]).where(
+        " AND ".join(f"`{c}` <> ''" for c in chosen)).distinct()
+    shards = k.withColumn("tb_shard", shard_index(F.col(key), layout.n_tb)).withColumn(
+        "db_shard", shard_index(F.col(layout.db_key), layout.n_db) if routed else F.lit(None).cast("int"))
+    found = shards.limit(max_pushed + 1).collect()
+    pushed = len(found) <= max_pushed
+    if not pushed:   # at most n_db x n_tb targets
+        found = shards.select("tb_shard", "db_shard").distinct().collect()
+    targets: dict[tuple[int, int], set[str]] = {}
+    for r in found:
+        for db in ([r["db_shard"]] if routed else range(layout.n_db)):
+            targets.setdefault((r["tb_shard"], db), set()).update([r[key]] if pushed else [])
+    none = not targets
+    if none:
         # no keys: an empty result with the table's columns (the filter is
         # sent to the database, so no rows are read)
-        opts = jdbc_options(url_for_db(0), driver, user, password, dbtable=f"{table}_0")
-        return spark.read.format("jdbc").options(**opts).load().where(F.lit(False))
-    parts = []
-    for tb, db in targets:
-        opts = jdbc_options(url_for_db(int(db)), driver, user, password, dbtable=f"{table}_{tb}")
-        parts.append(spark.read.format("jdbc").options(**opts).load())
+        targets = {(0, 0): set()}
+
+    def read(target) -> DataFrame:
+        (tb, db), own = target
+        url, name = url_for_db(int(db)), f"{table}_{tb}"
+        opts = jdbc_options(url, **access)
+        if none or not pushed:
+            df = spark.read.format("jdbc").options(**opts, dbtable=name).load()
+            return df.where(F.lit(False)) if none else df
+        with Connection(spark, url, **access) as c:
+            column, kind = next((n, t) for n, t in c.column_types(name).items() if n.lower() == key.lower())
+            conditions = _key_conditions(c, column, kind == _CLOB, sorted(own), chunk)
+        opts.pop("url")
+        return spark.read.jdbc(url, name, predicates=conditions, properties=opts)
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        parts = list(pool.map(read, sorted(targets.items())))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    return rows.join(bounded_broadcast(k), rows[key].cast("string") == k[key], "left_semi")
+    if pushed and not routed:
+        return rows
+    # a database holds rows of other pairs of its keys as well
+    same = rows[key].cast("string") == k[key]
+    if routed:
+        same = same & (rows[layout.db_key].cast("string") == k[layout.db_key])
+    return rows.join(bounded_broadcast(k), same, "left_semi")
+
+
+# ------------------------------------------------------------ written-once layouts
+LAYOUT_FILE = "layout.json"
+
+
+def source_version(spark: SparkSession, df: DataFrame, *parts) -> str:
+    """A digest of the files that df reads (name, size, time of change), its plan's shape and further parts."""
+    import hashlib
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    digest = hashlib.sha256(repr((df.schema.json(), parts)).encode())
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in sorted(df.inputFiles()):
+        path = path_of(spark.sparkContext._jvm.java.net.URI(name))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        digest.update(f"{name},{status.getLen()},{status.getModificationTime()};".encode())
+    return digest.hexdigest()[:20]
+
+
+def layouts_folder(spark: SparkSession) -> str:
+    """Where layouts are kept: ``scorekeep.layouts.dir``, else a folder beside the shared scratch folder's files."""
+    from scorekeep.session import ensure_checkpoint_dir
+    return spark.conf.get("scorekeep.layouts.dir", None) or f"{ensure_checkpoint_dir(spark).rstrip('/')}/layouts"
+
+
+def kept_layout(spark: SparkSession, name: str, df: DataFrame, version: str, write) -> str:
+    """Path of the layout of this name and version, written by ``write(path)`` if it is not there yet.
+
+    A layout counts once its metadata file is there; what a failed writer left is in another folder and is not
+    seen.  Versions of changed sources get their own folders; ``drop_layouts`` deletes old ones."""
+    import json
+    import uuid
+
+    from scorekeep.plans.publish import Folder
+    base = Folder(spark, f"{layouts_folder(spark)}/{name}-{version}")
+    if not base.exists(LAYOUT_FILE):
+        own = f"data-{uuid.uuid4().hex}"
+        write(f"{base.root}/{own}")
+        base.write(LAYOUT_FILE, json.dumps({"data": own, "columns": df.columns}))
+    return f"{base.root}/{json.loads(base.read(LAYOUT_FILE))['data']}"
+
+
+def sharded_layout(df: DataFrame, name: str, layout: ShardLayout) -> str:
+    """Path of df as a sharded layout, written once for each state of its source files."""
+    spark = df.sparkSession
+    version = source_version(spark, df, layout.db_key, layout.tb_key, layout.n_db, layout.n_tb)
+    return kept_layout(spark, name, df, version, lambda path: write_sharded(df, path, layout, "error"))
+
+
+def bucketed_layout(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """df as a catalog table bucketed on key, written once for each state of its source files."""
+    from scorekeep.sinks.tables import create_table
+    spark = df.sparkSession
+    version = source_version(spark, df, key, buckets)
+    table = f"{name}_{version}"
+
+    def write(path):
+        write_bucketed(df, f"{table}_new", path, key, buckets, "error")
+        spark.sql(f"DROP TABLE {table}_new")   # external: the files stay
+
+    path = kept_layout(spark, name, df, version, write)
+    if not spark.catalog.tableExists(table):
+        create_table(spark, table, df.dtypes, path, clustered_by=(key, buckets))
+    return spark.table(table)
+
+
+def drop_layouts(spark: SparkSession, keep: list[str] = ()) -> list[str]:
+    """Delete all layouts but those whose folder names are given; returns the deleted names."""
+    from scorekeep.plans.publish import Folder
+    folder = Folder(spark, layouts_folder(spark))
+    gone = [n for n in folder.folders() if n not in keep]
+    for n in gone:
+        folder.delete(n)
+    return gone

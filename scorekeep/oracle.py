@@ -317,14 +317,17 @@ FROM scores""")
 
 
 def question_dimension() -> str:
-    cols = ([f"q.{c} AS question_{c}" for c in _all_columns("question")]
-            + [f"ps.{c} AS paperSubject_{c}" for c in _all_columns("paper_subject")]
-            + [f"p.{c} AS paper_{c}" for c in _all_columns("paper")])
-    return with_views(["question", "paper_subject", "paper"], [], f"""
-SELECT {', '.join(cols)}
-FROM paper p JOIN paper_subject ps ON (ps.paperId = p.id)
-JOIN question q ON (q.paperExamId = ps.id)
-WHERE p.status = 1 AND ps.status = 1 AND q.status = 1""")
+    # every table by itself: its live rows, its columns under its name, and the keys that meet
+    def live(view: str, name: str, *keys: str) -> str:
+        own = [f"{c} AS {name}_{c}" for c in _all_columns(view)]
+        return f"live_{view} AS (SELECT {', '.join([*own, *keys])} FROM {view} WHERE status = 1)"
+
+    names = ", ".join(f"{name}_{c}" for view, name in (("question", "question"), ("paper_subject", "paperSubject"), ("paper", "paper"))
+                      for c in _all_columns(view))
+    return with_views(["question", "paper_subject", "paper"], [
+        live("question", "question", "paperExamId AS exam"), live("paper_subject", "paperSubject", "id AS exam", "paperId AS sheet"),
+        live("paper", "paper", "id AS sheet")],
+        f"SELECT {names} FROM live_question INNER JOIN live_paper_subject USING (exam) INNER JOIN live_paper USING (sheet)")
 
 
 def param_query() -> str:
@@ -461,3 +464,36 @@ SELECT 'others', tableName, n, points FROM ({others}) AS rest"""
 
 
 QUERIES["exam_job_runs"] = exam_job_runs
+
+
+def rejected_rules() -> str:
+    return with_views(["question"], ["""
+damaged AS (SELECT id AS questionId, CASE WHEN id % 5 = 0 THEN left(rules, length(rules) - 5)
+              WHEN id % 7 = 0 THEN replace(rules, '"score":3', '"score":"three"') ELSE rules END AS rules
+            FROM question WHERE type = 2)"""], """
+SELECT questionId, rules, CASE WHEN json_valid(rules) THEN 'score is no number' ELSE 'unreadable' END AS reason
+FROM damaged WHERE NOT json_valid(rules) OR contains(rules, '"three"')""")
+
+
+def detail_catalog() -> str:
+    from scorekeep.fixed_values import DETAIL_TARGET_COLUMNS
+    from scorekeep.operators.detail import DETAIL_COLUMNS
+    kinds = {"STRING": "VARCHAR", "INT": "INTEGER"}
+    columns = [f"CAST({c} AS {kinds[t]}) AS {name}" if t in kinds else f"CAST(CAST({c} AS {t}) AS DOUBLE) AS {name}"
+               for c, (name, t) in zip(DETAIL_COLUMNS, DETAIL_TARGET_COLUMNS, strict=True)]
+    return with_views(DETAIL_VIEWS, DETAIL_CTES,
+                      f"SELECT {', '.join(columns)}, 'decimal(12,4)' AS scoreType FROM detail")
+
+
+def text_lines() -> str:
+    return with_views(["question"], [], "SELECT rules AS value FROM question")
+
+
+QUERIES.update({
+    "multichoice_sql": score_multichoice,
+    "rejected_rules": rejected_rules,
+    "detail_catalog": detail_catalog,
+    "text_lines": text_lines,
+    "file_dump": table_scan,
+    "wide_jdbc": wide_scores,
+})

@@ -11,12 +11,14 @@ into one task.  A side over a bound is returned unhinted: the join is then
 a shuffle (sort-merge) join on its keys, where AQE can still split skewed
 partitions or switch to a broadcast once real shuffle sizes are known.
 
-The checks of one operator run concurrently (one Spark job each, submitted
+A size once measured is kept for the session as long as the source files stay
+the same.  The checks of one operator run concurrently (one Spark job each, submitted
 from separate driver threads), so their latency is that of the slowest.
 """
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -65,7 +67,73 @@ def _value_bytes(field) -> F.Column:
     return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
 
 
+def within_bounds(spark, size: tuple[int, int], max_rows: int | None = None) -> bool:
+    rows = max_broadcast_rows(spark) if max_rows is None else max_rows
+    return size[0] <= rows and size[1] <= max_broadcast_bytes(spark)
+
+
+#: Estimates this many times over the byte bound are taken as too large without a look: they count compressed files.
+SURELY_TOO_LARGE = 64
+_probed: dict[tuple, tuple[int, int]] = {}
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size of df where it says something: one file scan and projections of it.  Joins multiply
+    their sides' estimates, and filters and aggregates leave fewer rows than it knows.  No job runs."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        nodes = re.findall(r"^[\s:+-]*(\w+)", plan.toString(), flags=re.M)
+        if not df.inputFiles() or set(nodes) - {"Project", "Relation"} or nodes.count("Relation") != 1:
+            return None
+        return int(str(plan.stats().sizeInBytes()))
+    except Exception:   # a session without access to the plan: measure
+        return None
+
+
+def _source_state(df: DataFrame) -> tuple | None:
+    """What a measured size hangs on: the plan, and every source file's name, size and time of change.
+    None where a source has no files (its size is measured anew each time)."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if not files:
+        return None
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    states = []
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        states.append((name, status.getLen(), status.getModificationTime()))
+    return spark.sparkContext.applicationId, df.semanticHash(), df.schema.json(), hash(tuple(sorted(states)))
+
+
+#: Sources of more files than this are measured anew each time: their list would cost more than the look.
+MOST_FILES = 200
+
+
 def size_probe(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df``.
+
+    For a plain scan the optimizer's estimate comes first: far over the byte
+    bound it is returned as it is, with a row count over any bound.  Otherwise
+    one distributed aggregate measures, and the result is remembered for the same
+    plan over the same unchanged files, so queries of one session that share
+    a side measure it once."""
+    estimate = estimated_bytes(df)
+    if estimate is not None and estimate > SURELY_TOO_LARGE * max_broadcast_bytes(df.sparkSession):
+        return 1 << 62, estimate
+    try:
+        state = _source_state(df) if len(df.inputFiles()) <= MOST_FILES else None
+    except Exception:   # no access to plan or files
+        state = None
+    if state is not None and state in _probed:
+        return _probed[state]
+    size = measured_size(df)
+    if state is not None:
+        _probed[state] = size
+    return size
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
     """(rows, bytes) of ``df`` from one distributed aggregate."""
     fixed, variable = _layout(df)
     aggs = [F.count(F.lit(1)).alias("n")]

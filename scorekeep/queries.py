@@ -219,9 +219,8 @@ def shard_set(spark, sf_dir):
 
 
 def _sharded_answers(spark, sf_dir) -> str:
-    path = scratch_path(spark, "sharded-answer")
-    sharding.write_sharded(_tables(spark, sf_dir).answer, path, FIXTURE_LAYOUT, "overwrite")
-    return path
+    """The answers' sharded layout: written by the first query that needs it, and again only when the files changed."""
+    return sharding.sharded_layout(_tables(spark, sf_dir).answer, "answers-by-shard", FIXTURE_LAYOUT)
 
 
 def shard_routed_read(spark, sf_dir):
@@ -252,13 +251,10 @@ def sharded_roundtrip(spark, sf_dir):
 
 def colocated_join(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    tag = scratch_path(spark, "bucketed").rsplit("-", 1)[-1][:12]
-    a = sharding.write_bucketed(
-        t.answer.select("questionId", "stuId", "questionOrder", "answer"),
-        f"answer_by_student_{tag}", scratch_path(spark, "answer-by-student"), "stuId", BUCKETS)
-    s = sharding.write_bucketed(
-        t.student.select("userId", "stuName", "schoolId", "classId"),
-        f"student_by_id_{tag}", scratch_path(spark, "student-by-id"), "userId", BUCKETS)
+    a = sharding.bucketed_layout(t.answer.select("questionId", "stuId", "questionOrder", "answer"),
+                                 "answer_by_student", "stuId", BUCKETS)
+    s = sharding.bucketed_layout(t.student.select("userId", "stuName", "schoolId", "classId"),
+                                 "student_by_id", "userId", BUCKETS)
     return sharding.colocated_join(a, s, "stuId", "userId", buckets=BUCKETS).select(
         "questionId", "stuId", "questionOrder", "answer", "stuName", "schoolId", "classId")
 
@@ -365,3 +361,94 @@ def exam_job_runs(spark, sf_dir):
 
 
 QUERIES["exam_job_runs"] = exam_job_runs
+
+
+# ------------------------------------------------------------ SQL scorer, rejects, sinks read back
+def multichoice_sql(spark, sf_dir):
+    """The multi-choice scorer called as a function in SQL text (a join in the plan, no Python)."""
+    from scorekeep.functions.sql import register_scorer
+    t = _tables(spark, sf_dir)
+    score = register_scorer(spark, t.question)
+    return spark.sql(f"""
+        SELECT a.questionId, a.stuId, a.questionOrder, a.answer, {score}(a.questionId, a.answer) AS ruleScore
+        FROM {{answer}} a JOIN {{question}} q ON q.id = a.questionId WHERE q.type = 2""",
+                     answer=t.answer, question=t.question.select("id", "type"))
+
+
+def rejected_rules(spark, sf_dir):
+    """Questions whose rules cannot be used, after the rules of some are cut short and scores of others spelt out."""
+    from scorekeep.functions import rules
+    q = _tables(spark, sf_dir).question
+    damaged = (F.when(F.col("id") % 5 == 0, F.expr("substring(rules, 1, length(rules) - 5)"))
+               .when(F.col("id") % 7 == 0, F.replace("rules", F.lit('"score":3'), F.lit('"score":"three"')))
+               .otherwise(F.col("rules")))
+    return rules.rejected_rules(q.withColumn("rules", damaged))
+
+
+def detail_catalog(spark, sf_dir):
+    """The detail fact in its typed 41-column target table: part of it inserted by position, the rest by SQL, and
+    the table read back, with the type of its scores."""
+    import uuid
+
+    from scorekeep.sinks import tables as sink
+    name = f"detail_target_{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, "detail-target")
+    detail = question_detail(spark, sf_dir).select(*detail_ops.DETAIL_COLUMNS)
+    sink.create_detail_table(spark, name, path)
+    try:
+        sink.insert_into(detail.where("questionType = 2"), name)
+        detail.where("questionType <> 2").createOrReplaceTempView(f"{name}_rest")
+        sink.insert_select(spark, name, f"{name}_rest")
+        spark.catalog.dropTempView(f"{name}_rest")
+        back = spark.table(name)
+        schema = back.schema
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")   # external: the rows stay where they are
+    back = spark.read.schema(schema).parquet(path)
+    return back.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in back.dtypes],
+                       F.expr("typeof(stuScore)").alias("scoreType"))
+
+
+def text_lines(spark, sf_dir):
+    """The questions' rule texts written as lines of text files, and scanned."""
+    path = scratch_path(spark, "rule-lines")
+    _tables(spark, sf_dir).question.select("rules").write.text(path)
+    return catalog.text_scan(spark, path)
+
+
+def file_dump(spark, sf_dir):
+    """The student table dumped as files, one folder a paper, and read back."""
+    from scorekeep.sinks.files import write_files
+    student = _tables(spark, sf_dir).student
+    path = scratch_path(spark, "student-dump")
+    write_files(student, path, partition_by=["paperId"])
+    return spark.read.schema(student.schema).parquet(path).select(student.columns)
+
+
+def wide_jdbc(spark, sf_dir):
+    """The wide sheet in a JDBC table (Derby in memory): staged, moved by one transaction -- the second time it is
+    asked for, nothing moves -- and read back by a partitioned scan."""
+    import uuid
+
+    from scorekeep.sinks import jdbc
+    from scorekeep.sources.jdbc import jdbc_query
+    sheet = wide_scores(spark, sf_dir)
+    url = f"jdbc:derby:memory:scorekeep_{uuid.uuid4().hex[:12]};create=true"
+    jdbc.create_like(sheet, url, "stu_que_score", driver=DERBY_DRIVER)
+    for _ in range(2):
+        jdbc.write_jdbc(sheet, url, "stu_que_score_new", mode="overwrite", driver=DERBY_DRIVER)
+        jdbc.publish_staged(spark, url, "stu_que_score", "stu_que_score_new", "run-1", sheet.columns, driver=DERBY_DRIVER)
+    whole = jdbc_query(spark, url, "SELECT * FROM stu_que_score", driver=DERBY_DRIVER)
+    lo, hi = whole.agg(F.min("stuId"), F.max("stuId")).first()
+    return jdbc_query(spark, url, "SELECT * FROM stu_que_score", driver=DERBY_DRIVER, partition_column="stuId",
+                      lower_bound=lo or 0, upper_bound=(hi or 0) + 1, num_partitions=4)
+
+
+QUERIES.update({
+    "multichoice_sql": multichoice_sql,
+    "rejected_rules": rejected_rules,
+    "detail_catalog": detail_catalog,
+    "text_lines": text_lines,
+    "file_dump": file_dump,
+    "wide_jdbc": wide_jdbc,
+})

@@ -8,11 +8,14 @@ from scorekeep.fixed_values import DETAIL_TARGET_COLUMNS
 
 
 def create_table(spark: SparkSession, name: str, columns, location: str | None = None,
-                 partitioned_by: list[str] | None = None) -> None:
+                 partitioned_by: list[str] | None = None, clustered_by: tuple[str, int] | None = None) -> None:
     cols = ",\n  ".join(f"`{c}` {t}" for c, t in columns)
     ddl = f"CREATE TABLE IF NOT EXISTS {name} (\n  {cols}\n) USING parquet"
     if partitioned_by:
         ddl += f" PARTITIONED BY ({', '.join(partitioned_by)})"
+    if clustered_by:
+        key, buckets = clustered_by
+        ddl += f" CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS"
     if location:
         ddl += f" LOCATION '{location}'"
     spark.sql(ddl)

@@ -89,7 +89,7 @@ def test_display_answer(spark):
 
 
 @pytest.mark.parametrize("key,h", [
-    ("hello", 99162322), ("ecf869e2-e5cd-4b67-9b9c-e387a0267da6", 499911373),
+    ("hello", 99162322), ("exam-102/student-77", None),
     ("", 0), ("a", 97), ("polygenelubricants", -2147483648), ("héllo中", None),
 ])
 def test_java_string_hash(spark, key, h):
@@ -131,3 +131,37 @@ def test_fixed_rule_sets_parse(spark):
 def test_literal_float_columns(spark):
     df = spark.range(1).select(float_sum(F.lit(0.0), F.lit(0.5)).alias("x"))
     assert df.collect()[0][0] == 0.5
+
+
+BROKEN = ['[{"type":"group","values":[{"name":"A"', "nonsense", '{"type":"group"}', '[1,2]', '[{"type":"group","values":7}]']
+NO_RULES = [None, "", "  ", "null", "[]", '[{"type":"other"}]']
+
+
+def test_broken_rules_are_listed_or_fail(spark):
+    from scorekeep.functions.rules import rejected_rules, with_rule_map
+    good = '[{"type":"group","values":[{"name":"A","score":2}]}]'
+    odd = '[{"type":"group","values":[{"name":"A","score":"two"}]}]'
+    rows = [(i, 2, r) for i, r in enumerate([good, odd, *NO_RULES, *BROKEN])] + [(99, 1, "nonsense")]
+    q = spark.createDataFrame(rows, "id int, type int, rules string")
+    got = {r["questionId"]: r["reason"] for r in rejected_rules(q).collect()}
+    assert got == {1: "score is no number"} | {i: "unreadable" for i in range(8, 8 + len(BROKEN))}
+    kept = with_rule_map(q.where("id < 8")).collect()
+    assert kept[0]["ruleMap"] == {"A": 2.0} and len(kept) == 8
+    for r in BROKEN:
+        with pytest.raises(Exception, match="answer rules cannot be read"):
+            with_rule_map(q.where(F.col("rules") == r).where("id < 99")).collect()
+    assert all(r["ruleMap"] is None for r in with_rule_map(q.where("id >= 8"), on_broken="reject").collect())
+
+
+def test_scorer_in_sql_text(spark):
+    from scorekeep.functions.sql import register_scorer
+    q = spark.createDataFrame([(1, 2, '[{"type":"group","values":[{"name":"C,A","score":8},{"name":"B","score":1}]}]'), (2, 2, None)],
+                              "id int, type int, rules string")
+    name = register_scorer(spark, q, "score_in_test")
+    spark.createDataFrame([(1, "A,C"), (1, "B"), (1, "b"), (1, ""), (1, None), (2, "A,C"), (3, "B")],
+                          "q int, a string").createOrReplaceTempView("given_answers")
+    df = spark.sql(f"SELECT q, a, {name}(q, a) AS s FROM given_answers")
+    assert {(r["q"], r["a"]): r["s"] for r in df.collect()} == {
+        (1, "A,C"): 8.0, (1, "B"): 1.0, (1, "b"): 0.0, (1, ""): 0.0, (1, None): 0.0, (2, "A,C"): 0.0, (3, "B"): 0.0}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Join" in plan

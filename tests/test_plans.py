@@ -253,3 +253,40 @@ def test_hot_key_split_left_join_keeps_null_keys(spark, workdir):
     assert joined.count() == plain.count() == 901
     assert joined.where("stuId IS NULL").count() == 1
     assert joined.exceptAll(plain.select(*joined.columns)).count() == 0
+
+
+def test_estimates_speak_for_plain_scans_only(spark, tables_small):
+    from scorekeep.plans.broadcast import bounded_broadcast, estimated_bytes, size_probe
+    t = tables_small
+    assert estimated_bytes(t.student) > 0
+    assert estimated_bytes(t.student.where("userId > 3")) is None
+    assert estimated_bytes(t.student.join(t.batch, "paperId")) is None
+    spark.conf.set("scorekeep.broadcast.maxBytes", "1")
+    try:
+        assert size_probe(t.student)[0] > 1 << 60   # no job: the estimate is far over the bound
+        assert "Broadcast" not in t.answer.join(bounded_broadcast(t.student), t.answer["stuId"] == t.student["userId"])\
+            ._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("scorekeep.broadcast.maxBytes")
+
+
+def test_second_plan_of_a_session_measures_nothing(spark):
+    """Sizes are remembered for unchanged files: building the sheet again takes the pivot list's job only."""
+    from scorekeep import queries
+    from tests.conftest import SF_SMALL
+    queries.wide_scores(spark, SF_SMALL)
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    before = set(tracker.getJobIdsForGroup(None))
+    queries.wide_scores(spark, SF_SMALL)
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 3 and sc is not None
+
+
+def test_totals_over_the_product_bound_are_measured(spark, tables_small):
+    """Many exams and subjects: their product is over the bound, the totals themselves are not."""
+    from scorekeep.operators import detail, scoring, totals
+    t = tables_small
+    paper, _ = totals.paper_totals_bounded(t.question, t.paper_subject, t.subject)
+    scores = scoring.score_answers(t.question, t.answer, t.absent)
+    df = detail.question_detail(scores, paper, t.student, totals_bound=(20_000 * 26, 1 << 27))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan.split("pt_paperExamId", 1)[0] + plan

@@ -200,3 +200,114 @@ def test_gather_jdbc_reads_only_routed_tables(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     read = set(re.findall(r"JDBCRelation\((g_\d+)\)", plan))
     assert read == {f"g_{shard_index_py(w, 4)}" for w in wanted}
+    # the keys are in the databases' queries, one partition a chunk
+    got = gather_jdbc(spark, layout, lambda db: urls[db], "g", keys, driver=DERBY, chunk=1)
+    clauses = _where_clauses(got)
+    assert len(clauses) == 2 * len(wanted)
+    assert all(sum(f"IN ('{w}')" in c for c in clauses) == 2 for w in wanted)
+    # more keys than may pass the driver: the routed tables are read and semi-joined
+    whole = gather_jdbc(spark, layout, lambda db: urls[db], "g", keys, driver=DERBY, max_pushed=1)
+    assert sorted(r["v"] for r in whole.collect()) == sorted(r["v"] for r in got.collect())
+
+
+def _where_clauses(df):
+    """The conditions of all JDBC partitions that df reads."""
+    def scans(plan):
+        if "JDBCRelation" in plan.nodeName():
+            yield plan
+        for i in range(plan.children().size()):
+            yield from scans(plan.children().apply(i))
+    found = []
+    for scan in scans(df._jdf.queryExecution().sparkPlan()):
+        found += [p.whereClause() for p in scan.rdd().partitions()]
+    return found
+
+
+def test_gather_by_both_keys_reads_only_routed_databases(spark):
+    """An unrouted database is not touched: its address leads nowhere."""
+    from scorekeep.functions.shardhash import shard_index_py
+    from scorekeep.operators.sharding import gather_jdbc
+    layout = ShardLayout(db_key="paperId", tb_key="questionId", n_db=2, n_tb=4)
+    rows = [(f"P{i % 3}", str(i % 11), i) for i in range(110)]
+    df = spark.createDataFrame(rows, "paperId string, questionId string, v int")
+    urls = {0: derby_url(), 1: derby_url()}
+    save_sharded_jdbc(df, layout, lambda db: urls[db], "b", driver=DERBY,
+                      create_table_column_types="paperId VARCHAR(16), questionId VARCHAR(16)")
+    wanted = [("P1", "2"), ("P1", "o'k"), ("P1", "7")]
+    keys = spark.createDataFrame(wanted, "paperId string, questionId string")
+    own = shard_index_py("P1", 2)
+    got = gather_jdbc(spark, layout, lambda db: urls[db] if db == own else "jdbc:derby:memory:nowhere", "b", keys, driver=DERBY)
+    assert sorted(r["v"] for r in got.collect()) == sorted(v for p, q, v in rows if (p, q) in wanted)
+
+
+def test_sharded_sink_checks_all_targets_first(spark, workdir):
+    layout = ShardLayout(db_key="paperId", tb_key="questionId", n_db=2, n_tb=4)
+    df = spark.createDataFrame([(f"P{i % 3}", str(i), i) for i in range(60)], "paperId string, questionId string, v int")
+    urls = {0: derby_url(), 1: derby_url()}
+    write_jdbc(df.limit(1), urls[1], "obj_3", driver=DERBY)
+    with pytest.raises(ValueError, match="nothing was written"):
+        save_sharded_jdbc(df, layout, lambda db: urls[db], "obj", mode="error", driver=DERBY)
+    from scorekeep.sinks.jdbc import Connection
+    for db in (0, 1):
+        with Connection(spark, urls[db], DERBY) as c:
+            assert [tb for tb in range(4) if c.has_table(f"obj_{tb}")] == ([3] if db else [])
+    got = save_sharded_jdbc(df, layout, lambda db: urls[db], "obj", mode="ignore", driver=DERBY)
+    from scorekeep.functions.shardhash import shard_index_py
+    left_out = [i for i in range(60) if shard_index_py(f"P{i % 3}", 2) == 1 and shard_index_py(str(i), 4) == 3]
+    assert got.count() == 60 - len(left_out) + 1 and left_out
+
+
+def test_sharded_append_goes_on_where_it_stopped(spark, workdir, monkeypatch):
+    from scorekeep.sinks import sharded
+    layout = ShardLayout(db_key="paperId", tb_key="questionId", n_db=2, n_tb=4)
+    df = spark.createDataFrame([(f"P{i % 3}", str(i), i) for i in range(60)], "paperId string, questionId string, v int")
+    urls = {0: derby_url(), 1: derby_url()}
+
+    def save():
+        return save_sharded_jdbc(df, layout, lambda db: urls[db], "obj", staging=workdir + "/stage", driver=DERBY, parallel_writes=1)
+
+    real, calls = sharded.publish_staged, []
+
+    def failing(*args, **kwargs):
+        calls.append(args)
+        done = real(*args, **kwargs)
+        if len(calls) == 3:
+            raise ConnectionError   # after the move, before the note
+        return done
+
+    monkeypatch.setattr(sharded, "publish_staged", failing)
+    with pytest.raises(ConnectionError):
+        save()
+    monkeypatch.setattr(sharded, "publish_staged", real)
+    assert sorted(r["v"] for r in save().collect()) == list(range(60))
+    assert save().count() == 60   # a finished write is not done again
+    monkeypatch.undo()
+    assert save_sharded_jdbc(df, layout, lambda db: urls[db], "obj", driver=DERBY).count() == 120
+
+
+def test_layouts_are_written_once(spark, workdir):
+    import os
+
+    from scorekeep import queries
+    from scorekeep.operators import sharding
+    from tests.conftest import SF_SMALL
+    spark.conf.set("scorekeep.layouts.dir", workdir + "/layouts")
+
+    def files():
+        return {(d, f, os.path.getmtime(os.path.join(d, f))) for d, _, names in os.walk(workdir) for f in names}
+
+    try:
+        first = queries.shard_routed_read(spark, SF_SMALL).count()
+        queries.colocated_join(spark, SF_SMALL).count()
+        seen = files()
+        assert seen
+        for _ in range(2):
+            assert queries.shard_routed_read(spark, SF_SMALL).count() == first
+            queries.shard_gather(spark, SF_SMALL)
+            assert "Exchange hashpartitioning" not in queries.colocated_join(
+                spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert files() == seen
+        assert len(sharding.drop_layouts(spark)) == 3 and not sharding.drop_layouts(spark)
+        assert queries.shard_routed_read(spark, SF_SMALL).count() == first   # written anew
+    finally:
+        spark.conf.unset("scorekeep.layouts.dir")
