@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scorekeep.session import files_state
+
 CONF_MAX_ROWS = "scorekeep.broadcast.maxRows"
 CONF_MAX_BYTES = "scorekeep.broadcast.maxBytes"
 DEFAULT_MAX_ROWS = 500_000
@@ -90,26 +92,6 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def _source_state(df: DataFrame) -> tuple | None:
-    """What a measured size hangs on: the plan, and every source file's name, size and time of change.
-    None where a source has no files (its size is measured anew each time)."""
-    spark = df.sparkSession
-    files = df.inputFiles()
-    if not files:
-        return None
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    states = []
-    for name in files:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
-        status = path.getFileSystem(conf).getFileStatus(path)
-        states.append((name, status.getLen(), status.getModificationTime()))
-    return spark.sparkContext.applicationId, df.semanticHash(), df.schema.json(), hash(tuple(sorted(states)))
-
-
-#: Sources of more files than this are measured anew each time: their list would cost more than the look.
-MOST_FILES = 200
-
-
 def size_probe(df: DataFrame) -> tuple[int, int]:
     """(rows, bytes) of ``df``.
 
@@ -121,10 +103,9 @@ def size_probe(df: DataFrame) -> tuple[int, int]:
     estimate = estimated_bytes(df)
     if estimate is not None and estimate > SURELY_TOO_LARGE * max_broadcast_bytes(df.sparkSession):
         return 1 << 62, estimate
-    try:
-        state = _source_state(df) if len(df.inputFiles()) <= MOST_FILES else None
-    except Exception:   # no access to plan or files
-        state = None
+    state = files_state(df)
+    if state is not None:
+        state = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), df.schema.json(), state)
     if state is not None and state in _probed:
         return _probed[state]
     size = measured_size(df)

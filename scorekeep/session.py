@@ -88,8 +88,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Sources of more files than this are looked at anew each time: listing their states would cost more.
+MOST_FILES = 200
+
+
+def files_state(df) -> int | None:
+    """A digest of the name, size and time of change of every file that df reads; None where it has no files,
+    too many, or none that can be asked."""
+    try:
+        spark, files = df.sparkSession, sorted(df.inputFiles())
+        if not files or len(files) > MOST_FILES:
+            return None
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        states = []
+        for name in files:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+            status = path.getFileSystem(conf).getFileStatus(path)
+            states.append((name, status.getLen(), status.getModificationTime()))
+        return hash(tuple(states))
+    except Exception:   # a session without access to plan or files
+        return None
+
+
 def is_local_master(spark: SparkSession) -> bool:
     return spark.conf.get("spark.master", "").startswith("local")
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "is_local_master"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "files_state", "scratch_path", "is_local_master"]

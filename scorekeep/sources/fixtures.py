@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorekeep.session import files_state
+
 
 # The three answer-rule sets given to multi-choice questions in the fixture.
 # Rule text format: a JSON array of {"type": "group", "values": [{"name", "score"}]}
@@ -181,9 +183,23 @@ VIEWS: dict[str, ViewSpec] = {
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+_schemas: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one source table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one source table; the schema of unchanged files is read once a session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key in _schemas:
+        schema, state = _schemas[key]
+        df = spark.read.schema(schema).parquet(path)
+        if files_state(df) == state:
+            return df
+    df = spark.read.parquet(path)
+    state = files_state(df)
+    if state is not None:
+        _schemas[key] = df.schema, state
+    return df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
