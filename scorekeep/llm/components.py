@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorekeep.llm.common import written
+from scorekeep.llm.common import released, written
 
 _EDGE = "a long, b long"
 #: Edges whose components a task finds at a time.
@@ -79,7 +79,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while True:
         # partitions of about BLOCK edges: one partition's stars are already whole components
         parts = max(1, -(-now.count() // BLOCK))
-        now = written(now.coalesce(parts).mapInArrow(_stars, _EDGE), "edges")
+        now = written(now.coalesce(parts).mapInArrow(released(_stars), _EDGE), "edges")
         if parts == 1 or _is_star_forest(now):
             break
         large = written(_near(now).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

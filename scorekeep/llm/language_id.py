@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorekeep.llm.common import over_slices
+from scorekeep.llm.common import over_slices, released
 from scorekeep.llm.words import U, mix
 
 DIM = 1 << 15
@@ -149,14 +149,14 @@ def fit(labelled: DataFrame) -> Model:
     if not languages:
         return Model([], np.zeros(DIM), np.zeros((DIM, 0), np.float32), np.zeros(0))
     sums = np.zeros(DIM + 1)
-    for r in rows.select("text").mapInArrow(_document_frequencies, "feature long, n long").groupBy("feature").agg(
+    for r in rows.select("text").mapInArrow(released(_document_frequencies), "feature long, n long").groupBy("feature").agg(
             F.sum("n").alias("n")).collect():
         sums[r["feature"]] = r["n"]
     idf = np.log((1 + sums[DIM]) / (1 + sums[:DIM])) + 1
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
     share = F.create_map(*[F.lit(x) for r in shares for x in (r["lang"], SAMPLE / r["count"])])
     sample = (rows.select("text", "lang", draw.alias("draw")).where(F.col("draw") < share[F.col("lang")])
-              .mapInArrow(_features, "lang string, draw double, found binary, count binary").collect())
+              .mapInArrow(released(_features), "lang string, draw double, found binary, count binary").collect())
     place = {lang: i for i, lang in enumerate(languages)}
     sample = sorted(sample, key=lambda r: (r["lang"], r["draw"], r["found"]))
     data = [(place[r["lang"]], np.frombuffer(r["found"], np.uint16).astype(np.int64), np.frombuffer(r["count"], np.uint32).astype(float))

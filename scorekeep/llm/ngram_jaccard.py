@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorekeep.llm.common import over_slices, small_or_shuffled, written
+from scorekeep.llm.common import over_slices, released, small_or_shuffled, written
 from scorekeep.llm.components import block_stars, components
 from scorekeep.llm.words import U, mix, scan, shingles
 
@@ -230,14 +230,14 @@ def _members(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataF
     """
     spark = docs.sparkSession
     buckets = min(BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 8 * (7 - SHORT))
-    signed = docs.where("doc_id is not null").select("text").mapInArrow(_signer(n, percent), "signature long, node long")
+    signed = docs.where("doc_id is not null").select("text").mapInArrow(released(_signer(n, percent)), "signature long, node long")
     often = classes.where("doc_id is not null").select(F.explode("signatures").alias("signature")).groupBy("signature").count()
     hot = written(often.where(F.col("count") > HOT // CLASSES).select("signature"), "hot")
     several = hot.count()
     few = small_or_shuffled(hot, several)
     cold = (signed.join(few, "signature", "left_anti").select("signature", "node") if several else signed)
-    cold = (cold.mapInArrow(_packer(buckets), "bucket int, short binary, nodes binary").repartition("bucket")
-            .sortWithinPartitions("bucket").mapInArrow(_centers, "signature long, node long, center long, n long"))
+    cold = (cold.mapInArrow(released(_packer(buckets)), "bucket int, short binary, nodes binary").repartition("bucket")
+            .sortWithinPartitions("bucket").mapInArrow(released(_centers), "signature long, node long, center long, n long"))
     if not several:
         return cold
     crowd = written(signed.join(few, "signature", "left_semi").select("signature", "node").distinct(), "crowd")
@@ -346,7 +346,7 @@ def _fetched(pairs: DataFrame, about: DataFrame, docs: DataFrame, n: int) -> Dat
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
     wanted = written(about.join(ends, "node").select("doc_id", F.col("node").alias("want")), "wanted")
     return written(docs.join(small_or_shuffled(wanted, wanted.count()), "doc_id")
-                   .mapInArrow(_fetcher(n), "want long, node long, items array<long>")
+                   .mapInArrow(released(_fetcher(n)), "want long, node long, items array<long>")
                    .where("want = node").dropDuplicates(["node"]).select("node", "items"), "sets")
 
 
@@ -388,7 +388,7 @@ def _late_pairs(members: DataFrame, found: DataFrame, about: DataFrame, percent:
                     F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"))
             .withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")).drop("other"))
     return (rows.repartition("signature", "x", "y").sortWithinPartitions("signature", "x", "y")
-            .mapInArrow(_blocks(percent), "a long, b long").distinct())
+            .mapInArrow(released(_blocks(percent)), "a long, b long").distinct())
 
 
 def _block_links(percent: int):
@@ -461,7 +461,7 @@ def ngram_jaccard_join(documents: DataFrame, n: int = 5, percent: int = 80,
     Repeated rows are each returned and share a component.  Columns other than id and text are not read.
     """
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    classes = written(docs.mapInArrow(_classifier(n, percent), "doc_id long, n_shingles long, node long, sketch binary, "
+    classes = written(docs.mapInArrow(released(_classifier(n, percent)), "doc_id long, n_shingles long, node long, sketch binary, "
                                       "signatures array<long>"), "classes")
     members = written(_members(docs, classes, n, percent), "members")
     several = members.select("node").distinct()
@@ -473,7 +473,7 @@ def ngram_jaccard_join(documents: DataFrame, n: int = 5, percent: int = 80,
                    for x in "ab")
     pairs = (pairs.join(left, "a").join(right, "b").where(F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent)
              .select("a", "b", "a_sketch", "b_sketch", (F.col("a_size") + F.col("b_size")).alias("total")))
-    pairs = written(pairs.mapInArrow(_may_link(percent), "a long, b long"), "pairs")
+    pairs = written(pairs.mapInArrow(released(_may_link(percent)), "a long, b long"), "pairs")
     # each set with one center first; of the other pairs, only those that this leaves apart
     links = _linked(pairs.groupBy("a").agg(F.min("b").alias("b")), about, docs, n, percent)
     found = written(components(links, "a", "b"), "found")

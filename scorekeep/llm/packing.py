@@ -102,7 +102,12 @@ def _cutting(path: str, capacity: int, end_id: int):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                                          names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return over_slices(cut)
+    def forget() -> None:  # the words of a task; other stages need the memory
+        encoder = _encoder(path)
+        encoder.words.forget()
+        encoder.runs.forget()
+
+    return over_slices(cut, after=forget)
 
 
 def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 1,

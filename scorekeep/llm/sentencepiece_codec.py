@@ -135,7 +135,12 @@ def _encoding(path: str):
         gone = pa.array([f is None for f in found], pa.bool_())
         yield _put(part, "ids", pa.ListArray.from_arrays(pa.array(edge), pa.array(flat), mask=gone))
 
-    return over_slices(encode)
+    def forget() -> None:
+        codec = _codec(path)
+        codec.known.forget()
+        codec.after_space.forget()
+
+    return over_slices(encode, after=forget)
 
 
 def _decoding(path: str):
