@@ -6,8 +6,8 @@ also visits the buckets that take the second-largest coordinate of one of the ha
 the home bucket of one is the home or a visited bucket of the other.  Pairs that meet are verified by cosine in double
 precision.
 
-Equal vectors of a label are one node with a weight.  Rows are sorted by bucket; tasks multiply the vectors of a
-bucket and give back sums and one row per node, never pairs.  A pair that meets in several buckets
+Equal vectors of a label are one node with a weight, hashed once.  Rows are sorted by bucket; tasks multiply the vectors of
+many small buckets at a time, or of one large one, and give back sums and one row per node, never pairs.  A pair that meets in several buckets
 counts in the first only, which both vectors' codes tell.  A bucket of more than BLOCK rows is dealt to
 blocks that are compared two by two in different tasks.
 """
@@ -29,6 +29,8 @@ TABLES = 5
 #: Hashes of a bucket, whatever the size of the table, so that it doesn't decide which pairs are found.
 HASHES = 2
 BLOCK = 512
+#: Small buckets share one product of up to this many rows.
+PASS = 256
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -74,16 +76,40 @@ def _unit(batch: pa.RecordBatch) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _buckets(hashes: int):
+def _hashing(hashes: int):
+    """Rows of nodes with their codes: the visited buckets of every table as bytes of int64, the home first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 2000):
                 part = batch.slice(low, 2000)
                 _, probes = codes(_unit(part), hashes)
+                made = pa.array([p.tobytes() for p in probes], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, "codes"])
+
+    return run
+
+
+def _probes(batch: pa.RecordBatch, hashes: int) -> np.ndarray:
+    """Per row and table, the visited buckets of its codes."""
+    flat = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.int64)
+    return flat.reshape(batch.num_rows, TABLES, 1 + hashes)
+
+
+def _salt(batch: pa.RecordBatch) -> np.ndarray:
+    """What sets the buckets of a label and a dimension apart, by rows."""
+    label, dim = (batch.column(c).to_numpy().astype(np.int64).astype(U) for c in ("label", "dim"))
+    return mix(label) + mix(dim + U(5))
+
+
+def _buckets(hashes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 2000):
+                part = batch.slice(low, 2000)
+                probes = _probes(part, hashes)
                 n, tables, width = probes.shape
-                keys = mix(probes.astype(U) * U(tables) + np.arange(tables, dtype=U)[None, :, None]
-                           + mix(part.column("label").to_numpy().astype(np.int64).astype(U))[:, None, None]
-                           + mix(part.column("dim").to_numpy().astype(np.int64).astype(U) + U(5))[:, None, None])
+                keys = mix(probes.astype(U) * U(tables) + np.arange(tables, dtype=U)[None, :, None] + _salt(part)[:, None, None])
                 row = np.repeat(np.arange(n), tables * width)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.ravel().view(np.int64)), pa.array(np.tile(np.arange(width) == 0, n * tables)),
@@ -93,16 +119,8 @@ def _buckets(hashes: int):
 
 
 def _meetings(hashes: int, least: float):
-    def compare(rows: pa.RecordBatch, x: np.ndarray, home: np.ndarray, probes: np.ndarray, a: np.ndarray, b: np.ndarray,
-                bucket: int) -> tuple[np.ndarray, ...]:
-        """Pairs (of positions) that are linked and meet here first; a and b may be the same positions."""
-        near = x[a] @ x[b].T >= least
-        near &= rows.column("dim").to_numpy()[a][:, None] == rows.column("dim").to_numpy()[b][None, :]
-        i, j = np.nonzero(near)
-        i, j = a[i], b[j]
-        node = rows.column("node").to_numpy()
-        keep = (rows.column("home").to_numpy(zero_copy_only=False)[i] | rows.column("home").to_numpy(zero_copy_only=False)[j]) & (node[i] != node[j])
-        i, j = i[keep], j[keep]
+    def first_met(home: np.ndarray, probes: np.ndarray, salt: np.ndarray, node: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The bucket where each pair of positions meets first, from the codes of both."""
         met = np.concatenate(((probes[j] == home[i][:, :, None]).any(axis=2), (probes[i] == home[j][:, :, None]).any(axis=2)), axis=1)
         tables = home.shape[1]
         met = met[:, :tables] | met[:, tables:]
@@ -113,26 +131,30 @@ def _meetings(hashes: int, least: float):
         low, high = np.where(low_first, one, two), np.where(low_first, two, one)
         of_high = np.where(low_first[:, None], probes[j, t], probes[i, t])
         chosen = np.where((of_high == low[:, None]).any(axis=1), low, high)
-        label = rows.column("label").to_numpy()[i].astype(np.int64)
-        dim = rows.column("dim").to_numpy()[i].astype(np.int64)
-        key = mix(chosen.astype(U) * U(tables) + t.astype(U) + mix(label.astype(U)) + mix(dim.astype(U) + U(5)))
-        here = key.view(np.int64) == bucket
-        return i[here], j[here]
-
-    def of_block(rows: pa.RecordBatch) -> pa.RecordBatch | None:
-        """Sum of linked weights and smallest linked node of each node of one bucket (or pair of blocks)."""
-        side = rows.column("side").to_numpy()
-        a = np.flatnonzero(side != 2)
-        b = np.flatnonzero(side != 1)
+        return mix(chosen.astype(U) * U(tables) + t.astype(U) + salt[i]).view(np.int64)
+
+    def of_groups(rows: pa.RecordBatch, edge: np.ndarray) -> pa.RecordBatch | None:
+        """Sum of linked weights and smallest linked node of each node in whole buckets (or pairs of blocks), which begin at
+        edge; all of them in one product."""
+        n = rows.num_rows
+        group = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
+        side, bucket, node, dim = (rows.column(c).to_numpy() for c in ("side", "bucket", "node", "dim"))
+        at_home = rows.column("home").to_numpy(zero_copy_only=False)
         x = _unit(rows)
-        home, probes = codes(x, hashes)
-        i, j = compare(rows, x, home, probes, a, b, rows.column("bucket")[0].as_py())
+        a, b = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
+        i, j = np.nonzero((x[a] @ x[b].T >= least) & (group[a][:, None] == group[b][None, :]))
+        i, j = a[i], b[j]
+        # rows of side 0 meet rows of side 0 only, and one side the other
+        keep = (node[i] != node[j]) & (at_home[i] | at_home[j]) & (dim[i] == dim[j]) & ((side[i] == 0) == (side[j] == 0))
+        i, j = i[keep], j[keep]
         if not len(i):
             return None
-        if (side != 0).any():  # two blocks: the links count for both sides
-            i, j = np.concatenate((i, j)), np.concatenate((j, i))
-        node, weight = rows.column("node").to_numpy(), rows.column("weight").to_numpy()
-        linked = np.bincount(i, weight[j], len(node)).astype(np.int64)
+        probes = _probes(rows, hashes)
+        here = first_met(probes[:, :, 0], probes, _salt(rows), node, i, j) == bucket[i]
+        i, j = i[here], j[here]
+        two = side[i] != 0  # two blocks: the links count for both sides
+        i, j = np.concatenate((i, j[two])), np.concatenate((j, i[two]))
+        linked = np.bincount(i, rows.column("weight").to_numpy()[j], n).astype(np.int64)
         least_node, before = node.copy(), None
         while before is None or (least_node != before).any():  # the smallest node reachable within the rows at hand
             before = least_node.copy()
@@ -141,6 +163,17 @@ def _meetings(hashes: int, least: float):
         return pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(linked[at]), pa.array(least_node[at])],
                                           names=["node", "linked", "near"])
 
+    def passes(rows: pa.RecordBatch, edge: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Whole groups together up to PASS rows, a larger one by itself."""
+        low = 0
+        while low < len(edge) - 1:
+            high = max(low + 1, int(np.searchsorted(edge, edge[low] + PASS, "right")) - 1)
+            if edge[high] - edge[low] > 1:
+                out = of_groups(rows.slice(edge[low], edge[high] - edge[low]), edge[low:high + 1])
+                if out is not None and out.num_rows:
+                    yield out
+            low = high
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
@@ -153,12 +186,10 @@ def _meetings(hashes: int, least: float):
                 continue
             merged = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
             edge = groups(merged)
-            for a, b in zip(edge[:-2], edge[1:-1], strict=True):
-                if b - a > 1 and (out := of_block(merged.slice(a, b - a))) is not None:
-                    yield out
+            yield from passes(merged, edge[:-1])
             held = [merged.slice(edge[-2])]
-        if held and held[0].num_rows > 1 and (out := of_block(held[0])) is not None:
-            yield out
+        if held:
+            yield from passes(held[0], np.array([0, held[0].num_rows]))
 
     return run
 
@@ -204,7 +235,10 @@ def near_embeddings(embeddings: DataFrame, least: float = 0.98, id_col: str = "v
 
 def _links(nodes: DataFrame, hashes: int, least: float) -> DataFrame:
     """Rows node, linked (weight of nodes linked in a bucket) and near (the smallest node reached there)."""
-    spread = nodes.select("node", "label", "dim", "embedding").mapInArrow(_buckets(hashes), "bucket long, home boolean, node long")
+    # every vector is hashed once; its codes go with it
+    nodes = written(nodes.select("node", "label", "dim", "weight", "embedding").mapInArrow(
+        _hashing(hashes), "node long, label long, dim int, weight long, embedding array<double>, codes binary"), "codes")
+    spread = nodes.select("node", "label", "dim", "codes").mapInArrow(_buckets(hashes), "bucket long, home boolean, node long")
     spread = written(spread, "buckets")
     size = spread.groupBy("bucket").agg(F.count("*").alias("n"), F.max("home").alias("homes")).where("n > 1 and homes")
     size = written(size.select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")), "sizes")
@@ -215,7 +249,7 @@ def _links(nodes: DataFrame, hashes: int, least: float) -> DataFrame:
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
     full = placed.join(nodes, "node")
     return (full.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
-            .select("bucket", "x", "y", "side", "home", "node", "label", "dim", "weight", "embedding")
+            .select("bucket", "x", "y", "side", "home", "node", "label", "dim", "weight", "embedding", "codes")
             .mapInArrow(_meetings(hashes, least), "node long, linked long, near long"))
 
 
