@@ -4,11 +4,13 @@ Pieces are dealt at random to groups of about GROUP pieces.  A group starts from
 has more sequences than its tokens need, the emptiest ones give documents away: a move, a one-for-one, a
 two-for-one or a one-for-two exchange with another underfull sequence, whichever raises the sum of squared
 fills most, until a sequence is empty or nothing raises the sum.  Sequences that stay loosely filled are
-opened again and packed with those of the other groups, round after round, until one group is left.
+opened again and packed with those of the other groups, round after round, until one group is left or more than half
+of a round's pieces stay loose (then few fit together, as with pieces of over half the capacity, and no round would end).
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import zlib
@@ -139,49 +141,139 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _units(bins: list[list[int]], lengths: list[int], which: list[int]) -> tuple[np.ndarray, list[tuple[int, ...]], np.ndarray]:
-    """Sizes, members and bins of every single item and pair of items of these bins; and nothing, once a bin."""
-    sizes, members, owner = [], [], []
-    for b in which:
-        items = bins[b]
-        for unit in [(), *((i,) for i in items), *((i, j) for x, i in enumerate(items) for j in items[x + 1:])]:
-            sizes.append(sum(lengths[i] for i in unit))
-            members.append(unit)
-            owner.append(b)
-    return np.array(sizes, np.int64), members, np.array(owner, np.int64)
+def fewest(lengths: list[int], capacity: int) -> int:
+    """A number of bins that no packing goes below: what all tokens fill, and what the large items need, of which k at
+    most share a bin if each is over capacity / (k + 1)."""
+    sizes = np.sort(np.asarray(lengths, np.int64))
+    if not len(sizes):
+        return 0
+    k = np.arange(1, max(2, min(capacity // max(int(sizes[0]), 1), 64)) + 1)
+    large = len(sizes) - np.searchsorted(sizes, capacity // (k + 1), "right")
+    return int(max(-(-int(sizes.sum()) // capacity), (-(-large // k)).max()))
+
+
+class _Search:
+    """Underfull bins, and two sorted indexes of what each can give away: nothing, an item or (in the second) two items.
+
+    An index entry is the bin's room, the unit's size and the bin in one number, so that one search tells, for a unit
+    to place, the best partner in the bins of each room.  An exchange renews the entries of the two bins that it touches."""
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
+        self.bins, self.lengths, self.capacity = bins, lengths, capacity
+        self.fill = np.array([sum(lengths[i] for i in b) for b in bins], np.int64)
+        self.rooms = np.bincount(capacity - self.fill, minlength=capacity + 1)  # bins of each room
+        keys = [self._keys(b) for b in range(len(bins)) if self.fill[b] < capacity]
+        self.index = [np.sort(np.concatenate([k[two] for k in keys] or [np.zeros(0, np.int64)])) for two in (0, 1)]
+
+    def units(self, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of single items and of pairs of items of a bin, each once."""
+        sizes = np.sort(np.array([self.lengths[i] for i in self.bins[b]], np.int64))
+        if not len(sizes):
+            return sizes, sizes
+        single, count = np.unique(sizes, return_counts=True)
+        low, high = np.triu_indices(len(single), 1)
+        return single, np.unique(np.concatenate((single[low] + single[high], 2 * single[count > 1])))
+
+    def _keys(self, b: int) -> tuple[np.ndarray, np.ndarray]:
+        single, pair = self.units(b)
+        base = (self.capacity - self.fill[b]) * (self.capacity + 1)
+        one = np.concatenate(([0], single))
+        return tuple(np.sort((base + u) * len(self.bins) + b) for u in (one, np.unique(np.concatenate((one, pair)))))
+
+    def take_out(self, b: int) -> None:
+        self.rooms[self.capacity - self.fill[b]] -= 1
+        if self.fill[b] < self.capacity:
+            for n, keys in enumerate(self._keys(b)):
+                self.index[n] = np.delete(self.index[n], np.searchsorted(self.index[n], keys))
+
+    def put_in(self, b: int) -> None:
+        self.fill[b] = sum(self.lengths[i] for i in self.bins[b])
+        self.rooms[self.capacity - self.fill[b]] += 1
+        if self.fill[b] < self.capacity:
+            for n, keys in enumerate(self._keys(b)):
+                self.index[n] = np.insert(self.index[n], np.searchsorted(self.index[n], keys), keys)
+
+    def best(self, a: int) -> tuple[int, int, int, int] | None:
+        """The exchange of bin a (taken out) that raises the sum of squared fills most: size and number of items to give
+        (one or two), the other bin, and the size that comes back; None if nothing raises it."""
+        room = np.flatnonzero(self.rooms[1:]) + 1
+        found = None
+        for n, gives in enumerate(self.units(a)):
+            index = self.index[1 - n]  # three items at most change places
+            if not len(gives) or not len(room) or not len(index):
+                continue
+            give, other = np.repeat(gives, len(room)), np.tile(room, len(gives))
+            # the more goes over the better, up to the room: the smallest unit to come back that leaves it enough
+            least = (other * (self.capacity + 1) + np.maximum(give - other, 0)) * len(self.bins)
+            at = np.minimum(np.searchsorted(index, least), len(index) - 1)
+            partner = index[at]
+            back = partner // len(self.bins) % (self.capacity + 1)
+            moved = give - back
+            right = (partner >= least) & (partner // len(self.bins) // (self.capacity + 1) == other) & (moved > 0)
+            gain = np.where(right, moved * (self.capacity - other + moved - self.fill[a]), 0)
+            k = int(gain.argmax())
+            if gain[k] > 0 and (found is None or gain[k] > found[0]):
+                found = (int(gain[k]), int(give[k]), n + 1, int(partner[k] % len(self.bins)), int(back[k]))
+        return found and found[1:]
+
+    def pick(self, b: int, size: int, most: int) -> list[int]:
+        """Items of a bin, as few as can be and at most `most`, that have this size together."""
+        if not size:
+            return []
+        by_size: dict[int, list[int]] = {}
+        for i in self.bins[b]:
+            by_size.setdefault(self.lengths[i], []).append(i)
+        if size in by_size:
+            return by_size[size][:1]
+        for n, items in by_size.items():
+            if most > 1 and (rest := by_size.get(size - n)) and (n != size - n or len(items) > 1):
+                return [items[0], rest[-1]]
+        raise AssertionError("a unit of the index is gone")
+
+    def step(self, a: int) -> int | None:
+        """The best exchange of bin a: the other bin, or None."""
+        self.take_out(a)
+        chosen = self.best(a)
+        if chosen is not None:
+            give, n, b, back = chosen
+            out, into = self.pick(a, give, n), self.pick(b, back, 3 - n)
+            self.take_out(b)
+            self.bins[a] = [i for i in self.bins[a] if i not in out] + into
+            self.bins[b] = [i for i in self.bins[b] if i not in into] + out
+            self.put_in(b)
+        if self.bins[a]:
+            self.put_in(a)
+        else:
+            self.fill[a] = 0
+        return None if chosen is None else chosen[2]
 
 
 def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
-    """Exchange items of underfull bins while that raises the sum of squared fills; drop bins that get empty."""
-    needed = -(-sum(lengths) // capacity)
-    fill = np.array([sum(lengths[i] for i in b) for b in bins], np.int64)
-    while len(bins) > needed:
-        under = [int(b) for b in np.argsort(fill, kind="stable") if fill[b] < capacity]
-        sizes, members, owner = _units(bins, lengths, under)
-        count = np.array([len(m) for m in members])
-        best = None
-        for a in under:  # from the emptiest on
-            for give in np.flatnonzero((owner == a) & (count > 0)):
-                moved = sizes[give] - sizes  # tokens that go from a to the other bin
-                after = fill[owner] + moved
-                # moves, one for one, two for one and one for two
-                fits = (owner != a) & (moved > 0) & (after <= capacity) & (after > fill[a]) & (count + count[give] <= 3)
-                gain = np.where(fits, moved * (after - fill[a]), 0)
-                if (k := int(gain.argmax())) >= 0 and gain[k] > 0 and (best is None or gain[k] > best[0]):
-                    best = (gain[k], a, members[give], int(owner[k]), members[k])
-            if best:
-                break
-        if not best:
-            break
-        _, a, out, b, back = best
-        bins[a] = [i for i in bins[a] if i not in out] + list(back)
-        bins[b] = [i for i in bins[b] if i not in back] + list(out)
-        for x in (a, b):
-            fill[x] = sum(lengths[i] for i in bins[x])
-        if not bins[a]:
-            bins.pop(a)
-            fill = np.delete(fill, a)
-    return bins
+    """Exchange items of underfull bins, from the emptiest on, while that raises the sum of squared fills; drop bins that get
+    empty.  It ends at `fewest` bins, or with a round over all bins in which none got empty."""
+    needed = fewest(lengths, capacity)
+    held = sum(map(bool, bins))
+    if held <= needed:
+        return [b for b in bins if b]
+    search = _Search(bins, lengths, capacity)
+    emptied = True
+    while emptied and held > needed:
+        emptied = False
+        queue = [(int(search.fill[b]), b) for b in range(len(bins)) if bins[b] and search.fill[b] < capacity]
+        heapq.heapify(queue)
+        while queue and held > needed:
+            fill, a = heapq.heappop(queue)
+            if not bins[a] or search.fill[a] != fill:  # it has changed since
+                continue
+            other = search.step(a)
+            if other is None:
+                continue
+            if not bins[a]:
+                held, emptied = held - 1, True
+            for b in (a, other):
+                if bins[b] and search.fill[b] < capacity:
+                    heapq.heappush(queue, (int(search.fill[b]), b))
+    return [b for b in bins if b]
 
 
 _PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, loose boolean"
