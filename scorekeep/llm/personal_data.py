@@ -12,6 +12,8 @@ values of one kind around it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,11 @@ SURE = 0.9
 #: Score-0 values that a pattern starts with, and values of a kind that it must hold.
 PRIOR = 0.3
 SUPPORT = 3
+#: Items of an array that are gathered one by one.
+BLOCK = 256
+
+
+_NONE = "cast(array() as array<struct<start:int,kind:int,end:int,value:string>>)"
 
 
 def _valid(kind: str, m: Column) -> Column:
@@ -56,10 +63,24 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """An array in blocks of BLOCK items: what is gathered item by item is gathered within blocks, and then block by block,
+    since every addition copies the array or text so far."""
+    def block(at: Column) -> Column:  # slice() would copy the whole array first
+        return F.transform(F.sequence(at, F.least(at + BLOCK, F.size(items)) - 1), lambda i: F.get(items, i))
+
+    return F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), F.size(items) - 1, F.lit(BLOCK)), block)).otherwise(F.array())
+
+
 def _found(text: Column, pattern: str, kind: int) -> Column:
     """Matches of a pattern as structs start, kind, end, value, from the gaps between them (code points)."""
     zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,kind:int,end:int,value:string>>)").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.expr(_NONE).alias("out"))
 
     def step(a: Column, z: Column) -> Column:
         begin = a["at"] + F.length(z["gap"])
@@ -67,10 +88,15 @@ def _found(text: Column, pattern: str, kind: int) -> Column:
         own = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), z["match"].alias("value"))
         return F.struct(end.alias("at"), F.when(z["match"].isNull(), a["out"]).otherwise(F.array_append(a["out"], own)).alias("out"))
 
-    return F.aggregate(zipped, start, step, lambda a: a["out"])
+    def placed(blocks: Column) -> Column:
+        before = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out")), lambda a, b: F.struct(
+            (a["at"] + b["at"]).alias("at"), F.array_append(a["out"], a["at"]).alias("out")), lambda a: a["out"])
+        return F.flatten(F.zip_with(blocks, before, lambda b, at: F.transform(b["out"], lambda s: F.struct(
+            (s["start"] + at).alias("start"), s["kind"].alias("kind"), (s["end"] + at).alias("end"), s["value"].alias("value")))))
+
+    return _let(zipped, lambda z: _let(F.transform(_blocks(z), lambda block: F.aggregate(block, start, step)), placed))
 
 
-_NONE = "cast(array() as array<struct<start:int,kind:int,end:int,value:string>>)"
 _MAY = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 
 
@@ -80,7 +106,7 @@ def base_spans(text: Column) -> Column:
         return F.when(text.rlike(_MAY[k]), F.filter(_found(text, PATTERNS[k], i), lambda s: _valid(k, s["value"]))).otherwise(
             F.expr(_NONE))
 
-    return F.array_sort(F.concat(*[of_kind(i, k) for i, k in enumerate(KINDS)]))
+    return F.sort_array(F.concat(*[of_kind(i, k) for i, k in enumerate(KINDS)]))
 
 
 def _listed(spans: Column) -> Column:
@@ -88,16 +114,38 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
 
 
-def _without(text: Column, spans: Column) -> Column:
-    """The text with line feeds in place of the spans' characters."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def _last_end(spans: Column) -> Column:
+    return F.aggregate(spans, F.lit(0), lambda a, s: F.greatest(a, s["end"]))
+
 
-    def step(a: Column, s: Column) -> Column:
-        gap = F.greatest(s["start"], a["at"])
-        piece = F.concat(a["out"], F.substring(text, a["at"] + 1, gap - a["at"]), F.repeat(F.lit("\n"), F.greatest(s["end"] - gap, F.lit(0))))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), piece.alias("out"))
+def _rewritten(text: Column, spans: Column, put: Callable[[Column, Column], Column]) -> Column:
+    """The text with put(end of the spans before, span) in place of what each span (by start) adds to those before it."""
+    none = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<low:int,high:int>>)").alias("out"))
 
-    return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    def regions(a: Column, block: Column) -> Column:  # from the last end before the block to the last one in it
+        return _let(F.greatest(a["at"], _last_end(block)), lambda high: F.struct(
+            high.alias("at"), F.array_append(a["out"], F.struct(a["at"].alias("low"), high.alias("high"))).alias("out")))
+
+    def of_block(block: Column, region: Column) -> Column:
+        def in_region(own: Column) -> Column:
+            def step(a: Column, s: Column) -> Column:
+                gap = F.substring(own, a["at"] - region["low"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))
+                return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.concat(a["out"], gap, put(a["at"], s)).alias("out"))
+
+            return F.aggregate(block, F.struct(region["low"].alias("at"), F.lit("").alias("out")), step, lambda a: a["out"])
+
+        return _let(F.substring(text, region["low"] + 1, region["high"] - region["low"]), in_region)
+
+    def whole(blocks: Column) -> Column:
+        return _let(F.aggregate(blocks, none, regions), lambda found: F.concat(
+            F.array_join(F.zip_with(blocks, found["out"], of_block), ""), F.substring(text, found["at"] + 1, F.length(text))))
+
+    return F.when(F.size(spans) > 0, _let(_blocks(spans), whole)).otherwise(text)
+
+
+def _without(text: Column, spans: Column) -> Column:
+    """The text with line feeds in place of the spans' characters."""
+    return _rewritten(text, spans, lambda at, s: F.repeat(F.lit("\n"), F.greatest(s["end"] - F.greatest(at, s["start"]), F.lit(0))))
 
 
 def _words_around(text: Column, start: Column, end: Column) -> tuple[Column, Column]:
@@ -109,17 +157,23 @@ def _words_around(text: Column, start: Column, end: Column) -> tuple[Column, Col
     return two, F.concat(last, F.lit(" _ "), plain(F.get(after, F.lit(0))))
 
 
+def _in_context(rows: DataFrame, spans: Column, kind: Column) -> DataFrame:
+    """One row for each span, with the patterns around it; kind is its seed kind, from the span column s."""
+    at = ["doc_id", "text_hash"]
+    blocks = rows.select(*at, "text", F.explode(_let(spans, _blocks)).alias("block"))
+    # a block's stretch of text with 80 characters on either side
+    low = F.greatest(F.get("block", F.lit(0))["start"] - 80, F.lit(0))
+    near = blocks.select(*at, low.alias("low"), F.substring("text", low + 1, _last_end(F.col("block")) + 80 - low).alias("near"), "block")
+    two, both = _words_around(F.col("near"), F.col("s.start") - F.col("low"), F.col("s.end") - F.col("low"))
+    return near.select(*at, "low", "near", F.explode("block").alias("s")).select(
+        *at, "s.start", "s.end", "s.value", kind.alias("seed_kind"), F.array_compact(F.array(two, both)).alias("patterns"))
+
+
 def _discovered(rows: DataFrame) -> DataFrame:
     """Spans doc_id, text_hash, start, kind, end that confident patterns add; rows: doc_id, text_hash, text, base."""
-    text = F.col("text")
-    seeds = rows.where("size(base) > 0").select("doc_id", "text_hash", "text", F.explode("base").alias("s")).select(
-        "doc_id", "text_hash", "text", "s.start", "s.end", "s.value", F.col("s.kind").alias("seed_kind"))
-    wild = rows.select("doc_id", "text_hash", "text", F.explode(_found(_without(text, F.col("base")), CANDIDATE, -1)).alias("s")).select(
-        "doc_id", "text_hash", "text", "s.start", "s.end", "s.value", F.lit(None).cast("int").alias("seed_kind"))
-    two, both = _words_around(text, F.col("start"), F.col("end"))
-    seen = written(seeds.unionAll(wild).select(
-        "doc_id", "text_hash", "start", "end", "value", "seed_kind",
-        F.array_compact(F.array(two, both)).alias("patterns")), "occurrences")
+    seeds = _in_context(rows.where("size(base) > 0"), F.col("base"), F.col("s.kind"))
+    wild = _in_context(rows, _found(_without(F.col("text"), F.col("base")), CANDIDATE, -1), F.lit(None).cast("int"))
+    seen = written(seeds.unionAll(wild), "occurrences")
     # the graph: one row per pattern and value, however often they meet
     graph = written(seen.select(F.explode("patterns").alias("pattern"), "value", "seed_kind").groupBy("pattern", "value")
                     .agg(F.max("seed_kind").alias("seed_kind")), "graph")
@@ -160,19 +214,13 @@ def personal_data(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash"))
     return marked.drop("text").join(added, same, "left").select(
         "doc_id", "text_hash", "base",
-        F.array_sort(F.concat("base", F.coalesce("more", F.expr(_NONE)))).alias("spans"))
+        F.sort_array(F.concat("base", F.coalesce("more", F.expr(_NONE)))).alias("spans"))
 
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in brackets; overlapping spans share one replacement."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        piece = F.concat(a["out"], F.substring(text, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0))), F.get(names, s["kind"]))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] < a["at"], a["out"]).otherwise(piece).alias("out"))
-
-    return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    return _rewritten(text, spans, lambda at, s: F.when(s["start"] < at, "").otherwise(F.get(names, s["kind"])))
 
 
 def op6_personal_data(spark, sf_dir: str) -> DataFrame:
