@@ -41,8 +41,9 @@ CHROME_WORDS = frozenset("""ad ads advert adverts advertisement advertising bann
  breadcrumbs sidebar side aside widget header masthead footer comment comments reply replies disqus discussion respond related
  recommended share sharing social toolbar pagination pager login signup search contentinfo complementary""".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(?P<raw>""" + "|".join(sorted(RAW)) + r""")\b(?:[^>"']|"[^"]*"|'[^']*')*+>.*?
- (?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>""".replace("\n ", ""),
+#: Tags; a quote counts only where a value begins, after an equals sign.
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(?P<raw>""" + "|".join(sorted(RAW)) + r""")\b(?:[^>=]|=\s*(?:"[^"]*"|'[^']*')?)*+>.*?
+ (?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>=]|=\s*(?:"[^"]*"|'[^']*')?)*+)>|<[!?/][^>]*>""".replace("\n ", ""),
                   re.S | re.I)
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[-_]+")

@@ -21,3 +21,9 @@ def test_text_outside_article_cards_stays():
 def test_paragraphs_in_divs_of_their_own_stay():
     page = f"<div id=c><div>Heading</div><div><p>{LONG * 3}</p></div><div>Short.</div><div><div>{LONG}</div></div></div><div><p>x<p>y</div>"
     assert main_text(page) == "\n".join(["Heading", (LONG * 3).strip(), "Short.", LONG.strip()])
+
+
+def test_stray_quotes_end_with_their_tag():
+    page = """<body><article><p title=it's>One two three four.</p><div data-x="a"b">Five six seven eight.</div>
+ <p class = 'x>y' id="a>b" title="unclosed>Nine ten eleven twelve.</p><p data-a==''>Last words of it.</p></article></body>"""
+    assert main_text(page) == "One two three four.\nFive six seven eight.\nNine ten eleven twelve.\nLast words of it."
