@@ -28,7 +28,7 @@ GROUP = 20_000
 #: A sequence with less than this share of its capacity is packed again with other groups' sequences.
 LOOSE = 15 / 16
 #: Bytes of memory for each of the two kinds of words that an encoder remembers.
-REMEMBERED = 40_000_000
+REMEMBERED = 80_000_000
 
 
 class WordEncoder:
