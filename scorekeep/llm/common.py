@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,17 +72,36 @@ def released(run: Callable, after: Callable | None = None) -> Callable:
     return whole
 
 
-def over_slices(f: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], column: str = "text", after: Callable | None = None):
-    """A function for mapInArrow that applies f to bounded slices of each batch."""
+def over_slices(f: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], column: str = "text", after: Callable | None = None,
+                most: int = 2_000_000):
+    """A function for mapInArrow that applies f to slices of each batch, of about `most` bytes of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, most):
                 yield from f(part)
 
     return released(run, after)
 
 
+def numbered(texts: Iterable[list]) -> tuple[np.ndarray, np.ndarray, list]:
+    """The words of all texts one after the other, as numbers of distinct words; where each text's begin, with the end; the
+    distinct words."""
+    place: defaultdict = defaultdict()
+    place.default_factory = place.__len__
+    found, held = array("q"), [0]
+    for words in texts:
+        found.extend(map(place.__getitem__, words))
+        held.append(len(found))
+    return np.array(found), np.array(held), list(place)
+
+
+def gathered(flat: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The stretches of flat that begin at begin and have count items, one after the other."""
+    before = np.cumsum(count) - count
+    return flat[np.repeat(begin - before, count) + np.arange(count.sum())]
+
+
 class Remembered(dict):
     """Byte strings that make() gave for keys, in about `most` bytes: when half of that is used, what was not asked for
     since the last time is forgotten."""

@@ -11,33 +11,49 @@ of a round's pieces stay loose (then few fit together, as with pieces of over ha
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorekeep.llm.common import Remembered, over_slices, written
+from scorekeep.llm.common import gathered, numbered, over_slices, written
 
 CAPACITY = 4096
 GROUP = 20_000
 #: A sequence with less than this share of its capacity is packed again with other groups' sequences.
 LOOSE = 15 / 16
-#: Bytes of memory for each of the two kinds of words that an encoder remembers.
-REMEMBERED = 80_000_000
+#: Bytes of text that a task encodes at a time: frequent words of it are merged once.
+SLICE = 16_000_000
+
+
+def flattened(rows: Iterable[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows one after the other, and how many each has."""
+    rows = list(rows)
+    count = np.fromiter(map(len, rows), np.int64, len(rows))
+    return np.fromiter(itertools.chain.from_iterable(rows), "<u4", count.sum()), count
+
+
+def joined(rows: Iterable[Sequence], encode: Callable) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of rows of parts one after the other, and how many each row has; encode gives those of the distinct parts."""
+    of, held, parts = numbered(rows)
+    ids, count = encode(parts)
+    total = np.concatenate(([0], np.cumsum(count[of])))
+    return gathered(ids, (np.cumsum(count) - count)[of], count[of]), np.diff(total[held])
 
 
 class WordEncoder:
     """Token ids of a text as little-endian uint32 bytes, as the tokenizers library gives them.
 
     For a tokenizer that drops white space, ids of a text are those of its words one after the other, so
-    each word is encoded once.  Words of Latin letters and plain marks are cut where the tokenizer cuts
-    them and go straight to its merges; any other word goes through the whole library.  A tokenizer of
-    another kind gets whole texts.
+    each distinct word of several texts is encoded once.  Words of Latin letters and plain marks are cut where the
+    tokenizer cuts them, and each distinct part goes straight to its merges; any other word goes through the whole
+    library.  A tokenizer of another kind gets whole texts.
     """
 
     def __init__(self, path: str):
@@ -55,25 +71,26 @@ class WordEncoder:
         self.chars = {b: b for b in printed} | {b: 256 + i for i, b in enumerate(others)}
         self.plain = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ!-&(-/:;=-@\[-`{-~]*")
         self.run = re.compile(r"[a-zß-öø-ÿ]+|[^a-zß-öø-ÿ]+")
-        self.words, self.runs = Remembered(self._word, REMEMBERED), Remembered(self._run, REMEMBERED)
 
-    def _library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _library(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _run(self, run: str) -> bytes:
-        spelt = run.encode().decode("latin-1").translate(self.chars)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(spelt)], "<u4").tobytes()
+    def _run(self, run: str) -> list[int]:
+        spelt = run if run.isascii() else run.encode().decode("latin-1").translate(self.chars)
+        return [t.id for t in self.tokenizer.model.tokenize(spelt)]
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if not self.plain.fullmatch(text):
-            return self._library(text)
-        return b"".join([self.runs[r] for r in self.run.findall(text.lower())])
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words one after the other, and how many each has."""
+        texts, plain = [w.decode("utf-8", "replace") for w in words], self.plain.fullmatch
+        other = {w for w in texts if not plain(w)}  # none of them is a part of a plain word
+        return joined(((w,) if w in other else self.run.findall(w.lower()) for w in texts), lambda runs: flattened(
+            self._library(run) if run in other else self._run(run) for run in runs))
 
-    def encode(self, text: bytes) -> bytes:
-        if self.by_word:
-            return b"".join(map(self.words.__getitem__, text.split()))
-        return self._library(text.decode("utf-8", "replace"))
+    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after the other, and how many each has."""
+        if not self.by_word:
+            return flattened(self._library(t.decode("utf-8", "replace")) for t in texts)
+        return joined(map(bytes.split, texts), self._words)
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -89,27 +106,25 @@ _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _cutting(path: str, capacity: int, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def cut(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
-        rows: list[tuple] = []
-        for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").cast(pa.binary()).to_pylist(), strict=True):
-            ids = encoder.encode(text or b"") + end
-            for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                own = ids[at:at + 4 * capacity]
-                rows.append((doc, k, at // 4, len(own) // 4, zlib.crc32(own)))
+        texts = part.column("text").fill_null("").cast(pa.binary()).to_pylist()
+        found, count = _encoder(path).encode_all(texts)
+        edge = np.concatenate(([0], np.cumsum(count + 1)))
+        ids = np.full(edge[-1], end_id, "<u4")
+        inside = np.ones(len(ids), bool)
+        inside[edge[1:] - 1] = False
+        ids[inside] = found
+        data, rows = memoryview(ids.tobytes()), []
+        for doc, low, high in zip(part.column("doc_id").to_pylist(), edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            for k, at in enumerate(range(low, high, capacity)):
+                end = min(at + capacity, high)
+                rows.append((doc, k, at - low, end - at, zlib.crc32(data[4 * at:4 * end])))
         columns = list(zip(*rows, strict=True)) if rows else [()] * 5
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                                          names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    def forget() -> None:  # the words of a task; other stages need the memory
-        encoder = _encoder(path)
-        encoder.words.forget()
-        encoder.runs.forget()
-
-    return over_slices(cut, after=forget)
+    return over_slices(cut, most=SLICE)
 
 
 def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 1,
