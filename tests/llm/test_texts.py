@@ -14,7 +14,7 @@ from scorekeep.llm import edit_fingerprint as ef
 from scorekeep.llm import html_text, packing, personal_data, url_filter
 from scorekeep.llm.language_id import identify_languages
 from scorekeep.llm.queries import ORACLE_SQL, QUERIES
-from scorekeep.llm.sentencepiece_codec import Codec, decode_pieces, encode_pieces
+from scorekeep.llm.sentencepiece_codec import Codec, checked_pieces, decode_pieces, encode_pieces
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import words
 
@@ -128,6 +128,13 @@ def test_sentencepiece(spark, docs_of):
     got = decode_pieces(encode_pieces(docs_of([*rows, (None, "x")]), path), path).collect()
     assert all(r.decoded == r.text for r in got) and len(got) == len(rows) + 1
     assert [r.ids for r in got if r.doc_id in (900, 901)] in ([None, []], [[], None])
+    # words that go through the automaton together have the ids of each alone
+    assert all(list(codec.encode(t)) == list(codec.viterbi(codec.prefix + t.replace(" ", "▁"))) for t in [*ODD[1:], *_texts()[:20]] if t)
+    both_ways = checked_pieces(docs_of([*rows, (None, "x"), (7, "x")]), path).collect()
+    hashed = {(r.doc_id, tuple(r.ids or ()), hashlib.sha256(r.text.encode()).hexdigest() if r.text is not None else None) for r in got}
+    assert all(r.exact for r in both_ways) and len(both_ways) == len(got) + 1
+    assert hashed <= {(r.doc_id, tuple(r.ids or ()), r.decoded_sha256) for r in both_ways}
+    assert checked_pieces(docs_of([]), path).count() == 0
 
 
 def _plain_print(walker, text):
