@@ -182,6 +182,35 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def _keeping(model: Model, least: float, text_col: str):
+    def told(text: str | None) -> bool:
+        lang, score = model.predict(text)
+        return score == 0 if lang == UNKNOWN else score > least  # und may be a label
+
+    def keep(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield part.filter(pa.array([told(t) for t in part.column(text_col).to_pylist()], pa.bool_()))
+
+    return over_slices(keep, text_col)
+
+
+def _learned(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[DataFrame, Model]:
+    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                            F.col(lang_col).cast("string").alias("lang")).withColumn("held_out", held_out("doc_id"))
+    return docs, fit(docs.where(~F.col("held_out")))
+
+
+def known_languages(documents: DataFrame, least: float, id_col: str = "doc_id", text_col: str = "text",
+                    lang_col: str = "lang") -> DataFrame:
+    """The rows of documents whose language is told with a probability over `least`, all columns as they are.
+
+    Learns as identify_languages does; each row is judged by its own text, whatever its id.  Texts that are null or
+    have no letter go, also where there was nothing to learn from; then all other rows stay.
+    """
+    _, model = _learned(documents, id_col, text_col, lang_col)
+    lettered = documents.where(F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+    return lettered.mapInArrow(_keeping(model, least, text_col), documents.schema)
+
+
 def identify_languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred and score (probability of lang_pred) of every row.
@@ -190,9 +219,7 @@ def identify_languages(documents: DataFrame, id_col: str = "doc_id", text_col: s
     A null text, or one without a letter, is `und` with score 0, as is every row when there is nothing
     to learn from.
     """
-    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                            F.col(lang_col).cast("string").alias("lang")).withColumn("held_out", held_out("doc_id"))
-    model = fit(docs.where(~F.col("held_out")))
+    docs, model = _learned(documents, id_col, text_col, lang_col)
     return docs.select("doc_id", "held_out", "text").mapInArrow(
         _predicting(model), "doc_id long, held_out boolean, lang_pred string, score double")
 

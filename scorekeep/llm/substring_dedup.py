@@ -13,12 +13,13 @@ spans that hold it is never removed as that span.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from scorekeep.llm.common import over_slices, written
 from scorekeep.llm.words import BASE, U, Words, mix, powers, raw_bytes, scan
@@ -147,7 +148,7 @@ def _removal(*sizes: int):
 
 
 def substring_dedup(documents: DataFrame, sentences: int = SENTENCES, least_words: int = WORDS, long_words: int = LONG,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """Remove words that a repeated span covers, but for the span's first place.
 
     Returns doc_id, text (without the removed words), n_sentences and n_removed (sentences removed in whole or in
@@ -155,18 +156,21 @@ def substring_dedup(documents: DataFrame, sentences: int = SENTENCES, least_word
     (A-Z lower-cased, any ASCII white space).  Texts that are null stay null; empty ones and those of too few
     sentences and words have no span and stay as they are.  Rows with a null id keep what other documents
     repeat (they are compared only within themselves).  Rows that share an id count as one document: spans are
-    not removed for being in another of them.  Columns other than id and text are not read.
+    not removed for being in another of them.  Columns other than id and text are not read, but for those of
+    carry, which come back in a struct `carried`.
     """
-    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    listed = (docs.where("doc_id is not null")
+    carried = [F.struct(*(F.col(f"`{c}`") for c in carry)).alias("carried")] if carry else []
+    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), *carried, F.col(text_col).alias("text"))
+    listed = (docs.select("doc_id", "text").where("doc_id is not null")
               .mapInArrow(_listing(sentences, least_words, long_words), "span long, doc_id long"))
     # partial sums meet a hot span in every task before the shuffle
     shared = written(listed.groupBy("span").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("most"))
                      .where("keeper < most").select("span", "keeper"), "spans")
     repeats = written(listed.join(shared, "span").where("doc_id <> keeper").groupBy("doc_id")
                       .agg(F.collect_set("span").alias("repeats")), "repeats")
-    return docs.join(repeats, "doc_id", "left").select("doc_id", "text", "repeats").mapInArrow(
-        _removal(sentences, least_words, long_words), "doc_id long, text string, n_sentences long, n_removed long")
+    schema = StructType([*docs.schema.fields]).add("n_sentences", "long").add("n_removed", "long")
+    return docs.join(repeats, "doc_id", "left").select(*docs.columns, "repeats").mapInArrow(
+        _removal(sentences, least_words, long_words), schema)
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
