@@ -1,7 +1,8 @@
 """A corpus from documents: five stages, each written as Parquet and reread as the next one's documents.
 
 Every stage but the last returns the columns of documents, with n_chars counted anew where it changes texts.
-A document is known by its doc_id; rows with a null doc_id are dropped by the first stage.
+Decisions are taken row by row: rows with a null doc_id, and different texts that share one, are documents of their own.
+Rows with the same doc_id and text (null counts as an id) are copies of one document.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorekeep.llm.common import small_or_shuffled, written
-from scorekeep.llm.language_id import UNKNOWN, identify_languages
+from scorekeep.llm.language_id import known_languages
 from scorekeep.llm.ngram_jaccard import ngram_jaccard_join
 from scorekeep.llm.packing import pack_documents
 from scorekeep.llm.personal_data import masked, personal_data
@@ -20,48 +21,67 @@ from scorekeep.llm.substring_dedup import substring_dedup
 LEAST_SCORE = 0.3
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs but for the given doc_ids; a list within the bound goes to the texts, so that they aren't shuffled."""
-    ids = written(ids.distinct(), "gone")
-    return docs.join(small_or_shuffled(ids, ids.count()), "doc_id", "left_anti").select(docs.columns)
+def _fresh(docs: DataFrame, name: str) -> str:
+    """The name, with underscores until no column of docs has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a key that is the same for rows of the same doc_id and text only, and its name.
+
+    It is the doc_id where this has one text.  Rows with a null doc_id or one of several texts get a hash of both, from 2**62 on, so
+    that documents with an id of their own come first."""
+    key, several = _fresh(docs, "row_key"), _fresh(docs, "several")
+    texts = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("h"))
+    shared = written(texts.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high")
+                     .select("doc_id", F.lit(True).alias(several)), "shared")
+    marked = docs.join(small_or_shuffled(shared, shared.count()), "doc_id", "left")
+    hashed = F.lit(2**62) + F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**62))
+    own = F.when(F.col("doc_id").isNull() | F.coalesce(several, F.lit(False)), hashed).otherwise(F.col("doc_id").cast("long"))
+    return marked.select(*docs.columns, own.alias(key)), key
 
 
 def keep_known_languages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those without letters, or that fit no language, go.
 
     Where there was no language to learn, all texts with letters stay."""
-    told = F.when(F.col("lang_pred") == UNKNOWN, F.col("score") == 0).otherwise(F.col("score") > LEAST_SCORE)  # und may be a label
-    unlike = identify_languages(docs).where(~told).select("doc_id")
-    bare = docs.where(~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).select("doc_id")
-    return _without(docs, unlike.unionAll(bare)).where("doc_id is not null")
+    return known_languages(docs, LEAST_SCORE)
 
 
 def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of 0.8-similar sets of 5-word shingles: the smallest doc_id (one row of it)."""
-    groups = written(ngram_jaccard_join(docs).select("doc_id", "component_id"), "groups")
-    kept = _without(docs, groups.where("doc_id <> component_id").select("doc_id"))
-    repeated = written(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    once = _without(kept, repeated)
-    again = kept.join(small_or_shuffled(repeated, repeated.count()), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionAll(again.select(docs.columns))
+    keyed, key = _keyed(docs)
+    groups = written(ngram_jaccard_join(keyed, id_col=key).select(F.col("doc_id").alias(key), "component_id"), "groups")
+    gone = written(groups.where(f"{key} <> component_id").select(key).distinct(), "gone")
+    repeated = written(groups.groupBy(key).count().where("count > 1").select(key), "repeated")
+    gone, repeated = small_or_shuffled(gone, gone.count()), small_or_shuffled(repeated, repeated.count())
+    kept = keyed.join(gone, key, "left_anti")
+    again = kept.join(repeated, key, "left_semi").dropDuplicates([key])
+    return kept.join(repeated, key, "left_anti").select(docs.columns).unionAll(again.select(docs.columns))
+
+
+def _with_text(docs: DataFrame, text) -> DataFrame:
+    return docs.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_repeated_spans(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without sentences of repeated spans; documents left without words go."""
-    texts = substring_dedup(docs).where(r"n_removed = 0 OR text RLIKE '\\S'").select("doc_id", "text")
-    changed = docs.drop("text", "n_chars").join(texts, "doc_id")
-    return changed.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    keyed, key = _keyed(docs)
+    texts = substring_dedup(keyed, id_col=key, carry=[c for c in docs.columns if c != "text"]).where(r"n_removed = 0 OR text RLIKE '\\S'")
+    return _with_text(texts.select("carried.*", "text"), F.col("text")).select(docs.columns)
 
 
 def mask_personal_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every span of personal data replaced by its kind in brackets."""
-    spans = "spans"
-    while spans in map(str.lower, docs.columns):
-        spans += "_"
-    found = personal_data(docs).where("size(spans) > 0").select("doc_id", F.col("spans").alias(spans))
+    keyed, key = _keyed(docs)
+    spans = _fresh(docs, "spans")
+    found = (personal_data(keyed, id_col=key).where("size(spans) > 0")
+             .select(F.col("doc_id").alias(key), F.col("spans").alias(spans)).dropDuplicates([key]))
     text = F.when(F.col(spans).isNotNull(), masked(F.col("text"), F.col(spans))).otherwise(F.col("text"))
-    changed = docs.join(found, "doc_id", "left").withColumn("text", text)
-    return changed.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return _with_text(keyed.join(found, key, "left"), text).select(docs.columns)
 
 
 def pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
