@@ -28,11 +28,10 @@ LINKS = 0.5
 
 # Element names of HTML, by what they mean here.
 RAW = frozenset("script style textarea title template noscript iframe noembed noframes xmp".split())
-SKIPPED = frozenset("""head nav header footer aside form menu dialog button select option svg math canvas audio video object
- figure fieldset""".split())
+SKIPPED = frozenset("""head nav header footer aside form menu dialog button select option svg math canvas audio video object""".split())
 CONTAINERS = frozenset("html body div section main article center table".split())
 BLOCKS = CONTAINERS | SKIPPED | frozenset("""p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre blockquote hr tr td th thead tbody tfoot
- caption address details summary hgroup search""".split())
+ caption figure figcaption fieldset legend address details summary hgroup search""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset("article main".split())
 #: Words in a class, id or role that mark what does not belong to the article.
@@ -50,11 +49,11 @@ _PART = re.compile(r"[-_]+")
 #: Words that may stand before a chrome word in a class, id or role: site-header, but not has-sidebar.
 PLACE_WORDS = frozenset("site page main top bottom left right primary secondary global".split())
 #: Skipped elements that may also wrap a whole page.
-WRAPPERS = frozenset("form fieldset".split())
+WRAPPERS = frozenset(["form"])
 
 
-def _is_chrome(name: str, rest: str) -> bool:
-    if name in SKIPPED:
+def _is_chrome(name: str, rest: str, article: int) -> bool:
+    if name in SKIPPED and not (article and name == "header"):  # an article's own header holds its title
         return True
     if name in ("body", "html", "article", "main") or "=" not in rest:
         return False
@@ -122,7 +121,7 @@ def _lines(page: str) -> _Lines:
         if name == "a":
             links = 0 if m["end"] else 1
         if name not in BLOCKS:
-            if not (not m["end"] and name not in VOID and not m["rest"].endswith("/") and _is_chrome(name, m["rest"])) and not (
+            if not (not m["end"] and name not in VOID and not m["rest"].endswith("/") and _is_chrome(name, m["rest"], here[0])) and not (
                     m["end"] and open_inline.get(name)):
                 continue
         out.close(here, gap=name in CONTAINERS or name in SKIPPED)
@@ -131,7 +130,7 @@ def _lines(page: str) -> _Lines:
         if not m["end"]:
             if name == "p":  # a paragraph ends where a block begins; it never holds one
                 continue
-            chrome = _is_chrome(name, m["rest"])
+            chrome = _is_chrome(name, m["rest"], here[0])
             stack.append((name, chrome, here))
             open_names[name] = open_names.get(name, 0) + 1
             open_inline[name] = open_inline.get(name, 0) + chrome

@@ -27,3 +27,22 @@ def test_stray_quotes_end_with_their_tag():
     page = """<body><article><p title=it's>One two three four.</p><div data-x="a"b">Five six seven eight.</div>
  <p class = 'x>y' id="a>b" title="unclosed>Nine ten eleven twelve.</p><p data-a==''>Last words of it.</p></article></body>"""
     assert main_text(page) == "One two three four.\nFive six seven eight.\nNine ten eleven twelve.\nLast words of it."
+
+
+def test_captions_boxes_and_the_article_header_stay():
+    page = f"""<body><header><h1>Site</h1></header><article><header><h1>Title</h1><nav>menu</nav></header><p>{LONG}</p>
+ <figure><img src=x><svg><text>drawn</text></svg><figcaption>A caption.</figcaption></figure><fieldset><legend>Box</legend>In the box.</fieldset>
+ <form><fieldset>Your name</fieldset></form><header class=share>Share it</header></article><footer>f</footer></body>"""
+    assert main_text(page) == f"Title\n{LONG.strip()}\nA caption.\nBox\nIn the box."
+    # a header that opens outside the article is the page's, also where it holds one of several
+    assert main_text(f"<header>Site</header><main><p>{LONG}</p></main>") == LONG.strip()
+
+
+def test_nothing_and_repeated_rows(spark):
+    from scorekeep.llm.html_text import extract_text
+    rows = [(1, "u", f"<p>{LONG}</p>"), (1, "u", f"<p>{LONG}</p>"), (None, None, None), (3, "v", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text", "1 AS n_chars")
+    got = sorted((r.page_id or 0, r.url or "", r.text, r.n_chars) for r in extract_text(pages).collect())
+    n = len(LONG.strip())
+    assert got == [(0, "", "", 0), (1, "u", LONG.strip(), n), (1, "u", LONG.strip(), n), (3, "v", "", 0)]
+    assert extract_text(pages.where("false")).count() == 0
