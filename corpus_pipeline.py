@@ -19,6 +19,9 @@ from scorekeep.llm.substring_dedup import substring_dedup
 
 #: A document goes if its language is unknown, or the likeliest is no likelier than this.
 LEAST_SCORE = 0.3
+#: Rows that go to a Python worker at once.  The operators cut them into slices of some megabytes anyway; Spark's default of
+#: 10,000 only keeps more texts in memory, in the executor and in its workers.
+BATCH_ROWS = 2000
 
 
 def _fresh(docs: DataFrame, name: str) -> str:
@@ -29,11 +32,19 @@ def _fresh(docs: DataFrame, name: str) -> str:
     return name
 
 
+def _small_batches(spark) -> None:
+    """From now on the session sends at most BATCH_ROWS rows to a Python worker at once."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+
+
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs with a key that is the same for rows of the same doc_id and text only, and its name.
 
     It is the doc_id where this has one text.  Rows with a null doc_id or one of several texts get a hash of both, from 2**62 on, so
     that documents with an id of their own come first."""
+    _small_batches(docs.sparkSession)
     key, several = _fresh(docs, "row_key"), _fresh(docs, "several")
     texts = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("h"))
     shared = written(texts.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high")
@@ -48,6 +59,7 @@ def keep_known_languages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those without letters, or that fit no language, go.
 
     Where there was no language to learn, all texts with letters stay."""
+    _small_batches(docs.sparkSession)
     return known_languages(docs, LEAST_SCORE)
 
 
@@ -88,6 +100,7 @@ def pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of at most 4096 tokens."""
     import public_tokenizers
 
+    _small_batches(docs.sparkSession)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
