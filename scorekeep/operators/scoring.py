@@ -85,21 +85,22 @@ def score_answers(question: DataFrame, answer: DataFrame, absent: DataFrame,
     facts = (answer.where((F.col("isChoose") > 0) & (F.col("status") == LIVE_STATUS))
              .select("paperId", "paperName", "paperExamId", "paperExamName", "stuId",
                      "stuSeq", "schoolId", "questionId", "questionOrder",
-                     F.col("answer").alias("raw_answer"), "fixAnswer",
-                     F.col("isDubious").alias("raw_isDubious"),
-                     F.col("dubiousType").alias("raw_dubiousType"), "ABFlag", "isChoose"))
-    joined = (facts.join(qdim, facts["questionId"] == qdim["q_id"], "inner")
-              .join(absences, same_sitting(), "left"))
-    return joined.select(
+                     F.col("answer").alias("raw_answer"),
+                     display_answer("answer", "fixAnswer", "isDubious", "dubiousType")
+                     .alias("answer"), "ABFlag", "isChoose"))
+    # scored before the absences' join: neither rule map nor raw answer goes through its shuffle
+    scored = (facts.join(qdim, facts["questionId"] == qdim["q_id"], "inner")
+              .select("paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq",
+                      "schoolId", "subjectId", "questionId", "questionOrder", "questionNo",
+                      "questionType", "questionScore", "difficulty", "answer", "ABFlag",
+                      score_expr().alias("stuScore"), "isChoose", "standardAnswer", "pos"))
+    return scored.join(absences, same_sitting(), "left").select(
         "paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq",
         "schoolId", "subjectId", "questionId", "questionOrder", "questionNo",
-        "questionType", "questionScore", "difficulty",
-        display_answer("raw_answer", "fixAnswer", "raw_isDubious", "raw_dubiousType")
-        .alias("answer"),
-        "ABFlag",
+        "questionType", "questionScore", "difficulty", "answer", "ABFlag",
         F.when(F.col("ab_dubiousType").isNull(), 0).otherwise(1).alias("isDubious"),
         F.col("ab_dubiousType").alias("dubiousType"),
-        score_expr().alias("stuScore"),
+        "stuScore",
         F.col("ab_sourceFrom").alias("sourceScore"),
         "isChoose", "standardAnswer", "pos")
 

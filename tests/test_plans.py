@@ -290,3 +290,16 @@ def test_totals_over_the_product_bound_are_measured(spark, tables_small):
     df = detail.question_detail(scores, paper, t.student, totals_bound=(20_000 * 26, 1 << 27))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan.split("pt_paperExamId", 1)[0] + plan
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_answers_are_scored_before_the_absences_join(spark, tables_small):
+    """Neither the rule map nor the raw answer goes through the shuffle of the absences' join."""
+    from scorekeep.operators import scoring
+    t = tables_small
+    lines = optimized(scoring.score_answers(t.question, t.answer, t.absent, max_broadcast_rows=0)).splitlines()
+    join = next(i for i, ln in enumerate(lines) if "Join LeftOuter" in ln)
+    assert "AS stuScore#" in lines[join + 1]
