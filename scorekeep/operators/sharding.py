@@ -11,9 +11,10 @@ the layout is a parquet table partitioned by ``db_shard``/``tb_shard``:
 * a gather over a key set (the original: one routed read per key, unioned
   on the driver) is one scan semi-joined to the key set on the key and its
   shard columns, so dynamic partition pruning skips shards with no key;
-* a write rebalances rows on the shard columns (AQE splits a hot shard
-  over several tasks and merges cold ones) and partitions the output by
-  shard, one directory per physical table.
+* a write partitions the output by shard, one directory per physical table.
+  With few shards every task writes its own rows of each, without a shuffle;
+  with many it first rebalances rows on the shard columns (AQE splits a hot
+  shard over several tasks and merges cold ones), so that files stay few.
 
 Tables sharded alike ("binding tables") are written bucketed on their join
 key with the same bucket count, so joining them needs no shuffle.
@@ -54,12 +55,30 @@ def with_shards(df: DataFrame, layout: ShardLayout) -> DataFrame:
     })
 
 
+#: Up to this many shards a task keeps a file of each open, and rows are neither shuffled nor sorted for the write.
+#: A hash of the int minimum has a negative shard, so twice as many as the regular ones may come.
+DIRECT_SHARDS = 32
+_CONCURRENT_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def shard_rows(df: DataFrame, layout: ShardLayout) -> DataFrame:
+    """The rows to write, with their shards: as they lie if the shards are few, else rebalanced on the shards."""
+    rows = with_shards(df, layout)
+    return rows if layout.n_db * layout.n_tb <= DIRECT_SHARDS else rows.hint("rebalance", *SHARD_COLUMNS)
+
+
 def write_sharded(df: DataFrame, path: str, layout: ShardLayout, mode: str = "append") -> DataFrame:
     """Write ``df`` as the sharded layout and return it re-read (lazily).
     ``mode`` is Spark's save mode: append, overwrite, error(ifexists) or ignore."""
-    (with_shards(df, layout).hint("rebalance", *SHARD_COLUMNS)
-     .write.mode(mode).partitionBy(*SHARD_COLUMNS).parquet(path))
-    return read_sharded(df.sparkSession, path)
+    spark = df.sparkSession
+    before = spark.conf.get(_CONCURRENT_WRITERS)
+    if layout.n_db * layout.n_tb <= DIRECT_SHARDS:
+        spark.conf.set(_CONCURRENT_WRITERS, str(max(int(before), 2 * DIRECT_SHARDS)))
+    try:
+        shard_rows(df, layout).write.mode(mode).partitionBy(*SHARD_COLUMNS).parquet(path)
+    finally:
+        spark.conf.set(_CONCURRENT_WRITERS, before)
+    return read_sharded(spark, path)
 
 
 def _literal_key(value) -> str:

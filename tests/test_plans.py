@@ -303,3 +303,18 @@ def test_answers_are_scored_before_the_absences_join(spark, tables_small):
     lines = optimized(scoring.score_answers(t.question, t.answer, t.absent, max_broadcast_rows=0)).splitlines()
     join = next(i for i, ln in enumerate(lines) if "Join LeftOuter" in ln)
     assert "AS stuScore#" in lines[join + 1]
+
+
+def test_few_shards_are_written_without_a_shuffle(spark, workdir):
+    from scorekeep.operators import sharding
+    rows = [(f"P{i % 3}", i) for i in range(50)] * 2
+    df = spark.createDataFrame(rows, "paperId string, questionId long")
+    few, many = sharding.ShardLayout(n_db=2, n_tb=8), sharding.ShardLayout(n_db=2, n_tb=256)
+    assert "Rebalance" not in optimized(sharding.shard_rows(df, few))
+    assert "Rebalance" in optimized(sharding.shard_rows(df, many))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    for layout in (few, many):
+        back = sharding.write_sharded(df, f"{workdir}/{layout.n_tb}", layout)
+        want = sharding.with_shards(df, layout).select(back.columns)
+        assert back.count() == 100 and back.exceptAll(want).count() == 0
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
