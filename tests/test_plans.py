@@ -318,3 +318,35 @@ def test_few_shards_are_written_without_a_shuffle(spark, workdir):
         want = sharding.with_shards(df, layout).select(back.columns)
         assert back.count() == 100 and back.exceptAll(want).count() == 0
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def test_detail_catalog_computes_the_detail_once(spark, monkeypatch):
+    """Both inserts read written rows; no join runs a second time."""
+    from scorekeep.sinks import tables
+    from tests.conftest import SF_SMALL
+    plans, insert = [], tables.insert_into
+
+    def seen(df, *args, **kwargs):
+        plans.append(optimized(df))
+        return insert(df, *args, **kwargs)
+
+    monkeypatch.setattr(tables, "insert_into", seen)
+    whole = queries.detail_catalog(spark, SF_SMALL).count()
+    assert whole == queries.question_detail(spark, SF_SMALL).count()
+    assert len(plans) == 1 and "Join" not in plans[0]
+
+
+def test_small_totals_join_after_the_students(spark, tables_small):
+    """The totals' columns are not shuffled with the students, and a student of two papers gives the same rows."""
+    from scorekeep.operators import detail, scoring, totals
+    t = tables_small
+    scores = scoring.score_answers(t.question, t.answer, t.absent)
+    paper = totals.paper_totals(t.question, t.paper_subject, t.subject)
+    both = t.student.unionByName(t.student.where("userId % 3 = 0").withColumn(
+        "paperId", F.when(F.col("paperId") == "P0", "P1").when(F.col("userId") % 2 == 1, "P0")))
+    after = detail.question_detail(scores, paper, both)
+    before = detail.question_detail(scores, paper, both, max_broadcast_rows=0)
+    top = [next(ln for ln in optimized(df).splitlines() if "Join Inner" in ln) for df in (after, before)]
+    assert "pt_subjectId" in top[0] and "pt_subjectId" not in top[1]
+    assert after.count() == before.count() > 0
+    assert after.exceptAll(before).count() == 0
