@@ -16,6 +16,7 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -161,6 +162,21 @@ class PieceCodec:
         return self.bytes[np.repeat(self.starts[ids] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
 
 
+@lru_cache
+def decimals(bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every number of so many bits: its decimal digits and a place for a mark (uint8), which of these it has,
+    and how many."""
+    rest = np.arange(1 << bits)
+    width = len(str(len(rest) - 1))
+    digits, used = np.zeros((len(rest), width + 1), np.uint8), np.ones((len(rest), width + 1), bool)
+    for d in range(width - 1, -1, -1):
+        used[:, d] = rest > 0
+        digits[:, d] = 48 + rest % 10
+        rest = rest // 10
+    used[:, width - 1] = True
+    return digits, used, used.sum(axis=1)
+
+
 class Aligned:
     """Tokens, groups and overlap links of several texts, one after the other on one axis of bytes."""
 
@@ -169,9 +185,11 @@ class Aligned:
         self.a, self.b = np.concatenate([*a_ids, none]).astype(np.int64), np.concatenate([*b_ids, none]).astype(np.int64)
         self.a_edge, self.b_edge = (np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int64) for ids in (a_ids, b_ids))
         self.a_end, self.b_end = np.cumsum(a_sizes[self.a]), np.cumsum(b_sizes[self.b])
-        self.cuts = np.intersect1d(self.a_end, self.b_end, assume_unique=True)
-        self.a_group = np.searchsorted(self.cuts, self.a_end)
-        self.b_group = np.searchsorted(self.cuts, self.b_end)
+        at = np.searchsorted(self.b_end, self.a_end)
+        a_cut, b_cut = np.append(self.b_end, -1)[at] == self.a_end, np.zeros(len(self.b), bool)
+        b_cut[at[a_cut]] = True
+        self.cuts = self.a_end[a_cut]
+        self.a_group, self.b_group = np.cumsum(a_cut) - a_cut, np.cumsum(b_cut) - b_cut  # cuts before a token's end
         self.group_edge = np.append(self.a_group, len(self.cuts))[self.a_edge]  # a text's groups
 
     def _parts(self) -> Iterator[tuple[int, int]]:
@@ -227,18 +245,11 @@ class Aligned:
         mark = np.full(n, ord(","), np.uint8)
         mark[a_at[a_rows.indptr[1:] - 1]] = ord("|")
         mark[b_at[b_rows.indptr[1:] - 1]] = ord(";")
-        digits = len(str(int(ids.max())))
-        spelt = np.empty((n, digits + 1), np.uint8)
-        used = np.ones((n, digits + 1), bool)
-        rest = ids
-        for d in range(digits - 1, -1, -1):
-            used[:, d] = rest > 0
-            spelt[:, d] = 48 + rest % 10
-            rest = rest // 10
-        used[:, digits - 1] = True
-        spelt[:, digits] = mark
-        data = spelt[used].tobytes()
-        edge = np.concatenate(([0], np.cumsum(used.sum(axis=1))))[self.a_edge + self.b_edge]
+        digits, used, size = decimals(int(ids.max()).bit_length())
+        spelt = digits[ids]
+        spelt[:, -1] = mark
+        data = spelt[used[ids]].tobytes()
+        edge = np.concatenate(([0], np.cumsum(size[ids])))[self.a_edge + self.b_edge]
         return [data[edge[i]:max(edge[i], edge[i + 1] - 1)] for i in range(texts)]
 
 

@@ -174,3 +174,27 @@ def test_query_as_brute_force(spark, libraries):
     assert [t for _, t in got.dtypes] == ["bigint"] * 7 + ["string"]
     assert len(big) < len(rows)
     assert sorted(map(tuple, got.collect())) == sorted(expected(libraries, rows))
+
+
+def test_decimals_spell_every_number():
+    from scorekeep.llm.token_alignment import decimals
+    digits, used, size = decimals(10)
+    spelt = [bytes(d[:-1][u[:-1]]).decode() for d, u in zip(digits, used, strict=True)]
+    assert spelt == [str(i) for i in range(1024)] and used[:, -1].all()
+    assert size.tolist() == [len(s) + 1 for s in spelt]
+
+
+def test_groups_end_where_both_tokenizers_tokens_end():
+    import numpy as np
+
+    from scorekeep.llm.token_alignment import Aligned
+    r = np.random.default_rng(5)
+    sizes = np.array([1, 2, 3, 5, 7])
+    a, b = r.integers(0, 5, 400), r.integers(0, 5, 400)
+    total = min(sizes[a].sum(), sizes[b].sum())
+    a, b = (i[:np.searchsorted(np.cumsum(sizes[i]), total, side="right")] for i in (a, b))
+    own = Aligned([a[:0], a], [b[:0], b], sizes, sizes)
+    cuts = np.intersect1d(np.cumsum(sizes[a]), np.cumsum(sizes[b]))
+    assert own.cuts.tolist() == cuts.tolist()
+    for group, ids in ((own.a_group, a), (own.b_group, b)):
+        assert group.tolist() == [int((cuts < e).sum()) for e in np.cumsum(sizes[ids])]
