@@ -22,6 +22,8 @@ LEAST_SCORE = 0.3
 #: Rows that go to a Python worker at once.  The operators cut them into slices of some megabytes anyway; Spark's default of
 #: 10,000 only keeps more texts in memory, in the executor and in its workers.
 BATCH_ROWS = 2000
+#: Bytes of rows that go there at once, for long texts; a batch lies in the executor's own memory and in the worker's.
+BATCH_BYTES = 1_000_000
 
 
 def _fresh(docs: DataFrame, name: str) -> str:
@@ -33,10 +35,12 @@ def _fresh(docs: DataFrame, name: str) -> str:
 
 
 def _small_batches(spark) -> None:
-    """From now on the session sends at most BATCH_ROWS rows to a Python worker at once."""
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
-        spark.conf.set(rows, str(BATCH_ROWS))
+    """From now on the session sends at most BATCH_ROWS rows, of about BATCH_BYTES together, to a Python worker at once."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(name).removesuffix("b")  # a unit other than bytes is a larger one
+        if not now.isdecimal() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:

@@ -15,6 +15,8 @@ from scorekeep.session import scratch_path
 
 #: Ids are broadcast up to this many rows of at most 16 bytes (16 MB); beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of text in a slice for work that needs 60 bytes or more of arrays for each of them.
+SMALL = 500_000
 
 
 def written(df: DataFrame, what: str) -> DataFrame:

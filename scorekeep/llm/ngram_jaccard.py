@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorekeep.llm.common import over_slices, released, small_or_shuffled, written
+from scorekeep.llm.common import SMALL, over_slices, released, small_or_shuffled, written
 from scorekeep.llm.components import block_stars, components
 from scorekeep.llm.words import U, mix, scan, shingles
 
@@ -40,7 +40,7 @@ BLOCK = 1024
 #: Sets on either side of a block of verified pairs.
 VERIFIED = 256
 #: Signatures that a task packs at a time, buckets of them to a shuffle partition, bytes of each beside its bucket.
-PACK, BUCKETS, SHORT = 1_000_000, 8, 5
+PACK, BUCKETS, SHORT = 500_000, 8, 5
 #: Pairs of cells with fewer elements count as nearly empty.
 THIN = 2
 
@@ -136,7 +136,7 @@ def _classifier(n: int, percent: int):
             [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()), _nested(signed)],
             names=["doc_id", "n_shingles", "node", "sketch", "signatures"])
 
-    return over_slices(classify)
+    return over_slices(classify, most=SMALL)
 
 
 def _signer(n: int, percent: int):
@@ -148,7 +148,7 @@ def _signer(n: int, percent: int):
             nodes = np.repeat(np.array([x for _, x in found]), [len(x) for x, _ in found])
             yield pa.RecordBatch.from_arrays([pa.array(signatures), pa.array(nodes)], names=["signature", "node"])
 
-    return over_slices(sign)
+    return over_slices(sign, most=SMALL)
 
 
 def _packer(buckets: int):
@@ -189,7 +189,7 @@ def _fetcher(n: int):
         yield pa.RecordBatch.from_arrays([part.column("want"), pa.array([x[1] for x in got], pa.int64()),
                                           _nested([x[0] for x in got])], names=["want", "node", "items"])
 
-    return over_slices(fetch)
+    return over_slices(fetch, most=SMALL)
 
 
 def _centers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

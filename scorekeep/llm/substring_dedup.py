@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from scorekeep.llm.common import over_slices, written
+from scorekeep.llm.common import SMALL, over_slices, written
 from scorekeep.llm.words import BASE, U, Words, mix, powers, raw_bytes, scan
 
 SENTENCES = 3
@@ -104,7 +104,7 @@ def _listing(*sizes: int):
         ids = part.column("doc_id").take(pa.array(text))
         yield pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64)), ids], names=["span", "doc_id"])
 
-    return over_slices(rows)
+    return over_slices(rows, most=SMALL)
 
 
 def _removal(*sizes: int):
@@ -144,7 +144,7 @@ def _removal(*sizes: int):
             [*columns, pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64())],
             names=[*names, "text", "n_sentences", "n_removed"])
 
-    return over_slices(rows)
+    return over_slices(rows, most=SMALL)
 
 
 def substring_dedup(documents: DataFrame, sentences: int = SENTENCES, least_words: int = WORDS, long_words: int = LONG,
