@@ -35,6 +35,8 @@ BAND_RATIO = 1.5
 #: Rows of a signature that is met by partial minima, and hash classes of nodes, one of which tells them.
 HOT = 50_000
 CLASSES = 64
+#: Up to this many of these signatures (800 kB) are sent to the tasks that sign, by way of the driver; beyond it they are joined.
+HOT_SENT = 100_000
 #: Sets of a signature that are compared in one block.
 BLOCK = 1024
 #: Sets on either side of a block of verified pairs.
@@ -183,6 +185,19 @@ def _packer(buckets: int):
     return pack
 
 
+def _packing_signer(n: int, percent: int, buckets: int, away: np.ndarray):
+    """The texts' signatures but those in `away`, packed by the worker that makes them."""
+    sign, pack = _signer(n, percent), _packer(buckets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signed = sign(batches)
+        if len(away):
+            signed = (b.filter(pa.array(~np.isin(b.column("signature").to_numpy(), away))) for b in signed)
+        return pack(signed)
+
+    return released(run)
+
+
 def _fetcher(n: int):
     def fetch(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         got = [(items, node) for _, items, node in _sets(part, n)]
@@ -230,14 +245,20 @@ def _members(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataF
     """
     spark = docs.sparkSession
     buckets = min(BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 8 * (7 - SHORT))
-    signed = docs.where("doc_id is not null").select("text").mapInArrow(released(_signer(n, percent)), "signature long, node long")
+    texts = docs.where("doc_id is not null").select("text")
+    signed = texts.mapInArrow(released(_signer(n, percent)), "signature long, node long")
     often = classes.where("doc_id is not null").select(F.explode("signatures").alias("signature")).groupBy("signature").count()
     hot = written(often.where(F.col("count") > HOT // CLASSES).select("signature"), "hot")
     several = hot.count()
-    few = small_or_shuffled(hot, several)
-    cold = (signed.join(few, "signature", "left_anti").select("signature", "node") if several else signed)
-    cold = (cold.mapInArrow(released(_packer(buckets)), "bucket int, short binary, nodes binary").repartition("bucket")
-            .sortWithinPartitions("bucket").mapInArrow(released(_centers), "signature long, node long, center long, n long"))
+    few, schema = small_or_shuffled(hot, several), "bucket int, short binary, nodes binary"
+    if several <= HOT_SENT:
+        away = np.array([row["signature"] for row in hot.collect()], np.int64)
+        cold = texts.mapInArrow(_packing_signer(n, percent, buckets, away), schema)
+    else:
+        cold = (signed.join(few, "signature", "left_anti").select("signature", "node")
+                .mapInArrow(released(_packer(buckets)), schema))
+    cold = (cold.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(released(_centers), "signature long, node long, center long, n long"))
     if not several:
         return cold
     crowd = written(signed.join(few, "signature", "left_semi").select("signature", "node").distinct(), "crowd")
