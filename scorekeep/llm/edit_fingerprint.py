@@ -206,7 +206,7 @@ def _banding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     weights = 1 << np.arange(BAND_BITS)
     for batch in batches:
         n = batch.num_rows
-        packed = np.frombuffer(bytes.fromhex("".join(batch.column("fingerprint").to_pylist())), np.uint8)
+        packed = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8)
         bits = np.unpackbits(packed.reshape(n, BITS // 8), axis=1)
         keys = np.stack([(bits[:, places] @ weights) + (band << BAND_BITS) for band, places in enumerate(sampled)], axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("node").to_numpy(), BANDS)), pa.array(keys.ravel())],
@@ -219,7 +219,7 @@ def _meetings(most: int):
     Rows come sorted by key, x and y.  Each row is compared with those 1, 2, ... rows on, while any is of its group."""
     def stars(rows: pa.RecordBatch, group: np.ndarray) -> Iterator[pa.RecordBatch]:
         node, side = rows.column("node").to_numpy(), rows.column("side").to_numpy()
-        bits = np.frombuffer(bytes.fromhex("".join(rows.column("fingerprint").to_pylist())), U).reshape(len(node), BITS // 64)
+        bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), U).reshape(len(node), BITS // 64)
         at, found, links = np.arange(len(node)), [], 0
 
         def linked() -> pa.RecordBatch:
@@ -269,7 +269,9 @@ def near_duplicates(fingerprints: DataFrame, least: float = 0.8) -> DataFrame:
     Null ids or fingerprints and empty texts (all zeros) link with nothing.
     """
     real = F.col("doc_id").isNotNull() & F.col("fingerprint").rlike("[1-9a-f]")
-    nodes = written(fingerprints.where(real).groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "nodes")
+    # as bytes, which are half of their hex, wherever they are shuffled or written
+    bits = F.unhex("fingerprint")
+    nodes = written(fingerprints.where(real).groupBy(bits.alias("bits")).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "nodes")
     banded = nodes.mapInArrow(_banding, "node long, key long")
     shared = written(banded.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.count("*").alias("n"))
                      .where("n > 1").drop("n"), "shared")
@@ -281,10 +283,11 @@ def near_duplicates(fingerprints: DataFrame, least: float = 0.8) -> DataFrame:
     links = (placed.join(nodes, "node").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
              .mapInArrow(_meetings(int(BITS * (1 - least) / 2)), "a long, b long"))
     found = components(links, "a", "b")
-    of = written(nodes.join(found, "node", "left").select(
-        "fingerprint", F.coalesce("component", "node").alias("component_id")), "components")
-    return (fingerprints.join(of, "fingerprint", "left")
-            .select(*fingerprints.columns, F.when(real, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+    # a node of one row without links is its own component and needs no row here
+    of = written(nodes.join(found, "node", "left").where("copies > 1 OR component IS NOT NULL").select(
+        "bits", F.coalesce("component", "node").alias("component_id")), "components")
+    return (fingerprints.join(of, F.when(real, bits) == of["bits"], "left")
+            .select(*[fingerprints[c] for c in fingerprints.columns], F.coalesce(of["component_id"], "doc_id").alias("component_id")))
 
 
 def op9_document_fingerprints(spark, sf_dir: str) -> DataFrame:
