@@ -4,7 +4,7 @@ Plan shape: the answer fact is scanned once with its filters pushed into the
 scan; the objective-question dimension (with its rule map as a column) is
 joined by broadcast when its size is proven small; the absence table is
 left-joined on student, paper and exam, by broadcast when small, else by a
-shuffle on that key.  Scoring is a
+shuffle on that key of the answers that may have an absence.  Scoring is a
 CASE plus one map lookup, all inside generated code.
 """
 
@@ -17,7 +17,8 @@ from scorekeep.fixed_values import (LIVE_STATUS, MULTI_CHOICE_TYPE, POSITION_PRE
                                     SUBJECTIVE_TYPE)
 from scorekeep.functions.answers import display_answer
 from scorekeep.functions.rules import rule_maps, rule_score, with_rule_map
-from scorekeep.plans.broadcast import bounded_broadcast, bounded_broadcasts
+from scorekeep.plans.broadcast import bounded_broadcast, counted_broadcasts, within_bounds
+from scorekeep.plans.keyfilter import split_by_keys
 
 SCORE_COLUMNS = [
     "paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq", "schoolId",
@@ -60,6 +61,21 @@ def same_sitting() -> F.Column:
             & (F.col("paperExamId") == F.col("ab_paperExamId")))
 
 
+def with_absences(rows: DataFrame, absences: DataFrame, size: tuple[int, int], max_rows: int | None = None,
+                  then=lambda part: part) -> DataFrame:
+    """``then(rows)`` with the absence of each row's sitting, or nulls.  Absences over the broadcast bound are joined
+    by a shuffle of those rows only that may have one.  ``then`` works row by row and keeps the sitting's columns."""
+    parts = None
+    if not within_bounds(rows.sparkSession, size, max_rows):
+        parts = split_by_keys(rows, ["stuId", "paperId", "paperExamId"],
+                              absences, ["ab_userId", "ab_paperId", "ab_paperExamId"], size[0])
+    if parts is None:
+        return then(rows).join(absences, same_sitting(), "left")
+    some, none = map(then, parts)
+    return some.join(absences, same_sitting(), "left").unionByName(
+        none.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absences.schema.fields]))
+
+
 def score_expr() -> F.Column:
     """Score of one answer: full marks for a matching single answer
     (types 1 and 3), the rule score for a multi-choice answer (type 2,
@@ -79,7 +95,7 @@ def score_answers(question: DataFrame, answer: DataFrame, absent: DataFrame,
     # (its rule map is smaller than the rule text it is parsed from)
     source = question.where(F.col("type") < SUBJECTIVE_TYPE).select(
         "id", "subjectId", "No", "type", "score", "difficulty", "standardAnswer", "pos", "rules")
-    qdim, absences = bounded_broadcasts(
+    (qdim, absences), (_, absences_size) = counted_broadcasts(
         (objective_question_dim(question), source), live_absences(absent),
         max_rows=max_broadcast_rows)
     facts = (answer.where((F.col("isChoose") > 0) & (F.col("status") == LIVE_STATUS))
@@ -88,13 +104,16 @@ def score_answers(question: DataFrame, answer: DataFrame, absent: DataFrame,
                      F.col("answer").alias("raw_answer"),
                      display_answer("answer", "fixAnswer", "isDubious", "dubiousType")
                      .alias("answer"), "ABFlag", "isChoose"))
+
     # scored before the absences' join: neither rule map nor raw answer goes through its shuffle
-    scored = (facts.join(qdim, facts["questionId"] == qdim["q_id"], "inner")
-              .select("paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq",
-                      "schoolId", "subjectId", "questionId", "questionOrder", "questionNo",
-                      "questionType", "questionScore", "difficulty", "answer", "ABFlag",
-                      score_expr().alias("stuScore"), "isChoose", "standardAnswer", "pos"))
-    return scored.join(absences, same_sitting(), "left").select(
+    def scored(part):
+        return (part.join(qdim, part["questionId"] == qdim["q_id"], "inner")
+                .select("paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq",
+                        "schoolId", "subjectId", "questionId", "questionOrder", "questionNo",
+                        "questionType", "questionScore", "difficulty", "answer", "ABFlag",
+                        score_expr().alias("stuScore"), "isChoose", "standardAnswer", "pos"))
+
+    return with_absences(facts, absences, absences_size, max_broadcast_rows, scored).select(
         "paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq",
         "schoolId", "subjectId", "questionId", "questionOrder", "questionNo",
         "questionType", "questionScore", "difficulty", "answer", "ABFlag",
@@ -119,8 +138,9 @@ def left_join_on_predicate(answer: DataFrame, absent: DataFrame) -> DataFrame:
     """Every answer row, with the live absence of its student when there is
     one (an outer join whose right-side predicate sits in ON, so a non-live
     absence yields nulls rather than dropping the row)."""
-    absences = bounded_broadcast(live_absences(absent))
-    return (answer.join(absences, same_sitting(), "left")
+    (absences,), (size,) = counted_broadcasts(live_absences(absent))
+    facts = answer.select("questionId", "stuId", "paperId", "paperExamId", "questionOrder", "answer", "dubiousType")
+    return (with_absences(facts, absences, size)
             .select("questionId", "stuId", "questionOrder", "answer",
                     F.col("dubiousType").alias("answerDubiousType"),
                     F.col("ab_dubiousType").alias("dubiousType"),

@@ -350,3 +350,37 @@ def test_small_totals_join_after_the_students(spark, tables_small):
     assert "pt_subjectId" in top[0] and "pt_subjectId" not in top[1]
     assert after.count() == before.count() > 0
     assert after.exceptAll(before).count() == 0
+
+
+def test_answers_without_an_absence_are_not_shuffled(spark, tables_small):
+    """Absences over the broadcast bound: only answers that may have one go through the join's shuffle, and the rows
+    are those of the plain join -- null and repeated keys included."""
+    from scorekeep.operators import scoring
+    t = tables_small
+    odd = t.answer.limit(40)
+    answer = t.answer.unionByName(odd).unionByName(odd.withColumn("stuId", F.lit(None).cast("long"))).unionByName(
+        odd.withColumn("paperId", F.lit(None).cast("string")))
+    absent = t.absent.unionByName(t.absent.limit(30).withColumn("dubiousType", F.lit(9))).unionByName(
+        t.absent.limit(30).withColumn("userId", F.lit(None).cast("long")))
+    plain = [scoring.score_answers(t.question, answer, absent).collect(),
+             scoring.left_join_on_predicate(answer, absent).collect()]
+    spark.conf.set("scorekeep.broadcast.maxRows", "10")
+    spark.conf.set("scorekeep.keyfilter.minRows", "1")
+    try:
+        split = [scoring.score_answers(t.question, answer, absent), scoring.left_join_on_predicate(answer, absent)]
+        for df, want in zip(split, plain, strict=True):
+            assert "Union" in optimized(df)
+            assert sorted(map(str, df.collect())) == sorted(map(str, want))
+        # the rows in the join's shuffle: of a key that no absence has, next to none
+        alone = t.answer.withColumn("stuId", F.col("stuId") + (1 << 40))
+        from scorekeep.plans.keyfilter import split_by_keys
+        keys = t.absent.select("userId").distinct()
+        some, none = split_by_keys(t.answer.unionByName(alone), ["stuId"], keys, ["userId"], keys.count())
+        n = t.answer.count()
+        matching = t.answer.join(keys, F.col("stuId") == F.col("userId"), "left_semi")
+        assert some.count() + none.count() == 2 * n
+        assert none.join(keys, F.col("stuId") == F.col("userId"), "left_semi").count() == 0
+        assert matching.count() <= some.count() < matching.count() + 2 * n * 0.2
+    finally:
+        spark.conf.unset("scorekeep.broadcast.maxRows")
+        spark.conf.unset("scorekeep.keyfilter.minRows")
