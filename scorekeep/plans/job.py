@@ -135,9 +135,11 @@ class ExamJob:
         return files
 
     def _write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write this run's rows apart.  Later stages read them from there, with the types they were computed with."""
+        """Write this run's rows apart.  Later stages read them from there, with the types they were computed with.
+        One exam is one folder: the tasks that compute its rows write them, without a shuffle in between."""
         own = self._run_path(name)
-        (df.hint("rebalance", self.partition_col).write.partitionBy(self.partition_col).mode("overwrite").parquet(own))
+        rows = df if self.partition_col in self._selection() else df.hint("rebalance", self.partition_col)
+        rows.write.partitionBy(self.partition_col).mode("overwrite").parquet(own)
         self._staged.append(name)
         self.written[name] = self._path(name)
         return self.spark.read.schema(df.schema).parquet(own).select(df.columns)

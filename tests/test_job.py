@@ -269,3 +269,19 @@ def test_existence_is_asked_not_guessed(spark):
         assert c.has_table("things") and not c.has_table("other") and set(c.column_types("things")) == {"id", "name"}
     with pytest.raises(Exception):
         create_like(df, "jdbc:derby:memory:not_there", "things", driver=drv)
+
+
+def test_one_exam_is_written_without_a_shuffle(spark, workdir, tables_small, monkeypatch):
+    """The tasks that compute one exam's rows write them; those of all exams are still rebalanced.  Same rows."""
+    frames = type(tables_small.answer)
+    hints, hint = [], frames.hint
+    monkeypatch.setattr(frames, "hint", lambda df, name, *a: (hints.append(name), hint(df, name, *a))[1])
+    whole = ExamJob(spark, tables_small, f"{workdir}/out")
+    whole.start()()((3, 1.0))
+    assert "rebalance" in hints
+    before = sorted(map(str, whole.read("obj_score").collect()))
+    hints.clear()
+    one = ExamJob(spark, tables_small, f"{workdir}/out", paper_id="P0", paper_exam_id=102, redo=True)
+    one.start()()((3, 1.0))
+    assert "rebalance" not in hints and one.read("obj_score").count() > 0
+    assert sorted(map(str, whole.read("obj_score").collect())) == before
