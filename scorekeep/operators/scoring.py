@@ -2,10 +2,11 @@
 
 Plan shape: the answer fact is scanned once with its filters pushed into the
 scan; the objective-question dimension (with its rule map as a column) is
-joined by broadcast when its size is proven small; the absence table is
-left-joined on student, paper and exam, by broadcast when small, else by a
-shuffle on that key of the answers that may have an absence.  Scoring is a
-CASE plus one map lookup, all inside generated code.
+joined by broadcast when its size is proven small, else by a shuffle of the
+answers that may be to such a question; the absence table is left-joined on
+student, paper and exam, by broadcast when small, else by a shuffle on that
+key of the answers that may have an absence.  Scoring is a CASE plus one map
+lookup, all inside generated code.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from scorekeep.fixed_values import (LIVE_STATUS, MULTI_CHOICE_TYPE, POSITION_PRE
 from scorekeep.functions.answers import display_answer
 from scorekeep.functions.rules import rule_maps, rule_score, with_rule_map
 from scorekeep.plans.broadcast import bounded_broadcast, counted_broadcasts, within_bounds
-from scorekeep.plans.keyfilter import split_by_keys
+from scorekeep.plans.keyfilter import rows_that_may_match, split_by_keys
 
 SCORE_COLUMNS = [
     "paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq", "schoolId",
@@ -64,16 +65,20 @@ def same_sitting() -> F.Column:
 def with_absences(rows: DataFrame, absences: DataFrame, size: tuple[int, int], max_rows: int | None = None,
                   then=lambda part: part) -> DataFrame:
     """``then(rows)`` with the absence of each row's sitting, or nulls.  Absences over the broadcast bound are joined
-    by a shuffle of those rows only that may have one.  ``then`` works row by row and keeps the sitting's columns."""
+    by a shuffle of those rows only that may have one, before ``then`` widens them.  ``then`` works row by row and
+    keeps the sitting's columns and those of an absence that is there."""
     parts = None
     if not within_bounds(rows.sparkSession, size, max_rows):
-        parts = split_by_keys(rows, ["stuId", "paperId", "paperExamId"],
-                              absences, ["ab_userId", "ab_paperId", "ab_paperExamId"], size[0])
+        sitting = ["ab_userId", "ab_paperId", "ab_paperExamId"]
+        # a null matches nothing; left out here, bitmaps and join read the same rows and their DISTINCT runs once
+        for c in sitting:
+            absences = absences.where(F.col(c).isNotNull())
+        parts = split_by_keys(rows, ["stuId", "paperId", "paperExamId"], absences, sitting, size[0])
     if parts is None:
         return then(rows).join(absences, same_sitting(), "left")
-    some, none = map(then, parts)
-    return some.join(absences, same_sitting(), "left").unionByName(
-        none.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absences.schema.fields]))
+    some, none = parts
+    absent_nowhere = [F.lit(None).cast(f.dataType).alias(f.name) for f in absences.schema.fields]
+    return then(some.join(absences, same_sitting(), "left")).unionByName(then(none.select("*", *absent_nowhere)))
 
 
 def score_expr() -> F.Column:
@@ -95,7 +100,7 @@ def score_answers(question: DataFrame, answer: DataFrame, absent: DataFrame,
     # (its rule map is smaller than the rule text it is parsed from)
     source = question.where(F.col("type") < SUBJECTIVE_TYPE).select(
         "id", "subjectId", "No", "type", "score", "difficulty", "standardAnswer", "pos", "rules")
-    (qdim, absences), (_, absences_size) = counted_broadcasts(
+    (qdim, absences), (question_size, absences_size) = counted_broadcasts(
         (objective_question_dim(question), source), live_absences(absent),
         max_rows=max_broadcast_rows)
     facts = (answer.where((F.col("isChoose") > 0) & (F.col("status") == LIVE_STATUS))
@@ -104,14 +109,18 @@ def score_answers(question: DataFrame, answer: DataFrame, absent: DataFrame,
                      F.col("answer").alias("raw_answer"),
                      display_answer("answer", "fixAnswer", "isDubious", "dubiousType")
                      .alias("answer"), "ABFlag", "isChoose"))
+    if not within_bounds(facts.sparkSession, question_size, max_broadcast_rows):
+        # answers to no objective question stay out of both shuffles
+        facts = rows_that_may_match(facts, ["questionId"], source, ["id"], question_size[0])
 
-    # scored before the absences' join: neither rule map nor raw answer goes through its shuffle
+    # neither rule map nor raw answer goes through the shuffle of a whole absences' join: scored before it
     def scored(part):
         return (part.join(qdim, part["questionId"] == qdim["q_id"], "inner")
                 .select("paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq",
                         "schoolId", "subjectId", "questionId", "questionOrder", "questionNo",
                         "questionType", "questionScore", "difficulty", "answer", "ABFlag",
-                        score_expr().alias("stuScore"), "isChoose", "standardAnswer", "pos"))
+                        score_expr().alias("stuScore"), "isChoose", "standardAnswer", "pos",
+                        *[c for c in part.columns if c.startswith("ab_")]))
 
     return with_absences(facts, absences, absences_size, max_broadcast_rows, scored).select(
         "paperId", "paperName", "paperExamId", "paperExamName", "stuId", "stuSeq",

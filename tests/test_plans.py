@@ -384,3 +384,45 @@ def test_answers_without_an_absence_are_not_shuffled(spark, tables_small):
     finally:
         spark.conf.unset("scorekeep.broadcast.maxRows")
         spark.conf.unset("scorekeep.keyfilter.minRows")
+
+
+def test_only_answers_to_objective_questions_are_shuffled(spark):
+    """Questions over the broadcast bound: answers that are to none of them stay out of the shuffle, and a part of the
+    answers is joined with its absences while it is narrow.  The absences are made distinct once."""
+    from scorekeep.operators import scoring
+    from scorekeep.plans.keyfilter import rows_that_may_match
+    kinds = [(i, f"P{i % 2}", 1 + i % 4, f"N{i}", (i % 5) / 2, "easy", "A", i % 20, None, i % 25)
+             for i in range(400)]
+    question = spark.createDataFrame(kinds, "id long, paperId string, type long, No string, score double, difficulty string,"
+                                     "standardAnswer string, pos long, rules string, subjectId long")
+    rows = [(i % 500 if i % 97 else None, i % 700, f"P{i % 2}", "n", 100 + i % 10, "e", f"S{i}", 1, 1, "A" if i % 3 else "N",
+             "A", 0, 0, 0, 1, 1) for i in range(4000)]
+    answer = spark.createDataFrame(rows, "questionId long, stuId long, paperId string, paperName string, paperExamId long,"
+                                   "paperExamName string, stuSeq string, schoolId long, questionOrder long, answer string,"
+                                   "fixAnswer string, isDubious int, dubiousType int, ABFlag int, isChoose int, status int")
+    missed = [(i % 150 if i % 31 else None, f"P{i % 2}", 100 + i % 10, 1 + i % 5, i % 7 and 1, 1) for i in range(600)]
+    absent = spark.createDataFrame(missed, "userId long, paperId string, paperExamId long, dubiousType int, status int,"
+                                   "sourceFrom int").distinct()
+    want = sorted(map(str, scoring.score_answers(question, answer, absent).collect()))
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key, value in (("scorekeep.broadcast.maxRows", "10"), ("scorekeep.keyfilter.minRows", "1"),
+                       ("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(key, value)
+    try:
+        df = scoring.score_answers(question, answer, absent)
+        assert sorted(map(str, df.collect())) == want and len(want) > 1000
+        lines = optimized(df).splitlines()
+        sitting = next(i for i, ln in enumerate(lines) if "Join LeftOuter" in ln and "ab_userId" in ln)
+        assert not any("questionScore#" in ln for ln in lines[sitting:sitting + 2])
+        objective = question.where("type < 4")
+        kept = rows_that_may_match(answer, ["questionId"], objective, ["id"], objective.count())
+        matching = answer.join(objective, F.col("questionId") == F.col("id"), "left_semi")
+        assert matching.count() <= kept.count() < matching.count() + 0.1 * len(rows)
+        assert kept.join(objective, F.col("questionId") == F.col("id"), "left_semi").count() == matching.count()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        distinct = [ln for ln in final.splitlines() if "Exchange hashpartitioning(paperId" in ln]
+        assert sum("ReusedExchange" not in ln for ln in distinct) == 1
+    finally:
+        spark.conf.unset("scorekeep.broadcast.maxRows")
+        spark.conf.unset("scorekeep.keyfilter.minRows")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
